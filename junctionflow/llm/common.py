@@ -5,19 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-#: Words of one task that are remembered with their hash; beyond it the memory starts afresh.
-WORDS_KEPT = 400_000
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -81,19 +77,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("__tie", F.xxhash64("text"))
 
 
-class WordHashes(dict):
-    """A word's 64-bit hash, computed once per task."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -104,15 +87,61 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+_BASE = 0x9E3779B97F4A7C55  # odd, so that its powers have inverses modulo 2^64
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+
+
+@lru_cache(maxsize=4)
+def byte_values(seed: int = 0, lower: bool = False) -> np.ndarray:
+    """A 64-bit value for each byte; with ``lower`` A-Z have those of a-z."""
+    letter = np.arange(256, dtype=np.uint64)
+    if lower:
+        letter[65:91] += np.uint64(32)
+    return mix(letter + np.uint64(1 + 1000 * seed))
+
+
+@lru_cache(maxsize=2)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base, and of its inverse."""
+    up, down = np.full(n, np.uint64(_BASE)), np.full(n, np.uint64(pow(_BASE, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
+def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of value times power, from 0, and the inverse powers: the part from i to j hashes to (s[j] - s[i]) * down[i]."""
+    n = len(values)
+    up, down = powers(1 << max(14, n.bit_length()))
+    sums = np.empty(n + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(values * up[:n], out=sums[1:])
+    return sums, down
+
+
+def word_hashes(text: bytes, lower: bool = False) -> np.ndarray:
+    """A hash for each word, in order: the runs of anything but ASCII white space."""
+    data = np.frombuffer(text, np.uint8)
+    sums, down = prefix_sums(byte_values(0, lower)[data])
+    inside = np.zeros(len(data) + 2, bool)
+    np.logical_not(_SPACE[data], out=inside[1:-1])
+    ends = np.flatnonzero(inside[1:] != inside[:-1])
+    first, last = ends[::2], ends[1::2]
+    return mix((sums[last] - sums[first]) * down[first])
+
+
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the runs of ``n`` neighbouring hashes; empty when there are fewer."""
     m = len(hashes) - n + 1
     if m <= 0:
         return np.empty(0, np.uint64)
-    out = hashes[:m].copy()
-    for i in range(1, n):
-        out = out * _A + mix(hashes[i : i + m])
-    return mix(out)
+    sums, down = prefix_sums(hashes)
+    return mix((sums[n:] - sums[:m]) * down[:m] + np.uint64(n))
+
+
+def distinct(h: np.ndarray) -> np.ndarray:
+    """The distinct values in ascending order."""
+    h = np.sort(h)
+    return h[np.r_[True, h[1:] != h[:-1]]] if len(h) else h
 
 
 def signed(h: np.ndarray) -> np.ndarray:

@@ -28,78 +28,84 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import WordHashes, documents, keyed, materialise, mix, ngrams, over_batches, signed, utf8
+from junctionflow.llm.common import distinct, documents, keyed, materialise, mix, ngrams, over_batches, signed, utf8, word_hashes
 
 WORDS = 5
 #: Two sets link when PERCENT_OF * common >= PERCENT * union.
 PERCENT, PERCENT_OF = 80, 100
-#: Prefixes that share a shingle from which it is put last, and places of the bitmap that tells so.
-FREQUENT, BITMAP_BITS = 32, 22
+#: Prefixes that share a shingle from which it is put last, and the bits that name the places of the bitmap that tells
+#: so: about a place for each shingle of the prefixes, up to a bitmap of 16 MB.
+FREQUENT, BITMAP_BITS = 12, (20, 27)
 #: Positions of an index list that are skipped or joined together.
 BLOCK = 16
 
 
-def shingles(text: bytes, memo: WordHashes, words: int = WORDS) -> np.ndarray:
+def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     """The distinct shingle hashes of a text, in ascending order."""
-    found = text.lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    h = memo.of(found)
-    return np.unique(ngrams(h, words)) if len(found) >= words else ngrams(h, len(found))
+    h = word_hashes(text, lower=True)
+    return distinct(ngrams(h, min(words, len(h)))) if len(h) else h
 
 
 def prefix_length(size: int) -> int:
     return size - -(-PERCENT * size // PERCENT_OF) + 1 if size else 0
 
 
-def prefix(found: np.ndarray, frequent: np.ndarray | None) -> np.ndarray:
-    """The first shingles in the global order; ``found`` is in ascending order."""
+def places(found: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(found) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def prefix(found: np.ndarray, frequent: np.ndarray | None = None, bits: int = 0) -> np.ndarray:
+    """The first shingles in the global order; ``found`` is in ascending order, ``frequent`` the bitmap."""
     n = prefix_length(len(found))
     if frequent is None:
         return found[:n]
-    late = frequent[(mix(found) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
+    at = places(found, bits)
+    late = (frequent[at >> 3] >> (7 - (at & 7))) & 1 == 1
     return np.concatenate([found[~late], found[late]])[:n]
 
 
-def frequent_bitmap(docs: DataFrame, words: int = WORDS) -> np.ndarray:
-    """Places of shingles that many prefixes share. It only sets the order, which any bitmap leaves right."""
-    memo = WordHashes()
+def frequent_bitmap(docs: DataFrame, words: int = WORDS) -> tuple[np.ndarray, int]:
+    """Packed bits of the places whose shingles many prefixes share, and their number as a power of two. It only sets
+    the order, which any bitmap leaves right."""
+    low, high = BITMAP_BITS
+    bits = min(high, max(low, (docs.count() * 128).bit_length()))
 
     def per_batch(text):
-        places = [(mix(prefix(s, None)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int32) for s in (shingles(t, memo, words) for t in text)]
-        place, n = np.unique(np.concatenate(places), return_counts=True)
-        return {"place": place, "n": n}
-
-    counted = over_batches(docs.select(utf8().alias("text")), per_batch, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    threshold = F.greatest(F.lit(FREQUENT), F.lit(8) * F.ceil("mean").cast("long"))  # places fill up as the corpus grows
-    mean = counted.agg((F.sum("n") / (1 << BITMAP_BITS)).alias("mean"))
-    out = np.zeros(1 << BITMAP_BITS, bool)
-    # at most BITMAP places, sent as packed bits
-    packed = counted.join(F.broadcast(mean)).filter(F.col("n") >= threshold).select("place").mapInArrow(_packed, "bits binary").collect()
-    for row in packed:
-        out |= np.unpackbits(np.frombuffer(row.bits, np.uint8)).astype(bool)
-    return out
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(1 << BITMAP_BITS, bool)
-    for b in batches:
-        bits[b.column(0).to_numpy()] = True
-    if bits.any():
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+        place = np.concatenate([places(prefix(shingles(t, words)), bits) for t in text])
+        place, n = np.unique(place, return_counts=True)
+        return {"place": place.astype(np.int32), "n": n.astype(np.int32)}
+
+    counted = over_batches(docs.select(utf8().alias("text")), per_batch, "place int, n int").groupBy("place").agg(F.sum("n").alias("n"))
+    # FREQUENT, or eight times what a place holds on average as they fill up
+    filled = materialise(counted.groupBy((F.col("n") >= FREQUENT).alias("many"), F.when(F.col("n") >= FREQUENT, F.col("place")).alias("place")).agg(F.sum("n").alias("n")))
+    mean = (filled.agg(F.sum("n").alias("n")).head().n or 0) / (1 << bits)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks: dict[int, int] = {}
+        for b in batches:
+            at = b.column(0).to_numpy()
+            for byte, bit in zip((at >> 3).tolist(), (1 << (7 - (at & 7))).tolist(), strict=True):
+                marks[byte] = marks.get(byte, 0) | bit
+        if marks:
+            yield pa.RecordBatch.from_arrays([pa.array(list(marks), pa.int32()), pa.array(list(marks.values()), pa.int16())], ["byte", "bits"])
+
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    marked = filled.filter(F.col("many") & (F.col("n") >= max(FREQUENT, 8 * mean))).select("place").mapInArrow(packed, "byte int, bits short").toArrow()  # bytes of the bitmap
+    np.bitwise_or.at(out, marked["byte"].to_numpy(), marked["bits"].to_numpy().astype(np.uint8))
+    return out, bits
 
 
 def sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """id, tie, size, cls, prefix: a row for each document; ``cls`` names its set."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(frequent_bitmap(docs, words))  # of fixed size
-    memo = WordHashes()
+    bitmap, bits = frequent_bitmap(docs, words)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)  # 16 MB at most
 
     def per_batch(id, tie, text):  # noqa: A002
-        found = [shingles(t, memo, words) for t in text]
+        found = [shingles(t, words) for t in text]
         return {
             "id": id, "tie": tie, "size": [len(s) for s in found],
             "cls": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in found],
-            "prefix": [signed(prefix(s, bitmap.value)) for s in found],
+            "prefix": [signed(prefix(s, sent.value, bits)) for s in found],
         }
 
     return over_batches(keyed(docs).select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), utf8().alias("text")), per_batch, "id long, tie long, size int, cls long, prefix array<long>")
@@ -158,27 +164,33 @@ def components(edges: DataFrame) -> DataFrame:
 
 def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> DataFrame:
     """node, label: the components of the classes of ``every`` (the table of ``sets``) that link with another."""
-    classes = every.filter("size > 0").groupBy("cls", "size").agg(F.min(F.struct("id", "tie")).alias("one"), F.first("prefix").alias("prefix"))
-    entries = classes.select("cls", "size", F.col("one.id").alias("id"), F.col("one.tie").alias("tie"), F.posexplode("prefix").alias("place", "shingle"))
-    heads = entries.groupBy("shingle").agg(F.count("*").alias("n"), F.min(F.struct("size", "cls")).alias("head")).filter("n > 1").select("shingle", F.col("head.cls").alias("head"), F.col("head.size").alias("head_size"))
-    lists = materialise(entries.join(heads, "shingle"))
-    memo = WordHashes()
+    classes = materialise(every.filter("size > 0").groupBy("cls", "size").agg(F.min(F.struct("id", "tie")).alias("one"), F.first("prefix").alias("prefix")))
+    # one long for size and place keeps the rows of the widest shuffle small
+    entries = classes.select("cls", "size", F.posexplode("prefix").alias("place", "shingle")).select("shingle", "cls", (F.col("size").cast("long") * (1 << 32) + F.col("place")).alias("at"))
+    heads = materialise(entries.groupBy("shingle").agg(F.count("*").alias("n"), F.min("cls").alias("head")).filter("n > 1").drop("n"))
+    lists = entries.join(heads, "shingle").select("shingle", "head", "cls", F.shiftright("at", 32).cast("int").alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place"))
+    lists = materialise(lists)
+    sizes = classes.select("cls", "size")
+    stars = lists.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b"), F.col("size").alias("a_size")).distinct()
+    stars = materialise(stars.join(sizes.select(F.col("cls").alias("b"), F.col("size").alias("b_size")), "b").filter(_sizes_fit("a_size", "b_size")).select("a", "b"))
 
     def per_batch(cls, text):
-        return {"cls": cls, "shingles": [shingles(t, memo, words).tobytes() for t in text]}
+        return {"cls": cls, "shingles": [shingles(t, words).tobytes() for t in text]}
 
-    wanted = lists.select(F.col("id").alias("__id"), F.col("tie").alias("__tie"), "cls").distinct()
-    texts = keyed(docs).select("__id", "__tie", utf8().alias("text")).join(wanted, ["__id", "__tie"]).dropDuplicates(["cls"])
-    members = materialise(over_batches(texts.select("cls", "text"), per_batch, "cls long, shingles binary"))
+    def with_sets(pairs: DataFrame) -> DataFrame:
+        """cls, shingles of the classes in ``pairs``."""
+        named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        wanted = classes.join(named, "cls", "left_semi").select(F.col("one.id").alias("__id"), F.col("one.tie").alias("__tie"), "cls")
+        texts = keyed(docs).select("__id", "__tie", utf8().alias("text")).join(wanted, ["__id", "__tie"]).dropDuplicates(["cls"])
+        return materialise(over_batches(texts.select("cls", "text"), per_batch, "cls long, shingles binary"))
 
-    stars = lists.filter(F.col("cls") != F.col("head")).filter(_sizes_fit("size", "head_size")).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct()
-    compared = materialise(overlaps(stars, members))
+    compared = materialise(overlaps(stars, with_sets(stars)))
     labels = components(compared.filter("linked"))
 
     known = compared.select(F.col("a").alias("cls"), F.col("b").alias("head"), "common")
     side = lists.join(known, ["cls", "head"], "left").join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left")
     side = materialise(side.select("shingle", "cls", "size", "place", "head", "common", F.coalesce("label", "cls").alias("label")).filter(F.col("cls") != F.col("head")))
-    mixed = side.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle")
+    mixed = materialise(side.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle"))
     open_ = side.join(mixed, "shingle", "left_semi")
     left, right = (open_.select("shingle", F.floor(F.col("place") / BLOCK).alias(f"{s}_block"), *[F.col(c).alias(f"{s}_{c}") for c in ("cls", "size", "place", "common", "label")]) for s in "ab")
     need = _need("a_size", "b_size")
@@ -188,7 +200,10 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
     by_head = F.least("a_common", "b_common") + F.least(F.col("a_size") - F.col("a_common"), F.col("b_size") - F.col("b_common"))
     pairs = left.join(right, "shingle").filter((F.col("a_cls") < F.col("b_cls")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size"))
     pairs = pairs.filter(by_block & (by_position >= need) & F.coalesce(by_head >= need, F.lit(True)))
-    rest = materialise(overlaps(pairs.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct(), members)).filter("linked")
+    pairs = materialise(pairs.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct())
+    if pairs.isEmpty():
+        return labels
+    rest = materialise(overlaps(pairs, with_sets(pairs))).filter("linked")
     return components(compared.filter("linked").select("a", "b").unionByName(rest.select("a", "b")))
 
 

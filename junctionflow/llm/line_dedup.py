@@ -15,22 +15,21 @@ from __future__ import annotations
 
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import WordHashes, documents, keyed, materialise, ngrams, over_batches, rewrite, signed, utf8
+from junctionflow.llm.common import documents, keyed, materialise, ngrams, over_batches, rewrite, signed, utf8
 
 MIN_RUN = 2
 
 
 def windows(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """fingerprint, run, id, tie, place: each window of lines, with the fingerprint that it chose."""
-    memo = WordHashes()
-
     def per_batch(id, tie, text):  # noqa: A002
         out: dict[str, list] = {"fingerprint": [], "run": [], "id": [], "tie": [], "place": []}
         for i, t, x in zip(id, tie, text, strict=True):
-            h = memo.of([line for line in x.split(b"\n") if line.strip()])
+            h = np.array([xxhash.xxh3_64_intdigest(line) for line in x.split(b"\n") if line.strip()], np.uint64)
             if len(h) < min_run:
                 continue
             least = np.lib.stride_tricks.sliding_window_view(h, min_run).min(axis=1)
@@ -46,10 +45,10 @@ def windows(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 def later_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """__id, __tie, __places: the windows of a document that start earlier as well."""
     every = materialise(windows(docs, min_run))
-    recurring = every.groupBy("fingerprint").count().filter("count > 1").select("fingerprint")
+    recurring = materialise(every.groupBy("fingerprint").count().filter("count > 1").select("fingerprint"))
     joined = materialise(every.join(recurring, "fingerprint", "left_semi").drop("fingerprint"))
     where = F.struct("id", "tie", "place")
-    first = joined.groupBy("run").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    first = materialise(joined.groupBy("run").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     later = joined.join(first, "run").filter(where > F.col("first"))
     return later.groupBy(F.col("id").alias("__id"), F.col("tie").alias("__tie")).agg(F.collect_set("place").alias("__places"))
 

@@ -17,9 +17,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from junctionflow.llm import linear
-from junctionflow.llm.common import WORDS_KEPT, documents, ngrams
+from junctionflow.llm.common import documents, ngrams
 
 BITS = 18
+#: Words of one task that are remembered with their hashes; beyond it the memory starts afresh.
+WORDS_KEPT = 200_000
 THRESHOLD = 0.3
 _SHAPE = bytes(ord("A") if 65 <= c <= 90 else ord("a") if 97 <= c <= 122 or c >= 128 else ord("0") if 48 <= c <= 57 else c for c in range(256))
 _RUNS = re.compile(rb"(.)\1+", re.S)

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import WordHashes, documents, materialise, ngrams, over_batches, utf8
+from junctionflow.llm.common import documents, materialise, ngrams, rewrite, utf8, word_hashes
 
 MIN_WORDS = 50
 #: Per cent of words in repeated three-word runs, and of lines and symbols to words, above which a document fails.
@@ -26,17 +26,21 @@ HOST_RATE = 0.6
 HOSTS_SENT = 10_000
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+NAMES = [c.split()[0] for c in COUNTS.split(", ")]
 _SPACE, _SYMBOLS, _CONTINUED = b" \t\n\r\x0b\x0c", b"#*$%&|<>", bytes(range(0x80, 0xC0))
 
 
-def text_counts(text: bytes, memo: WordHashes) -> tuple[int, int, int, int, int]:
-    words = text.split()
+def text_counts(text: bytes) -> tuple[int, int, int, int, int]:
+    words = word_hashes(text)
     lines = [x for x in text.split(b"\n") if x.strip()]
     repeated = 0
     if len(words) >= 3:
-        _, which, times = np.unique(ngrams(memo.of(words), 3), return_inverse=True, return_counts=True)
-        hit = times[which] > 1
-        if hit.any():
+        grams = ngrams(words, 3)
+        order = np.argsort(grams)
+        same = np.r_[False, grams[order[1:]] == grams[order[:-1]], False]
+        if same.any():
+            hit = np.zeros(len(grams), bool)
+            hit[order] = same[1:] | same[:-1]
             covered = np.zeros(len(words), bool)
             for i in range(3):
                 covered[i : i + len(hit)] |= hit
@@ -44,16 +48,14 @@ def text_counts(text: bytes, memo: WordHashes) -> tuple[int, int, int, int, int]
     return len(words), len(text.translate(None, _CONTINUED + _SPACE)), len(text) - len(text.translate(None, _SYMBOLS)), len(lines) - len(set(lines)), repeated
 
 
-def with_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns of docs, and the counts of each text."""
-    memo = WordHashes()
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
+def with_counts(docs: DataFrame) -> DataFrame:
+    """docs, and the counts of each text."""
 
-    def per_batch(_text, **kept):
-        rows = [text_counts(t, memo) for t in _text]
-        return kept | {c.split()[0]: [r[i] for r in rows] for i, c in enumerate(COUNTS.split(", "))}
+    def per_batch(__text):
+        rows = [text_counts(t) for t in __text]
+        return {c.split()[0]: [r[i] for r in rows] for i, c in enumerate(COUNTS.split(", "))}
 
-    return over_batches(docs.select(*[F.col(c) for c in docs.columns if c in keep], utf8().alias("_text")), per_batch, f"{schema}, {COUNTS}")
+    return rewrite(docs.drop(*NAMES).withColumn("__text", utf8()), ["__text"], per_batch, COUNTS)
 
 
 def base_failed() -> Column:
@@ -87,11 +89,14 @@ def with_verdicts(counted: DataFrame, judged: DataFrame | None = None) -> DataFr
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    return with_verdicts(with_counts(docs, docs.columns), with_counts(docs, ["source"])).filter("kept").select(*docs.columns)
+    own = [c for c in docs.columns if c in [*NAMES, "base_failed", "kept"]]  # such columns step aside meanwhile
+    aside = docs.withColumnsRenamed({c: f"__own_{c}" for c in own})
+    judged = with_verdicts(with_counts(aside), with_counts(docs.select("source", "text"))).filter("kept")
+    return judged.drop(*own).withColumnsRenamed({f"__own_{c}": c for c in own}).select(*docs.columns)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = materialise(with_counts(documents(spark, sf_dir), ["doc_id", "source"]))
+    counted = materialise(with_counts(documents(spark, sf_dir).select("doc_id", "source", "text")).drop("text"))
     return with_verdicts(counted).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

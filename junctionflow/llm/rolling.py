@@ -2,37 +2,18 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
-from junctionflow.llm.common import mix
+from junctionflow.llm.common import byte_values, mix, prefix_sums
 
-_BASE = 0x9E3779B97F4A7C55  # odd, so that its powers have inverses modulo 2^64
 _POSITION_BITS = 24
 
 
-@lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    return mix(np.arange(1, 257, dtype=np.uint64)), mix(np.arange(1001, 1257, dtype=np.uint64))
-
-
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(_BASE, -1, 1 << 64))
-    up, down = np.full(n, np.uint64(_BASE)), np.full(n, inverse)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
 class Prefixes:
     """Hashes of any part of ``data`` in constant time, by sums of powers modulo 2^64; equal parts have equal hashes."""
 
-    def __init__(self, data: bytes, table: int = 0):
-        n = len(data)
-        self.up, self.down = _powers(1 << max(12, n.bit_length()))
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_tables()[table][np.frombuffer(data, np.uint8)] * self.up[:n], out=self.sums[1:])
+    def __init__(self, data: bytes, seed: int = 0):
+        self.sums, self.down = prefix_sums(byte_values(seed)[np.frombuffer(data, np.uint8)])
 
     def of(self, start, end) -> np.ndarray:
         """Hashes of data[start:end], for arrays of bounds."""

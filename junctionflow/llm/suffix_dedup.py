@@ -128,7 +128,7 @@ def sorted_repeats(rows: DataFrame, buckets: int) -> DataFrame:
 def repeated_starts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """__id, __tie, __starts: runs (first, last) of starts whose strings occur elsewhere too; they may overlap."""
     every = materialise(stretches(docs, length))
-    recurring = every.groupBy("core").count().filter("count > 1").select("core")
+    recurring = materialise(every.groupBy("core").count().filter("count > 1").select("core"))
     shared = materialise(every.join(recurring, "core", "left_semi"))
     contents = materialise(shared.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("id", "tie", "first", "last")).alias("one")))
     copies = shared.join(contents.filter("n > 1").select("core", "whole"), ["core", "whole"], "left_semi").select("id", "tie", "first", "last")
