@@ -6,6 +6,7 @@ Documents with equal sets are one class from the start, however many copies ther
   Two sets that link share a shingle among the first ``size - ceil(0.8 size) + 1`` of each, so only these are indexed,
   with their positions.
 * In each index list every set is first compared with the list's head, so a list gives as many pairs as it has sets.
+  Pairs whose prefixes share too little to link are dropped before any set is fetched.
 * Linked sets form components. Within a list only sets of different components are still to be compared, and most of
   these are skipped by what is known already: by position (what two sets can share before and after the common
   shingle), and from the counts that both share with the list's head. With x and y shingles in common with the head,
@@ -140,6 +141,16 @@ def overlaps(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return over_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), per_batch, "a long, b long, common int, linked boolean")
 
 
+def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """a, b of the pairs whose prefixes share enough. What two sets share lies in both prefixes, up to the end of the
+    prefix that ends first, or in the rest of that set; so common shingles are at most those of the prefixes and the
+    longer rest."""
+    sides = [classes.select(F.col("cls").alias(s), F.col("size").alias(f"{s}_size"), F.col("prefix").alias(f"{s}_prefix")) for s in "ab"]
+    both = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b")
+    most = F.size(F.array_intersect("a_prefix", "b_prefix")) + F.greatest(*[F.col(f"{s}_size") - F.size(f"{s}_prefix") for s in "ab"])
+    return both.filter(_sizes_fit("a_size", "b_size") & (most >= _need("a_size", "b_size"))).select("a", "b")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label for every node of ``edges`` (a, b): the least node that it reaches.
 
@@ -170,9 +181,8 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
     heads = materialise(entries.groupBy("shingle").agg(F.count("*").alias("n"), F.min("cls").alias("head")).filter("n > 1").drop("n"))
     lists = entries.join(heads, "shingle").select("shingle", "head", "cls", F.shiftright("at", 32).cast("int").alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place"))
     lists = materialise(lists)
-    sizes = classes.select("cls", "size")
-    stars = lists.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b"), F.col("size").alias("a_size")).distinct()
-    stars = materialise(stars.join(sizes.select(F.col("cls").alias("b"), F.col("size").alias("b_size")), "b").filter(_sizes_fit("a_size", "b_size")).select("a", "b"))
+    stars = lists.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct()
+    stars = materialise(may_link(stars, classes))
 
     def per_batch(cls, text):
         return {"cls": cls, "shingles": [shingles(t, words).tobytes() for t in text]}
@@ -200,7 +210,7 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
     by_head = F.least("a_common", "b_common") + F.least(F.col("a_size") - F.col("a_common"), F.col("b_size") - F.col("b_common"))
     pairs = left.join(right, "shingle").filter((F.col("a_cls") < F.col("b_cls")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size"))
     pairs = pairs.filter(by_block & (by_position >= need) & F.coalesce(by_head >= need, F.lit(True)))
-    pairs = materialise(pairs.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct())
+    pairs = materialise(may_link(pairs.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct(), classes))
     if pairs.isEmpty():
         return labels
     rest = materialise(overlaps(pairs, with_sets(pairs))).filter("linked")
