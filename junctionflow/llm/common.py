@@ -118,15 +118,19 @@ def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, down
 
 
-def word_hashes(text: bytes, lower: bool = False) -> np.ndarray:
-    """A hash for each word, in order: the runs of anything but ASCII white space."""
+def words(text: bytes, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, hash) of each word, in order: the runs of anything but ASCII white space."""
     data = np.frombuffer(text, np.uint8)
     sums, down = prefix_sums(byte_values(0, lower)[data])
     inside = np.zeros(len(data) + 2, bool)
     np.logical_not(_SPACE[data], out=inside[1:-1])
     ends = np.flatnonzero(inside[1:] != inside[:-1])
     first, last = ends[::2], ends[1::2]
-    return mix((sums[last] - sums[first]) * down[first])
+    return first, last, mix((sums[last] - sums[first]) * down[first])
+
+
+def word_hashes(text: bytes, lower: bool = False) -> np.ndarray:
+    return words(text, lower)[2]
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -11,7 +11,7 @@ Only the last sequence is not full. Other columns are not read.
 
 from __future__ import annotations
 
-import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import documents, materialise, utf8
+from junctionflow.llm.common import documents, materialise, utf8, words
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 WINDOW = 4096
-#: Chunks between white space whose ids a task remembers; beyond it the memory starts afresh.
-CHUNKS_KEPT = 300_000
+#: Chunks between white space whose ids a Python worker remembers; beyond it the memory starts afresh.
+CHUNKS_KEPT = 1_000_000
 
 _TOKENS = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
@@ -44,8 +44,9 @@ class ChunkIds:
     """Ids of texts, by way of their chunks between ASCII white space.
 
     The tokenizer folds white space to a blank, never joins over it and drops it, and its other steps look at one
-    character or at one word, so the ids of a text are those of its chunks in turn. Texts that hold a special token's
-    string, whose match may take white space with it, are encoded as a whole.
+    character or at one word, so the ids of a text are those of its chunks in turn. A chunk of ASCII has the ids of its
+    lower case, and a full stop or comma that follows a letter at its end has its own. Texts that hold a special
+    token's string, whose match may take white space with it, are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -55,18 +56,39 @@ class ChunkIds:
 
     def _encoded(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode(errors="replace") for t in texts], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        parts = {c: (p[:-1], p[-1:]) if len(p) > 1 and p[-1:] in (b".", b",") and p[-2:-1].isalpha() else (p,) for c in chunks for p in (c.lower() if c.isascii() else c,)}
+        new = list({p for ps in parts.values() for p in ps if p not in self.kept})
+        for at in range(0, len(new), 4096):
+            self.kept.update(zip(part := new[at : at + 4096], self._encoded(part), strict=True))
+        self.kept.update({c: b"".join([self.kept[p] for p in ps]) for c, ps in parts.items()})
 
     def of(self, texts: list[bytes]) -> list[bytes]:
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        chunks = [[] if i in whole else t.split() for i, t in enumerate(texts)]
+        """Little-endian 32-bit ids of each text. Equal chunks of the texts are looked up once."""
         if len(self.kept) >= CHUNKS_KEPT:
             self.kept.clear()
-        new = list({c for cs in chunks for c in cs if c not in self.kept})
-        for at in range(0, len(new), 4096):
-            self.kept.update(zip(part := new[at : at + 4096], self._encoded(part), strict=True))
-        get = self.kept.__getitem__
-        return [self._encoded([t])[0] if i in whole else b"".join(map(get, cs)) for i, (t, cs) in enumerate(zip(texts, chunks, strict=True))]
+        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        every = b" ".join([b"" if i in whole else t for i, t in enumerate(texts)])
+        first, last, hashes = words(every)
+        _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+        chunks = [every[a:b] for a, b in zip(first[one].tolist(), last[one].tolist(), strict=True)]
+        self._learn({c for c in chunks if c not in self.kept})
+        found = [self.kept[c] for c in chunks]
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        place, times = (np.cumsum(n) - n)[which], n[which]
+        ends = np.cumsum(times)
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(place - (ends - times), times) + np.arange(ends[-1] if len(ends) else 0)]
+        # words before each text's end, hence ids before it
+        upto = np.r_[0, ends][np.searchsorted(first, np.cumsum([0, *[(0 if i in whole else len(t)) + 1 for i, t in enumerate(texts)]]))].tolist()
+        return [self._encoded([t])[0] if i in whole else ids[upto[i] : upto[i + 1]].tobytes() for i, t in enumerate(texts)]
+
+
+@lru_cache(maxsize=1)
+def _chunk_ids(path: str) -> ChunkIds:
+    """One memory for all tasks of a Python worker."""
+    return ChunkIds(path)
 
 
 def tokenise(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
@@ -74,7 +96,7 @@ def tokenise(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID)
     32-bit ids with the end id. Written as a table in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before, end, memo = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes(), ChunkIds(tokenizer)
+        part, before, end, memo = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes(), _chunk_ids(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 doc_id, text = (c.to_pylist() for c in batch.slice(at, 256).columns)
