@@ -5,7 +5,8 @@ Documents with equal sets are one class from the start, however many copies ther
 * Shingles stand in one global order: those found in many prefixes last (a fixed-size bitmap tells which), else by hash.
   Two sets that link share a shingle among the first ``size - ceil(0.8 size) + 1`` of each, so only these are indexed,
   with their positions.
-* In each index list every set is first compared with the list's head, so a list gives as many pairs as it has sets.
+* In each index list every set is first compared with the list's head, the set of which most is shared with others, so
+  a list gives as many pairs as it has sets.
   Pairs whose prefixes share too little to link are dropped before any set is fetched.
 * Linked sets form components. Within a list only sets of different components are still to be compared, and most of
   these are skipped by what is known already: by position (what two sets can share before and after the common
@@ -178,9 +179,13 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
     classes = materialise(every.filter("size > 0").groupBy("cls", "size").agg(F.min(F.struct("id", "tie")).alias("one"), F.first("prefix").alias("prefix")))
     # one long for size and place keeps the rows of the widest shuffle small
     entries = classes.select("cls", "size", F.posexplode("prefix").alias("place", "shingle")).select("shingle", "cls", (F.col("size").cast("long") * (1 << 32) + F.col("place")).alias("at"))
-    heads = materialise(entries.groupBy("shingle").agg(F.count("*").alias("n"), F.min("cls").alias("head")).filter("n > 1").drop("n"))
-    lists = entries.join(heads, "shingle").select("shingle", "head", "cls", F.shiftright("at", 32).cast("int").alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place"))
-    lists = materialise(lists)
+    shared = materialise(entries.groupBy("shingle").count().filter("count > 1").select("shingle"))
+    lists = materialise(entries.join(shared, "shingle", "left_semi").select("shingle", "cls", F.shiftright("at", 32).cast("int").alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")))
+    # the head of a list is its set of which most is shared with others: in a group of edited copies, what they come from
+    own = materialise(lists.groupBy("cls").agg(F.round(1000 * (1 - F.count("*") / F.max(F.col("size") - F.ceil(F.col("size") * PERCENT / PERCENT_OF) + 1))).cast("int").alias("own")))
+    ranked = lists.join(own, "cls")
+    heads = materialise(ranked.groupBy("shingle").agg(F.min(F.struct("own", "cls")).alias("head")).select("shingle", F.col("head.cls").alias("head")))
+    lists = lists.join(heads, "shingle")
     stars = lists.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct()
     stars = materialise(may_link(stars, classes))
 
