@@ -28,7 +28,10 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 WINDOW = 4096
 #: Chunks between white space whose ids a Python worker remembers; beyond it the memory starts afresh.
-CHUNKS_KEPT = 1_000_000
+CHUNKS_KEPT = 1_400_000
+
+#: Texts whose chunks are looked up together.
+TEXTS = 1024
 
 _TOKENS = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
@@ -98,8 +101,8 @@ def tokenise(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, end, memo = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes(), _chunk_ids(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                doc_id, text = (c.to_pylist() for c in batch.slice(at, 256).columns)
+            for at in range(0, batch.num_rows, TEXTS):
+                doc_id, text = (c.to_pylist() for c in batch.slice(at, TEXTS).columns)
                 ids = [x + end for x in memo.of(text)]
                 n = [len(x) // 4 for x in ids]
                 start = before + np.cumsum([0, *n])
