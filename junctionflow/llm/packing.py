@@ -28,10 +28,10 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 WINDOW = 4096
 #: Chunks between white space whose ids a Python worker remembers; beyond it the memory starts afresh.
-CHUNKS_KEPT = 1_400_000
+CHUNKS_KEPT = 600_000
 
 #: Texts whose chunks are looked up together.
-TEXTS = 1024
+TEXTS = 256
 
 _TOKENS = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
@@ -47,8 +47,8 @@ class ChunkIds:
     """Ids of texts, by way of their chunks between ASCII white space.
 
     The tokenizer folds white space to a blank, never joins over it and drops it, and its other steps look at one
-    character or at one word, so the ids of a text are those of its chunks in turn. A chunk of ASCII has the ids of its
-    lower case, and a full stop or comma that follows a letter at its end has its own. Texts that hold a special
+    character or at one word, so the ids of a text are those of its chunks in turn. Capitals of ASCII have the ids of
+    small letters, and a full stop or comma that follows a letter at a chunk's end has its own. Texts that hold a special
     token's string, whose match may take white space with it, are encoded as a whole.
     """
 
@@ -62,11 +62,11 @@ class ChunkIds:
         return [array("I", x.ids).tobytes() for x in found]
 
     def _learn(self, chunks: set[bytes]) -> None:
-        parts = {c: (p[:-1], p[-1:]) if len(p) > 1 and p[-1:] in (b".", b",") and p[-2:-1].isalpha() else (p,) for c in chunks for p in (c.lower() if c.isascii() else c,)}
-        new = list({p for ps in parts.values() for p in ps if p not in self.kept})
+        ended = {c for c in chunks if c.endswith((b".", b",")) and c[-2:-1].isalpha()}
+        new = list(((chunks - ended) | {c[:-1] for c in ended} | {b".", b","}) - self.kept.keys())
         for at in range(0, len(new), 4096):
             self.kept.update(zip(part := new[at : at + 4096], self._encoded(part), strict=True))
-        self.kept.update({c: b"".join([self.kept[p] for p in ps]) for c, ps in parts.items()})
+        self.kept.update({c: self.kept[c[:-1]] + self.kept[c[-1:]] for c in ended})
 
     def of(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text. Equal chunks of the texts are looked up once."""
@@ -74,6 +74,8 @@ class ChunkIds:
             self.kept.clear()
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
         every = b" ".join([b"" if i in whole else t for i, t in enumerate(texts)])
+        if b"\xcc" not in every:  # no mark that a small letter takes up and its capital does not
+            every = every.lower()
         first, last, hashes = words(every)
         _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
         chunks = [every[a:b] for a, b in zip(first[one].tolist(), last[one].tolist(), strict=True)]
