@@ -34,7 +34,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of 4096-token sequences with their ids (little-endian, 32 bits each)."""
-    return packing.pack(packing.tokenise(docs))
+    return packing.pack(packing.tokenise(docs, chunks_kept=100_000))  # the workers also hold what earlier stages left
 
 
 STAGES: list[tuple[str, Stage]] = [("quality", quality), ("lines", lines), ("near_copies", near_copies), ("repeats", repeats), ("packed", packed)]

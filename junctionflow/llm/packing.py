@@ -52,7 +52,8 @@ class ChunkIds:
     token's string, whose match may take white space with it, are encoded as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CHUNKS_KEPT):
+        self.most = most
         self.tokenizer = _tokenizer(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kept: dict[bytes, bytes] = {}
@@ -70,7 +71,7 @@ class ChunkIds:
 
     def of(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text. Equal chunks of the texts are looked up once."""
-        if len(self.kept) >= CHUNKS_KEPT:
+        if len(self.kept) >= self.most:
             self.kept.clear()
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
         every = b" ".join([b"" if i in whole else t for i, t in enumerate(texts)])
@@ -91,17 +92,17 @@ class ChunkIds:
 
 
 @lru_cache(maxsize=1)
-def _chunk_ids(path: str) -> ChunkIds:
+def _chunk_ids(path: str, most: int) -> ChunkIds:
     """One memory for all tasks of a Python worker."""
-    return ChunkIds(path)
+    return ChunkIds(path, most)
 
 
-def tokenise(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
+def tokenise(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, chunks_kept: int = CHUNKS_KEPT) -> DataFrame:
     """part, doc_id, before, n, ids: a task's documents in turn, the ids before each in that task, and little-endian
     32-bit ids with the end id. Written as a table in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before, end, memo = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes(), _chunk_ids(tokenizer)
+        part, before, end, memo = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes(), _chunk_ids(tokenizer, chunks_kept)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 doc_id, text = (c.to_pylist() for c in batch.slice(at, TEXTS).columns)
