@@ -6,13 +6,15 @@ Documents with equal sets are one class from the start, however many copies ther
   Two sets that link share a shingle among the first ``size - ceil(0.8 size) + 1`` of each, so only these are indexed,
   with their positions.
 * In each index list every set is first compared with the list's head, the set of which most is shared with others, so
-  a list gives as many pairs as it has sets.
-  Pairs whose prefixes share too little to link are dropped before any set is fetched.
-* Linked sets form components. Within a list only sets of different components are still to be compared, and most of
-  these are skipped by what is known already: by position (what two sets can share before and after the common
-  shingle), and from the counts that both share with the list's head. With x and y shingles in common with the head,
-  two sets share at most min(x, y) + min(size - x, size' - y). What remains is verified on the sets themselves.
-  Skipping in blocks: a list's entries are joined by blocks of positions that can still reach the threshold.
+  a list gives as many pairs as it has sets. Linked sets form components.
+* Within a list only sets of different components are still to be compared. Their answers come from the head's: with x
+  and y shingles in common with a head of size t, two sets share c if and only if their differences from the head
+  (what one has and the other lacks) share c + t - x - y. Where one of the two does not link with the head, that is one
+  at least for every c that links. So lists of differences are joined in place of lists of sets, rare ones first.
+* Entries of such lists are skipped by position: two differences that must share k have one in common among the first
+  size - k + 1 of each. The block of positions that no partner can reach, all but a quarter of the set's size, is never
+  listed: what only the head has comes last there, which far sets have in common without being alike.
+* What remains is verified on the sets themselves.
 
 Words are runs of anything but ASCII white space, A-Z in lower case. A set is the distinct five-word shingles; with
 fewer words the whole sequence is the one shingle; nulls and texts without words have an empty set and link with
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from junctionflow.llm.common import distinct, documents, keyed, materialise, mix, ngrams, over_batches, signed, utf8, word_hashes
@@ -38,8 +40,6 @@ PERCENT, PERCENT_OF = 80, 100
 #: Prefixes that share a shingle from which it is put last, and the bits that name the places of the bitmap that tells
 #: so: about a place for each shingle of the prefixes, up to a bitmap of 16 MB.
 FREQUENT, BITMAP_BITS = 12, (20, 27)
-#: Positions of an index list that are skipped or joined together.
-BLOCK = 16
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -122,6 +122,13 @@ def _sizes_fit(a: str, b: str) -> Column:
     return F.lit(PERCENT_OF) * F.least(a, b) >= F.lit(PERCENT) * F.greatest(a, b)
 
 
+def _paired(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """a, b, left, right: the sets (of cls, shingles) of both sides."""
+    left = members.select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
+    right = members.select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+
 def overlaps(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """a, b, common, linked for pairs (a, b) of classes, from their sets (cls, shingles)."""
 
@@ -137,9 +144,29 @@ def overlaps(pairs: DataFrame, members: DataFrame) -> DataFrame:
             linked.append(PERCENT_OF * c >= PERCENT * (len(x) + len(y) - c))
         return {"a": a, "b": b, "common": common, "linked": linked}
 
-    left = members.select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
-    right = members.select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
-    return over_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), per_batch, "a long, b long, common int, linked boolean")
+    return over_batches(_paired(pairs, members), per_batch, "a long, b long, common int, linked boolean")
+
+
+def differences(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """a, b, skipped, differs: the shingles that just one of both sets has, those of a first, without the last ones
+    (``skipped`` of them), which no set that links with a needs.
+
+    A set that links with a is a quarter larger at most, so that both have at most a quarter of a's size that the other
+    lacks. It shares the rest of the difference from b. Differences no larger than a are whole: with these, how many a
+    pair must share is told more sharply.
+    """
+
+    def per_batch(a, b, left, right):
+        out: dict[str, list] = {"a": a, "b": b, "skipped": [], "differs": []}
+        for x, y in zip(left, right, strict=True):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            differs = np.concatenate([np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)])
+            skipped = len(differs) - len(x) // 4 - 1 if len(differs) > len(x) else 0
+            out["skipped"].append(skipped)
+            out["differs"].append(signed(differs[: len(differs) - skipped]))
+        return out
+
+    return over_batches(_paired(pairs, members), per_batch, "a long, b long, skipped int, differs array<long>")
 
 
 def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -186,8 +213,7 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
     ranked = lists.join(own, "cls")
     heads = materialise(ranked.groupBy("shingle").agg(F.min(F.struct("own", "cls")).alias("head")).select("shingle", F.col("head.cls").alias("head")))
     lists = lists.join(heads, "shingle")
-    stars = lists.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct()
-    stars = materialise(may_link(stars, classes))
+    stars = materialise(lists.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct())
 
     def per_batch(cls, text):
         return {"cls": cls, "shingles": [shingles(t, words).tobytes() for t in text]}
@@ -199,23 +225,28 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
         texts = keyed(docs).select("__id", "__tie", utf8().alias("text")).join(wanted, ["__id", "__tie"]).dropDuplicates(["cls"])
         return materialise(over_batches(texts.select("cls", "text"), per_batch, "cls long, shingles binary"))
 
-    compared = materialise(overlaps(stars, with_sets(stars)))
+    members = with_sets(stars)
+    compared = materialise(overlaps(stars, members))
     labels = components(compared.filter("linked"))
 
-    known = compared.select(F.col("a").alias("cls"), F.col("b").alias("head"), "common")
-    side = lists.join(known, ["cls", "head"], "left").join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left")
-    side = materialise(side.select("shingle", "cls", "size", "place", "head", "common", F.coalesce("label", "cls").alias("label")).filter(F.col("cls") != F.col("head")))
-    mixed = materialise(side.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle"))
-    open_ = side.join(mixed, "shingle", "left_semi")
-    left, right = (open_.select("shingle", F.floor(F.col("place") / BLOCK).alias(f"{s}_block"), *[F.col(c).alias(f"{s}_{c}") for c in ("cls", "size", "place", "common", "label")]) for s in "ab")
-    need = _need("a_size", "b_size")
-    by_position = F.least("a_place", "b_place") + 1 + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place")) - 1
-    # blocks too far apart cannot reach the threshold: a place further on is a shingle less to share
-    by_block = F.greatest("a_size", "b_size") - (F.abs(F.col("a_block") - F.col("b_block")) - 1) * BLOCK >= need
-    by_head = F.least("a_common", "b_common") + F.least(F.col("a_size") - F.col("a_common"), F.col("b_size") - F.col("b_common"))
-    pairs = left.join(right, "shingle").filter((F.col("a_cls") < F.col("b_cls")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size"))
-    pairs = pairs.filter(by_block & (by_position >= need) & F.coalesce(by_head >= need, F.lit(True)))
-    pairs = materialise(may_link(pairs.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct(), classes))
+    side = lists.filter(F.col("cls") != F.col("head")).join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left")
+    side = materialise(side.select("shingle", "cls", "head", F.coalesce("label", "cls").alias("label")))
+    mixed = side.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle")
+    open_ = materialise(side.join(mixed, "shingle", "left_semi").groupBy(F.col("cls").alias("a"), F.col("head").alias("b")).agg(F.first("label").alias("label")))
+    sizes = classes.select("cls", "size")
+    apart = materialise(differences(open_.select("a", "b"), members))
+    often = materialise(apart.select("b", F.explode("differs").alias("shingle")).groupBy("b", "shingle").agg(F.count("*").alias("n")).filter("n > 1"))
+    listed = apart.select("a", "b", "skipped", F.size("differs").alias("differ"), F.explode("differs").alias("shingle")).join(often, ["b", "shingle"])
+    of_set = Window.partitionBy("a", "b")  # a set's difference from one head; what is found nowhere else stands first
+    listed = listed.withColumn("place", F.col("differ") - F.count("*").over(of_set) + F.row_number().over(of_set.orderBy("n", "shingle")))
+    known = open_.join(compared.select("a", "b", "common"), ["a", "b"]).join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "of_head"), "b")
+    listed = materialise(listed.select("a", "b", "shingle", "skipped", "differ", "place").join(known, ["a", "b"]))
+    left, right = (listed.select("b", "shingle", *[F.col(c).alias(f"{s}_{c}") for c in ("a", "label", "size", "of_head", "common", "skipped", "differ", "place")]) for s in "ab")
+    must = _need("a_size", "b_size") + F.col("a_of_head") - F.col("a_common") - F.col("b_common")
+    listed_too = F.greatest(must - F.greatest("a_skipped", "b_skipped"), F.lit(1))  # of these so many are listed in both
+    reach = (F.col("a_place") + listed_too <= F.col("a_differ") + 1) & (F.col("b_place") + listed_too <= F.col("b_differ") + 1)
+    pairs = left.join(right, ["b", "shingle"]).filter((F.col("a_a") < F.col("b_a")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size") & reach)
+    pairs = materialise(may_link(pairs.select(F.col("a_a").alias("a"), F.col("b_a").alias("b")).distinct(), classes))
     if pairs.isEmpty():
         return labels
     rest = materialise(overlaps(pairs, with_sets(pairs))).filter("linked")
