@@ -25,6 +25,7 @@ no rows. Other columns pass through the stage and are not read by the join.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ PERCENT, PERCENT_OF = 80, 100
 #: Prefixes that share a shingle from which it is put last, and the bits that name the places of the bitmap that tells
 #: so: about a place for each shingle of the prefixes, up to a bitmap of 16 MB.
 FREQUENT, BITMAP_BITS = 12, (20, 27)
+#: Slices in which sets are compared with heads.
+SLICES = 4
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -122,13 +125,6 @@ def _sizes_fit(a: str, b: str) -> Column:
     return F.lit(PERCENT_OF) * F.least(a, b) >= F.lit(PERCENT) * F.greatest(a, b)
 
 
-def _paired(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """a, b, left, right: the sets (of cls, shingles) of both sides."""
-    left = members.select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
-    right = members.select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-
-
 def overlaps(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """a, b, common, linked for pairs (a, b) of classes, from their sets (cls, shingles)."""
 
@@ -144,29 +140,44 @@ def overlaps(pairs: DataFrame, members: DataFrame) -> DataFrame:
             linked.append(PERCENT_OF * c >= PERCENT * (len(x) + len(y) - c))
         return {"a": a, "b": b, "common": common, "linked": linked}
 
-    return over_batches(_paired(pairs, members), per_batch, "a long, b long, common int, linked boolean")
+    left = members.select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
+    right = members.select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
+    return over_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), per_batch, "a long, b long, common int, linked boolean")
 
 
-def differences(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """a, b, skipped, differs: the shingles that just one of both sets has, those of a first, without the last ones
-    (``skipped`` of them), which no set that links with a needs.
+def against_heads(stars: DataFrame, members: DataFrame) -> DataFrame:
+    """a, b, common, linked, skipped, differs for sets a and heads b: the shingles that just one of both has, those of a
+    first, without the last ones (``skipped`` of them), which no set that links with a needs.
 
     A set that links with a is a quarter larger at most, so that both have at most a quarter of a's size that the other
     lacks. It shares the rest of the difference from b. Differences no larger than a are whole: with these, how many a
-    pair must share is told more sharply.
+    pair must share is told more sharply. Written in slices of the sets, so that few sets are on their way at once.
     """
 
     def per_batch(a, b, left, right):
-        out: dict[str, list] = {"a": a, "b": b, "skipped": [], "differs": []}
+        out: dict[str, list] = {"a": a, "b": b, "common": [], "linked": [], "skipped": [], "differs": []}
         for x, y in zip(left, right, strict=True):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            differs = np.concatenate([np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)])
-            skipped = len(differs) - len(x) // 4 - 1 if len(differs) > len(x) else 0
+            inside = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+            c = int(inside.sum())
+            n = len(x) + len(y) - 2 * c
+            skipped = n - len(x) // 4 - 1 if n > len(x) else 0
+            differs = x[~inside]
+            if len(differs) < n - skipped:
+                differs = np.concatenate([differs, np.setdiff1d(y, x, assume_unique=True)])
+            out["common"].append(c)
+            out["linked"].append(PERCENT_OF * c >= PERCENT * (len(x) + len(y) - c))
             out["skipped"].append(skipped)
-            out["differs"].append(signed(differs[: len(differs) - skipped]))
+            out["differs"].append(signed(differs[: n - skipped]))
         return out
 
-    return over_batches(_paired(pairs, members), per_batch, "a long, b long, skipped int, differs array<long>")
+    heads = members.join(stars.select(F.col("b").alias("cls")).distinct(), "cls", "left_semi").select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
+    parts = []
+    for k in range(SLICES):
+        left = members.filter(F.pmod(F.xxhash64("cls"), F.lit(SLICES)) == k).select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
+        both = stars.join(left, "a").join(heads, "b").select("a", "b", "left", "right")
+        parts.append(materialise(over_batches(both, per_batch, "a long, b long, common int, linked boolean, skipped int, differs array<long>")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -225,8 +236,7 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
         texts = keyed(docs).select("__id", "__tie", utf8().alias("text")).join(wanted, ["__id", "__tie"]).dropDuplicates(["cls"])
         return materialise(over_batches(texts.select("cls", "text"), per_batch, "cls long, shingles binary"))
 
-    members = with_sets(stars)
-    compared = materialise(overlaps(stars, members))
+    compared = against_heads(stars, with_sets(stars))
     labels = components(compared.filter("linked"))
 
     side = lists.filter(F.col("cls") != F.col("head")).join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left")
@@ -234,7 +244,7 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
     mixed = side.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle")
     open_ = materialise(side.join(mixed, "shingle", "left_semi").groupBy(F.col("cls").alias("a"), F.col("head").alias("b")).agg(F.first("label").alias("label")))
     sizes = classes.select("cls", "size")
-    apart = materialise(differences(open_.select("a", "b"), members))
+    apart = materialise(compared.select("a", "b", "skipped", "differs").join(open_.select("a", "b"), ["a", "b"], "left_semi"))
     often = materialise(apart.select("b", F.explode("differs").alias("shingle")).groupBy("b", "shingle").agg(F.count("*").alias("n")).filter("n > 1"))
     listed = apart.select("a", "b", "skipped", F.size("differs").alias("differ"), F.explode("differs").alias("shingle")).join(often, ["b", "shingle"])
     of_set = Window.partitionBy("a", "b")  # a set's difference from one head; what is found nowhere else stands first
