@@ -42,7 +42,7 @@ PERCENT, PERCENT_OF = 80, 100
 #: so: about a place for each shingle of the prefixes, up to a bitmap of 16 MB.
 FREQUENT, BITMAP_BITS = 12, (20, 27)
 #: Slices in which sets are compared with heads.
-SLICES = 4
+SLICES = 6
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -150,8 +150,8 @@ def against_heads(stars: DataFrame, members: DataFrame) -> DataFrame:
     first, without the last ones (``skipped`` of them), which no set that links with a needs.
 
     A set that links with a is a quarter larger at most, so that both have at most a quarter of a's size that the other
-    lacks. It shares the rest of the difference from b. Differences no larger than a are whole: with these, how many a
-    pair must share is told more sharply. Written in slices of the sets, so that few sets are on their way at once.
+    lacks. It shares the rest of the difference from b. Differences no larger than a are whole: with these, how
+    many a pair must share is told more sharply. Written in slices of the pairs, so that few sets are on their way at once.
     """
 
     def per_batch(a, b, left, right):
@@ -171,11 +171,11 @@ def against_heads(stars: DataFrame, members: DataFrame) -> DataFrame:
             out["differs"].append(signed(differs[: n - skipped]))
         return out
 
-    heads = members.join(stars.select(F.col("b").alias("cls")).distinct(), "cls", "left_semi").select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
     parts = []
     for k in range(SLICES):
-        left = members.filter(F.pmod(F.xxhash64("cls"), F.lit(SLICES)) == k).select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
-        both = stars.join(left, "a").join(heads, "b").select("a", "b", "left", "right")
+        pairs = stars.filter(F.pmod(F.xxhash64("a", "b"), F.lit(SLICES)) == k)
+        left, right = (members.join(pairs.select(F.col(c).alias("cls")).distinct(), "cls", "left_semi").select(F.col("cls").alias(c), F.col("shingles").alias(side)) for c, side in (("a", "left"), ("b", "right")))
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
         parts.append(materialise(over_batches(both, per_batch, "a long, b long, common int, linked boolean, skipped int, differs array<long>")))
     return reduce(DataFrame.unionByName, parts)
 
@@ -233,7 +233,7 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
         """cls, shingles of the classes in ``pairs``."""
         named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         wanted = classes.join(named, "cls", "left_semi").select(F.col("one.id").alias("__id"), F.col("one.tie").alias("__tie"), "cls")
-        texts = keyed(docs).select("__id", "__tie", utf8().alias("text")).join(wanted, ["__id", "__tie"]).dropDuplicates(["cls"])
+        texts = keyed(docs).select("__id", "__tie", utf8().alias("text")).join(wanted, ["__id", "__tie"]).dropDuplicates(["__id", "__tie"])  # as the join has dealt them
         return materialise(over_batches(texts.select("cls", "text"), per_batch, "cls long, shingles binary"))
 
     compared = against_heads(stars, with_sets(stars))
