@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import distinct, documents, keyed, materialise, mix, ngrams, over_batches, signed, utf8, word_hashes
+from junctionflow.llm.common import distinct, documents, keyed, materialise, mix, ngrams, over_batches, rewrite, signed, utf8, word_hashes
 
 WORDS = 5
 #: Two sets link when PERCENT_OF * common >= PERCENT * union.
@@ -41,8 +42,8 @@ PERCENT, PERCENT_OF = 80, 100
 #: Prefixes that share a shingle from which it is put last, and the bits that name the places of the bitmap that tells
 #: so: about a place for each shingle of the prefixes, up to a bitmap of 16 MB.
 FREQUENT, BITMAP_BITS = 12, (20, 27)
-#: Slices in which sets are compared with heads.
-SLICES = 6
+#: Slices of the sets, and of the heads, that are compared with each other at a time.
+SLICES = (4, 3)
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -172,9 +173,13 @@ def against_heads(stars: DataFrame, members: DataFrame) -> DataFrame:
         return out
 
     parts = []
-    for k in range(SLICES):
-        pairs = stars.filter(F.pmod(F.xxhash64("a", "b"), F.lit(SLICES)) == k)
-        left, right = (members.join(pairs.select(F.col(c).alias("cls")).distinct(), "cls", "left_semi").select(F.col("cls").alias(c), F.col("shingles").alias(side)) for c, side in (("a", "left"), ("b", "right")))
+    def slice_of(c: str, slices: int, k: int) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(slices)) == k
+
+    for i, j in product(*map(range, SLICES)):
+        left = members.filter(slice_of("cls", SLICES[0], i)).select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
+        right = members.filter(F.col("head") & slice_of("cls", SLICES[1], j)).select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
+        pairs = stars.filter(slice_of("a", SLICES[0], i) & slice_of("b", SLICES[1], j))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
         parts.append(materialise(over_batches(both, per_batch, "a long, b long, common int, linked boolean, skipped int, differs array<long>")))
     return reduce(DataFrame.unionByName, parts)
@@ -226,15 +231,15 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
     lists = lists.join(heads, "shingle")
     stars = materialise(lists.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct())
 
-    def per_batch(cls, text):
-        return {"cls": cls, "shingles": [shingles(t, words).tobytes() for t in text]}
+    def per_batch(text):
+        return {"shingles": [shingles(t, words).tobytes() for t in text]}
 
     def with_sets(pairs: DataFrame) -> DataFrame:
-        """cls, shingles of the classes in ``pairs``."""
-        named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        wanted = classes.join(named, "cls", "left_semi").select(F.col("one.id").alias("__id"), F.col("one.tie").alias("__tie"), "cls")
+        """cls, head, shingles of the classes in ``pairs``; ``head`` tells which are a b."""
+        named = pairs.select(F.col("a").alias("cls"), F.lit(False).alias("head")).union(pairs.select("b", F.lit(True))).groupBy("cls").agg(F.max("head").alias("head"))
+        wanted = classes.join(named, "cls").select(F.col("one.id").alias("__id"), F.col("one.tie").alias("__tie"), "cls", "head")
         texts = keyed(docs).select("__id", "__tie", utf8().alias("text")).join(wanted, ["__id", "__tie"]).dropDuplicates(["__id", "__tie"])  # as the join has dealt them
-        return materialise(over_batches(texts.select("cls", "text"), per_batch, "cls long, shingles binary"))
+        return materialise(rewrite(texts.select("cls", "head", "text"), ["text"], per_batch, "shingles binary"))
 
     compared = against_heads(stars, with_sets(stars))
     labels = components(compared.filter("linked"))
