@@ -249,9 +249,8 @@ def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> Dat
     mixed = side.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle")
     open_ = materialise(side.join(mixed, "shingle", "left_semi").groupBy(F.col("cls").alias("a"), F.col("head").alias("b")).agg(F.first("label").alias("label")))
     sizes = classes.select("cls", "size")
-    apart = materialise(compared.select("a", "b", "skipped", "differs").join(open_.select("a", "b"), ["a", "b"], "left_semi"))
-    often = materialise(apart.select("b", F.explode("differs").alias("shingle")).groupBy("b", "shingle").agg(F.count("*").alias("n")).filter("n > 1"))
-    listed = apart.select("a", "b", "skipped", F.size("differs").alias("differ"), F.explode("differs").alias("shingle")).join(often, ["b", "shingle"])
+    often = materialise(compared.select("b", F.explode("differs").alias("shingle")).groupBy("b", "shingle").agg(F.count("*").alias("n")).filter("n > 1"))
+    listed = compared.select("a", "b", "skipped", F.size("differs").alias("differ"), F.explode("differs").alias("shingle")).join(often, ["b", "shingle"])
     of_set = Window.partitionBy("a", "b")  # a set's difference from one head; what is found nowhere else stands first
     listed = listed.withColumn("place", F.col("differ") - F.count("*").over(of_set) + F.row_number().over(of_set.orderBy("n", "shingle")))
     known = open_.join(compared.select("a", "b", "common"), ["a", "b"]).join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "of_head"), "b")
