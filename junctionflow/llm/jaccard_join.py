@@ -278,13 +278,14 @@ def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
-    """docs with the same columns: of each component the row with the least doc_id (then hash) stays."""
+    """docs with the same columns: of each component the row with the least doc_id (then hash) stays, one row only
+    where it is repeated. Rows without words link with nothing and all stay."""
     found = materialise(joined(docs))
     # of the rows that bear the least id of a component, the one with the least hash; equal rows are one
-    best = found.groupBy("group").agg(F.min(F.struct("id", "tie")).alias("one")).select(F.col("one.id").alias("__id"), F.col("one.tie").alias("__tie"))
-    empty = found.filter("size = 0").select(F.col("id").alias("__id"), F.col("tie").alias("__tie"))
-    kept = keyed(docs).join(best.unionByName(empty).distinct(), ["__id", "__tie"], "left_semi")
-    return kept.select(*docs.columns)
+    best = found.filter("size > 0").groupBy("group").agg(F.min(F.struct("id", "tie")).alias("one")).select(F.col("one.id").alias("__id"), F.col("one.tie").alias("__tie"))
+    kept = keyed(docs).join(best, ["__id", "__tie"], "left_semi").dropDuplicates(["__id", "__tie"])  # as the join has dealt them
+    wordless = docs.filter(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return kept.select(*docs.columns).unionByName(wordless)
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,17 @@ def test_jaccard_join(docs, empty, rows):
     assert jaccard_join.joined(empty).count() == 0 and jaccard_join.dedup_documents(empty).count() == 0
 
 
+def test_near_copies_keep_one_of_rows_that_repeat(spark, docs):
+    kept = jaccard_join.dedup_documents(docs)
+    assert [r.doc_id for r in kept.filter("doc_id = 8 AND n_words = 'w'").collect()] == [8]
+    assert kept.filter("doc_id IN (0, 1, 2)").count() == 3
+    text = " ".join(f"w{i}" for i in range(200))
+    made = [(1, text), (1, text), (2, " "), (2, " "), (3, ""), (3, "a text of its own with words")]
+    twice = jaccard_join.dedup_documents(spark.createDataFrame(made, "doc_id long, text string").repartition(3))
+    assert sorted((r.doc_id, r.text) for r in twice.collect()) == sorted(made[1:])
+    assert {r.text for r in suffix_dedup.dedup_documents(twice).filter("doc_id = 1").collect()} == {text}
+
+
 def test_jaccard_join_of_a_large_group_of_edited_copies(spark):
     rng = random.Random(9)
     base = [f"w{i}" for i in range(120)]
