@@ -3,12 +3,13 @@
 Lines without a word are left out of account and always stay. Of each window of ``min_run`` neighbouring lines the line
 with the least hash, the leftmost on a tie, is the fingerprint, so every run of that length carries one. Positions whose
 fingerprint occurs again are joined, extended both ways to the windows that chose it, and windows equal to an earlier
-one (by doc_id, then place) are deleted; neighbouring windows make up the longer runs.
+one (by doc_id, then place) are deleted; neighbouring windows make up the longer runs. With ``long_words``, a line of
+so many words or more is a run in itself too, whatever its neighbours.
 
-So a line goes if and only if it lies in a run of ``min_run`` lines that also starts earlier. Nulls and empty texts have
-no lines and stay as they are. Of rows with one doc_id the hash of the text orders them; wholly equal rows count as one
-and keep or lose the same lines. An empty table gives no rows. Other columns pass through; ``n_chars``, where numeric,
-is counted anew.
+So a line goes if and only if it lies in a run of ``min_run`` lines, or is a long line, that also starts earlier. Nulls and
+empty texts have no lines and stay as they are. Of rows with one doc_id the hash of the text orders them; wholly equal
+rows count as one and keep or lose the same lines. An empty table gives no rows. Other columns pass through;
+``n_chars``, where numeric, is counted anew.
 """
 
 from __future__ import annotations
@@ -22,65 +23,73 @@ from pyspark.sql import functions as F
 from junctionflow.llm.common import documents, keyed, materialise, ngrams, over_batches, rewrite, signed, utf8
 
 MIN_RUN = 2
+#: Words from which the corpus stage takes one line for a run; op7_line_dedup has none, as its SQL knows runs of lines only.
+LONG_WORDS = 20
 
 
-def windows(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """fingerprint, run, id, tie, place: each window of lines, with the fingerprint that it chose."""
+def windows(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
+    """fingerprint, run, id, tie, place, lines: each window of lines, with the fingerprint that it chose; long lines too."""
     def per_batch(id, tie, text):  # noqa: A002
-        out: dict[str, list] = {"fingerprint": [], "run": [], "id": [], "tie": [], "place": []}
+        out: dict[str, list] = {"fingerprint": [], "run": [], "id": [], "tie": [], "place": [], "lines": []}
         for i, t, x in zip(id, tie, text, strict=True):
-            h = np.array([xxhash.xxh3_64_intdigest(line) for line in x.split(b"\n") if line.strip()], np.uint64)
-            if len(h) < min_run:
-                continue
-            least = np.lib.stride_tricks.sliding_window_view(h, min_run).min(axis=1)
-            m = len(least)
-            for name, values in zip(out, (signed(least), signed(ngrams(h, min_run)), np.full(m, i), np.full(m, t), np.arange(m)), strict=True):
-                out[name].append(values)
+            worded = [line for line in x.split(b"\n") if line.strip()]
+            h = np.array([xxhash.xxh3_64_intdigest(line) for line in worded], np.uint64)
+            found = []  # fingerprints, runs, places, lines of a run
+            if len(h) >= min_run:
+                found.append((np.lib.stride_tricks.sliding_window_view(h, min_run).min(axis=1), ngrams(h, min_run), np.arange(len(h) - min_run + 1), min_run))
+            if long_words and min_run > 1:
+                at = np.array([k for k, line in enumerate(worded) if len(line) >= 2 * long_words - 1 and len(line.split()) >= long_words], np.int64)
+                found.append((h[at], ngrams(h, 1)[at], at, 1))
+            for least, run, place, n in found:
+                m = len(place)
+                for name, values in zip(out, (signed(least), signed(run), np.full(m, i), np.full(m, t), place, np.full(m, n)), strict=True):
+                    out[name].append(values)
         return {k: np.concatenate(v) for k, v in out.items()} if out["id"] else None
 
     source = keyed(docs).select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), utf8().alias("text"))
-    return over_batches(source, per_batch, "fingerprint long, run long, id long, tie long, place int")
+    return over_batches(source, per_batch, "fingerprint long, run long, id long, tie long, place int, lines int")
 
 
-def later_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """__id, __tie, __places: the windows of a document that start earlier as well."""
-    every = materialise(windows(docs, min_run))
-    recurring = materialise(every.groupBy("fingerprint").count().filter("count > 1").select("fingerprint"))
-    joined = materialise(every.join(recurring, "fingerprint", "left_semi").drop("fingerprint"))
+def later_runs(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
+    """__id, __tie, __places, __alone: the windows of a document that start earlier as well, and its long lines that do."""
+    every = materialise(windows(docs, min_run, long_words))
+    recurring = materialise(every.groupBy("fingerprint", "lines").count().filter("count > 1").select("fingerprint", "lines"))
+    joined = materialise(every.join(recurring, ["fingerprint", "lines"], "left_semi").drop("fingerprint"))
     where = F.struct("id", "tie", "place")
     first = materialise(joined.groupBy("run").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     later = joined.join(first, "run").filter(where > F.col("first"))
-    return later.groupBy(F.col("id").alias("__id"), F.col("tie").alias("__tie")).agg(F.collect_set("place").alias("__places"))
+    return later.groupBy(F.col("id").alias("__id"), F.col("tie").alias("__tie")).agg(*[F.collect_set(F.when((F.col("lines") == min_run) == whole, F.col("place"))).alias(c) for c, whole in (("__places", True), ("__alone", False))])
 
 
-def cut_runs(text: bytes, places: list[int] | None, min_run: int) -> tuple[bytes, int, int, int]:
+def cut_runs(text: bytes, places: list[int] | None, min_run: int, alone: list[int] | None = None) -> tuple[bytes, int, int, int]:
     """(text without the runs, lines with a word, lines removed, runs removed)"""
     lines = text.split(b"\n")
     worded = [i for i, line in enumerate(lines) if line.strip()]
-    if not places:
+    if not places and not alone:
         return text, len(worded), 0, 0
     gone = np.zeros(len(worded) + 1, bool)
-    for p in places:
+    for p in places or []:
         gone[p : p + min_run] = True
+    gone[alone or []] = True
     out = {worded[i] for i in np.flatnonzero(gone)}
     return b"\n".join(line for i, line in enumerate(lines) if i not in out), len(worded), len(out), int((gone[:-1] & ~gone[1:]).sum())
 
 
-def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
     """The columns of docs with the repeated runs out of ``text``, and __n_lines, __n_removed, __n_runs."""
-    source = keyed(docs).join(later_runs(docs, min_run), ["__id", "__tie"], "left")
+    source = keyed(docs).join(later_runs(docs, min_run, long_words), ["__id", "__tie"], "left")
     source = source.withColumn("__text", F.col("text").cast("binary")).drop("text", "__id", "__tie")
 
-    def per_batch(__text, __places):
-        rows = [cut_runs(t or b"", p, min_run) for t, p in zip(__text, __places, strict=True)]
+    def per_batch(__text, __places, __alone):
+        rows = [cut_runs(t or b"", p, min_run, a) for t, p, a in zip(__text, __places, __alone, strict=True)]
         return {"text": [None if t is None else r[0].decode(errors="replace") for t, r in zip(__text, rows, strict=True)]} | {name: [r[i] for r in rows] for i, name in enumerate(("__n_lines", "__n_removed", "__n_runs"), 1)}
 
-    return rewrite(source, ["__text", "__places"], per_batch, "text string, __n_lines long, __n_removed long, __n_runs long")
+    return rewrite(source, ["__text", "__places", "__alone"], per_batch, "text string, __n_lines long, __n_removed long, __n_runs long")
 
 
-def dedup_documents(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """docs with the same columns, the repeated runs out of ``text``."""
-    out = dedup_lines(docs, min_run)
+def dedup_documents(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = LONG_WORDS) -> DataFrame:
+    """docs with the same columns, the repeated runs and long lines out of ``text``."""
+    out = dedup_lines(docs, min_run, long_words)
     if dict(docs.dtypes).get("n_chars") in ("int", "bigint"):
         out = out.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

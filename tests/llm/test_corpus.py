@@ -207,6 +207,16 @@ def test_line_dedup(docs, empty, rows):
     assert line_dedup.dedup_documents(empty).count() == 0
 
 
+def test_line_dedup_takes_a_long_line_for_a_run(spark):
+    passage, short = " ".join(f"w{i}" for i in range(52)), " ".join(f"s{i}" for i in range(19))
+    made = [(1, f"a b\n{passage}\nc d\n{short}"), (2, f"e f\n{passage}\ng h\n{short}\ni j"), (3, passage), (4, f"{passage}\nk l\n{passage}"), (5, None)]
+    made = [(i, t, len(t or "")) for i, t in made]
+    docs = spark.createDataFrame(made, "doc_id long, text string, n_chars long").repartition(3)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_documents(docs).collect()}
+    assert got == {1: made[0][1], 2: f"e f\ng h\n{short}\ni j", 3: "", 4: "k l", 5: None}
+    assert {r.doc_id: r["__n_removed"] for r in line_dedup.dedup_lines(docs).collect()} == dict.fromkeys(range(1, 6), 0)
+
+
 def test_merkle(docs, empty, rows):
     out = merkle.edit_report(docs.filter("doc_id <> 8")).collect()
     assert merkle.edit_report(empty).count() == 0
