@@ -101,10 +101,34 @@ def filter_copy_number(rows: DataFrame, rep: float = 1.5, deletion: float = 0.3)
     return rows.filter(F.col("chosen_tn").isNotNull() & ~F.coalesce((cn >= deletion) & (cn < rep), F.lit(False)))
 
 
+def profile_pieces(candidates: DataFrame, flank_fraction: float = 0.2) -> DataFrame:
+    """sample, scaf, cand_id, first, last: the window of each candidate as linear pieces.
+
+    It reaches over the segment and the reference elements at its ends (left_tn, right_tn: struct(start, end), where the
+    columns are there and not null), and ``flank_fraction`` of that beyond. Without is_circular all scaffolds are
+    circular: there the window goes around the origin, an element counts on the side of the origin where its end of the
+    segment is, and a window as long as the scaffold is the scaffold once. On linear scaffolds the window is clipped, and
+    an inverted segment has none.
+    """
+    start, end, length = F.col("start"), F.col("end"), F.col("length")
+    circular = F.col("is_circular") if "is_circular" in candidates.columns else F.lit(True)
+    reach = [start, F.when(circular & (start > end), end + length).otherwise(end)]  # beyond the length where it wraps
+    for tn, at in zip(("left_tn", "right_tn"), list(reach), strict=True):
+        if tn in candidates.columns:
+            reach += [F.when(circular, x - length * F.round((x - at) / length).cast("long")).otherwise(x) for x in (F.col(tn)["start"], F.col(tn)["end"])]
+    rows = candidates.filter(circular | (start <= end)).withColumns({"_low": F.least(*reach), "_high": F.greatest(*reach)})
+    flank = F.floor((F.col("_high") - F.col("_low")) * flank_fraction)
+    rows = rows.withColumns({"_first": F.col("_low") - flank, "_last": F.col("_high") + flank})
+    whole = F.col("_last") - F.col("_first") + 1 >= length
+    around = lambda x: F.pmod(x - 1, length) + 1
+    clipped = coords.linear_pieces(F.greatest(F.lit(1), "_first"), F.least("_last", length), length)
+    pieces = F.when(~circular, clipped).when(whole, coords.linear_pieces(F.lit(1), length, length)).otherwise(coords.linear_pieces(around(F.col("_first")), around(F.col("_last")), length))
+    return rows.select(*KEYS, "cand_id", F.explode(pieces).alias("p")).select(*KEYS, "cand_id", "p.first", "p.last")
+
+
 def coverage_profile(candidates: DataFrame, coverage: DataFrame, scaffolds: DataFrame, flank_fraction: float = 0.2, block: int = 4096) -> DataFrame:
-    """Rows to plot: positions of each candidate and its flanks, values over the scaffold average, and their ratio."""
-    by = F.floor((F.col("end") - F.col("start") + 1) * flank_fraction)
-    wide = candidates.select(*KEYS, "cand_id", F.greatest(F.lit(1), F.col("start") - by).alias("first"), F.least(F.col("length"), F.col("end") + by).alias("last")).filter("first <= last")
+    """Rows to plot: positions of each candidate's window, values over the scaffold average, and their ratio."""
+    wide = profile_pieces(candidates, flank_fraction)
     number = lambda c: F.floor((F.col(c) - 1) / block)
     touched = wide.withColumn("block", F.explode(F.sequence(number("first"), number("last"))))
     rows = touched.join(coverage.withColumn("block", number("pos")), [*KEYS, "block"]).filter("pos BETWEEN first AND last").join(scaffolds, ["sample", "cand_id"])

@@ -104,6 +104,28 @@ def test_copy_number_filter(spark):
     assert [r.copy_number for r in coverage.filter_copy_number(rows, 1.6).collect()] == [2.0, 3.0, None, 0.1]
 
 
+def test_coverage_profile_against_brute_force(spark):
+    made = [(1, 20, 40, True, None, None), (2, 90, 10, True, None, None), (3, 5, 30, True, (95, 4), None), (4, 60, 95, True, None, (96, 8)), (5, 60, 50, True, None, None), (6, 5, 95, True, None, None)]
+    made += [(7, 3, 90, False, None, None), (8, 40, 50, False, (30, 39), (51, 70)), (9, 50, 40, False, None, None), (10, 1, 100, True, None, None)]
+    want = {}
+    for i, start, end, circular, left, right in made:
+        if start > end:
+            end += 100
+        reach = [start, end]  # elements stand where their end of the segment is, before 1 or after 100 too
+        for tn, at in ((left, start), (right, end)):
+            reach += [min((x - 100, x, x + 100), key=lambda y: abs(y - at)) if circular else x for x in tn or ()]
+        flank = int((max(reach) - min(reach)) * 0.2)
+        window = range(min(reach) - flank, max(reach) + flank + 1)
+        want[i] = sorted({(x - 1) % 100 + 1 for x in window}) if circular else [x for x in window if 1 <= x <= 100]
+    want[9] = []  # inverted on a linear scaffold
+    rows = spark.createDataFrame([("s", "c", *r, 100) for r in made], "sample string, scaf string, cand_id long, start long, end long, is_circular boolean, left_tn struct<start:long,end:long>, right_tn struct<start:long,end:long>, length long")
+    cov = spark.createDataFrame([("s", "c", p, p % 7, 2) for p in range(1, 101)], "sample string, scaf string, pos long, iso int, anc int")
+    scaf = rows.select("sample", "cand_id", F.lit(2.0).alias("iso_scaf_avg"), F.lit(4.0).alias("anc_scaf_avg"))
+    got = coverage.coverage_profile(rows, cov, scaf, block=16).collect()
+    assert {i: sorted(r.pos for r in got if r.cand_id == i) for i in want} == want
+    assert all((r.iso_norm, r.anc_norm, r.ratio) == (r.pos % 7 / 2, 0.5, r.pos % 7) for r in got)
+
+
 def test_seed_matching_against_brute_force(spark):
     import random
 
