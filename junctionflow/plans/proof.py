@@ -33,10 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def v_scaffold(spark: SparkSession, d: str) -> DataFrame:
+def v_scaffold(spark: SparkSession, d: str, least: int = 200) -> DataFrame:
     seq = F.translate(F.regexp_replace("text", "[^A-Za-z]", ""), UPPER, BASE)
     rows = table(spark, d, "documents").select("doc_id", F.concat(F.lit("d"), "doc_id").alias("scaf"), F.col("source").alias("ref"), seq.alias("seq"), (F.col("doc_id") % 2 == 0).alias("is_circular"))
-    return rows.withColumn("length", F.length("seq")).filter("length >= 200")
+    return rows.withColumn("length", F.length("seq")).filter(F.coalesce("length", F.lit(0)) >= least)
 
 
 SCAFFOLD = f"""scaffold AS (SELECT *, length(seq) AS length FROM (SELECT doc_id, 'd' || doc_id AS scaf, source AS ref,
@@ -262,11 +262,23 @@ def y3_y4_junction_sequences(spark, d):
     return reads.junction_sequences(reads.seven_junctions(cands), sc).select(F.col("arm1.scaf").alias("scaf"), "junction", "seq")
 
 
+def v_read(spark: SparkSession, d: str) -> DataFrame:
+    """Reads of 91 to 100 letters along each whole scaffold, one from every hundredth letter and the last up to the end,
+    with none to four letters substituted (the length of the scaffold where that is less)."""
+    n = lambda i: 91 + (F.col("doc_id") + i) % 10
+    cut = lambda i: F.substring(F.col("seq"), F.greatest(F.lit(1), F.least(i * 100, F.col("length") - n(i)) + 1).cast("int"), n(i).cast("int"))
+    rows = v_scaffold(spark, d, 1).select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / 100).cast("int")), cut)).alias("i", "read"))
+    parts, at = [], 1
+    for k, p in enumerate((7, 29, 51, 73)):
+        one = F.substring("read", p, 1)
+        parts += [F.substring("read", at, p - at), F.when(F.col("i") % 5 > k, F.translate(one, "ACGT", "CGTA")).otherwise(one)]
+        at = p + 1
+    return rows.select((F.col("doc_id").cast("long") * (1 << 32) + F.col("i")).alias("read_id"), F.concat(*parts, F.expr(f"substring(read, {at})")).alias("seq"))
+
+
 @query()
 def y6_match_reads(spark, d):
-    sc = v_scaffold(spark, d)
-    mutated = F.concat(F.substring("seq", 31, 40), F.translate(F.substring("seq", 71, 1), "ACGT", "CGTA"), F.substring("seq", 72, 59))
-    return reads.match_reads(sc.select(F.col("doc_id").alias("read_id"), mutated.alias("seq")), sc.select(F.col("scaf").alias("target"), F.substring("seq", 1, 180).alias("seq")), 100)
+    return reads.match_reads(v_read(spark, d), v_scaffold(spark, d, 0).select(F.col("scaf").alias("target"), "seq"), 100)
 
 
 def v_aln(spark: SparkSession, d: str) -> DataFrame:

@@ -144,6 +144,36 @@ def test_seed_matching_against_brute_force(spark):
     assert {(r.read_id, r.start, r.mismatches) for r in hits.filter("NOT is_reverse").collect()} == want
 
 
+def test_reads_down_to_the_shortest_admitted_are_matched(spark):
+    import random
+
+    rng = random.Random(4)
+    texts = {"t": "".join(rng.choice("ACGT") for _ in range(700))}
+    texts |= {"u": texts["t"][300:520] + "ACGT" * 30, "v": texts["t"], "w": "ACG"}
+    made = [(0, texts["t"][500:589]), (1, "ACGT" * 24)]
+    for i in range(2, 90):
+        n, at = 90 + i % 12, rng.randrange(590)
+        read = list(texts["t"][at : at + n])
+        for p in rng.sample(range(n), i % 5):
+            read[p] = "CGTA"["ACGT".index(read[p])]
+        made.append((i, "".join(read)))
+    made.append((90, made[5][1]))
+    turned = lambda r: r[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    made = [(i, turned(r) if i % 3 == 0 else r) for i, r in made]
+    want = set()
+    for i, r in made:
+        for back, q in ((False, r), (True, turned(r))):
+            for name, t in texts.items():
+                for p in range(len(t) - len(q) + 1) if len(q) >= 90 else ():
+                    n = sum(a != b for a, b in zip(q, t[p : p + len(q)], strict=True))
+                    if n <= 3:
+                        want.add((i, name, back, p, n))
+    hits = reads.match_reads(spark.createDataFrame(made, "read_id long, seq string"), spark.createDataFrame(list(texts.items()), "target string, seq string"), 100)
+    got = [tuple(h) for h in hits.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {i for i, *_ in want} & {i for i, r in made if len(r) < 100}
+
+
 def test_latest_status_stream(spark, tmp_path):
     import datetime as dt
 
