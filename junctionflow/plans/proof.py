@@ -62,6 +62,16 @@ def v_candidate(spark: SparkSession, d: str) -> DataFrame:
     return orders.join(sizes, "scaf").select("sample", "scaf", "cand_id", start.alias("start"), ((start - 1 + (F.col("cand_id") * 13) % F.col("length")) % F.col("length") + 1).alias("end"), "length")
 
 
+def v_candidate_of_every_order(spark: SparkSession, d: str) -> DataFrame:
+    """As v_candidate, with a segment for every order: customer numbers are dealt over the suppliers' scaffolds in turn."""
+    sizes = v_cov(spark, d).groupBy("sample", "scaf").agg(F.max("pos").alias("length"))
+    places = sizes.selectExpr("*", "row_number() OVER (ORDER BY scaf, sample) - 1 AS k", "count(*) OVER () AS n")  # a row for each scaffold
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("cand_id"), "o_custkey").join(F.broadcast(places.agg(F.max("n").alias("n"))))
+    start = (F.col("cand_id") * 7919) % F.col("length") + 1
+    rows = orders.withColumn("k", F.pmod(F.coalesce("o_custkey", F.lit(0)), F.col("n"))).join(places.drop("n"), "k")
+    return rows.select("sample", "scaf", "cand_id", start.alias("start"), ((start - 1 + (F.col("cand_id") * 13) % F.col("length")) % F.col("length") + 1).alias("end"), "length")
+
+
 CANDIDATE = """sizes AS (SELECT sample, scaf, max(pos) AS length FROM cov GROUP BY sample, scaf),
 candidate AS (SELECT sample, scaf, o_orderkey AS cand_id, (o_orderkey * 7919) % length + 1 AS start, ((o_orderkey * 7919) % length + (o_orderkey * 13) % length) % length + 1 AS "end", length
   FROM orders JOIN sizes ON scaf = 's' || o_custkey)"""
@@ -229,7 +239,7 @@ def v10_filter_copy_number(spark, d):
 
 @query()
 def v11_coverage_profile(spark, d):
-    cov, cands = v_cov(spark, d), v_candidate(spark, d)
+    cov, cands = v_cov(spark, d), v_candidate_of_every_order(spark, d)
     scaf = cands.select("sample", "scaf", "cand_id").join(coverage.scaffold_average(cov, "iso").withColumnRenamed("average", "iso_scaf_avg"), ["sample", "scaf"]).join(coverage.scaffold_average(cov, "anc").withColumnRenamed("average", "anc_scaf_avg"), ["sample", "scaf"]).drop("scaf")
     # every third candidate has a reference element before its left end, around the origin where it must
     ends = [F.pmod(F.col("start") - by - 1, F.col("length")) + 1 for by in (40 + F.col("cand_id") % 60, F.lit(1))]

@@ -126,6 +126,16 @@ def test_coverage_profile_against_brute_force(spark):
     assert all((r.iso_norm, r.anc_norm, r.ratio) == (r.pos % 7 / 2, 0.5, r.pos % 7) for r in got)
 
 
+def test_the_profile_has_every_order(spark):
+    from junctionflow.plans import proof
+
+    d = "/root/testdata/sf0.001"
+    rows = proof.v_candidate_of_every_order(spark, d).collect()
+    orders = [r.o_orderkey for r in proof.table(spark, d, "orders").collect()]
+    assert sorted(r.cand_id for r in rows) == sorted(orders) and all(1 <= r.start <= r.length and 1 <= r.end <= r.length for r in rows)
+    assert {r.cand_id for r in proof.v11_coverage_profile(spark, d).select("cand_id").distinct().collect()} == set(orders)
+
+
 def test_seed_matching_against_brute_force(spark):
     import random
 
