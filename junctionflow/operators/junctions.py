@@ -97,13 +97,16 @@ def amplicon_length(left: Column, right: Column, length: Column) -> Column:
 
 
 def link_single_locus(pairs: DataFrame) -> DataFrame:
-    """pairs with left_links and right_links: other single-locus pairs that hold the same junction, in pair order."""
+    """pairs with left_links and right_links: other single-locus pairs that hold the same junction, in pair order; and
+    left_tn_ids and right_tn_ids, the elements that all linked pairs of the side share, null without links."""
     single = pairs.filter(F.col("base_event") != "locus-joining")
-    held = single.select("sample", F.col("pair_id").alias("other"), F.explode(F.array("left_num", "right_num")).alias("num")).distinct()
+    held = single.select("sample", F.col("pair_id").alias("other"), F.col("tn_ids").alias("other_tns"), F.explode(F.array("left_num", "right_num")).alias("num")).distinct()
     out = pairs
     for side in ("left", "right"):
         hits = pairs.select("sample", "pair_id", F.col(f"{side}_num").alias("num")).join(held, ["sample", "num"]).filter("pair_id <> other")
-        out = out.join(hits.groupBy("sample", "pair_id").agg(F.array_sort(F.collect_list("other")).alias(f"{side}_links")), ["sample", "pair_id"], "left")
+        linked = hits.groupBy("sample", "pair_id").agg(F.array_sort(F.collect_list("other")).alias(f"{side}_links"), F.collect_list("other_tns").alias("_tns"))
+        shared = F.aggregate(F.slice("_tns", 2, F.size("_tns")), F.get("_tns", 0), F.array_intersect)
+        out = out.join(linked.withColumn(f"{side}_tn_ids", shared).drop("_tns"), ["sample", "pair_id"], "left")
     void = F.array().cast("array<int>")
     return out.withColumns({c: F.coalesce(c, void) for c in ("left_links", "right_links")})
 
@@ -118,9 +121,13 @@ def raw_architecture() -> Column:
     return F.when(F.col("base_event") == "locus-joining", joined).otherwise(F.col("base_event"))
 
 
-def chosen_tn() -> Column:
-    """The reference side's element, the left one's if both; else the least of the shared elements."""
-    return F.coalesce("left_own", "right_own", F.array_min("tn_ids"))
+def chosen_tn(linked: bool = False) -> Column:
+    """The reference side's element, the left one's if both; else the least of the shared elements. On a ``linked`` table
+    (link_single_locus) these are the pair's own that its linked pairs on both sides have too; null if there is none."""
+    shared = F.col("tn_ids")
+    for c in ("left_tn_ids", "right_tn_ids") if linked else ():
+        shared = F.when(F.col(c).isNull(), shared).otherwise(F.array_intersect(shared, F.col(c)))
+    return F.coalesce("left_own", "right_own", F.array_min(shared))
 
 
 def chosen_tn_sides() -> Column:

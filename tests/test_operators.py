@@ -84,6 +84,15 @@ def test_pairing(spark):
     assert not make((1, "c", 500, 1, None, [(1, 1)]), (2, "c", 1000, -1, None, [(1, 1)]))
 
 
+def test_chosen_element_is_shared_with_linked_pairs(spark):
+    lj, tp = "locus-joining", "transposition"
+    made = [(1, 1, 2, None, None, [1, 2, 3], lj), (2, 1, 9, None, None, [2, 3], tp), (3, 8, 2, None, None, [3, 4], tp), (4, 1, 7, None, None, [1, 4], lj), (5, 8, 5, None, 6, [6, 7], lj), (6, 5, 6, None, None, [8, 9], lj)]
+    pairs = spark.createDataFrame([("s", *r) for r in made], "sample string, pair_id int, left_num int, right_num int, left_own int, right_own int, tn_ids array<int>, base_event string")
+    got = {r.pair_id: r.chosen for r in junctions.link_single_locus(pairs).withColumn("chosen", junctions.chosen_tn(linked=True)).collect()}
+    # 1 is linked with 2 on the left and 3 on the right, 4 with 2 (nothing in common), 6 with none
+    assert got == {1: 3, 2: 2, 3: 3, 4: None, 5: 6, 6: 8}
+
+
 def test_isescan_names(spark):
     rows = spark.createDataFrame([("c", 5, 1, "-", None, "IS1"), ("c", 1, 5, "+", None, None), ("c", 1, 5, "+", "IS1", "IS1A")], "seqID string, isBegin int, isEnd int, strand string, family string, cluster string")
     assert [(r.tn_name, r.start, r.end, r.orientation) for r in islocate.normalise_isescan(rows).collect()] == [("IS1", 1, 5, -1), ("unknown", 1, 5, 1), ("IS1:IS1A", 1, 5, 1)]
