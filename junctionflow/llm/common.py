@@ -1,47 +1,86 @@
-"""What the corpus operators share: reading documents, shared-folder tables, Arrow batches, hashing of words."""
+"""What the corpus operators share: reading documents, shared-folder tables, bounded Arrow batches, hashes of words."""
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+#: Rows and bytes of text that a Python worker turns into objects at a time; a longer text stands alone.
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
+    """The folder of ``spark.checkpoint.dir``. Where that is unset, a local master gets a folder of its own; on a
+    cluster, whose executors would each write to their own disk, that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: computed once, and safe from lost executors.
+class Tables:
+    """Tables of one computation in the shared folder: each computed once, and safe from lost executors.
 
-    Shuffle files of the finished write are of no more use and are given back at once, so that disk use follows the
-    largest step and not the sum of all.
+    ``drop`` deletes tables that are read no more, and the end of a ``with`` block all that were not named in ``keep``,
+    so that disk use follows the largest step and not the sum of all.
     """
-    spark, clean = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    before = spark.conf.get(clean, "false")
-    spark.conf.set(clean, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(clean, before)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.drop(*[df for df, _ in self.paths.values()])
+
+    def write(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read back. Shuffle files of the finished write are of no more use and are given back at once."""
+        clean, path = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", f"{shared_folder(self.spark)}/table-{uuid.uuid4().hex}"
+        before = self.spark.conf.get(clean, "false")
+        self.spark.conf.set(clean, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(clean, before)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = out, path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            if found := self.paths.pop(id(table), None):
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(found[1])
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """``table``, which outlives the block: a result is read from it."""
+        self.paths.pop(id(table), None)
+        return table
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """A table that outlives its maker, as results that are read later need it."""
+    return Tables(df.sparkSession).write(df)
 
 
 def utf8(text: str = "text") -> Column:
@@ -49,6 +88,35 @@ def utf8(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
+def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES, most_rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in turn, so many at a time that their values take about ``most`` bytes."""
+    if batch.num_rows:
+        ends = None
+        for c in batch.columns:
+            if pa.types.is_binary(c.type) or pa.types.is_string(c.type):
+                size = np.cumsum(np.diff(np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1].astype(np.int64)))
+                ends = size if ends is None else ends + size
+        at = 0
+        while at < batch.num_rows:
+            n = most_rows if ends is None else min(most_rows, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")) - at)
+            n = max(1, n)
+            yield batch.slice(at, n)
+            at += n
+
+
+try:
+    _TRIM = ctypes.CDLL("libc.so.6").malloc_trim
+except OSError:  # not a GNU system
+    _TRIM = None
+
+
+def release() -> None:
+    """Give free memory back to the system: Python workers live on after a task, beside those of later ones."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def over_batches(df: DataFrame, per_batch: Callable[..., dict | None], schema: str) -> DataFrame:
     """Apply ``per_batch(**lists of column values) -> dict of lists`` to bounded Arrow batches of ``df``."""
     return rewrite(df, df.columns, per_batch, schema)
@@ -63,11 +131,12 @@ def rewrite(df: DataFrame, inputs: list[str], per_batch: Callable[..., dict | No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = dict(zip(names, batch.slice(at, 1024).columns, strict=True))
+            for rows in slices(batch):
+                part = dict(zip(names, rows.columns, strict=True))
                 out = per_batch(**{k: part[k].to_pylist() for k in inputs})
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([part[f.name] if f.name in kept else pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        release()
 
     return df.mapInArrow(run, out_type)
 
@@ -87,50 +156,25 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-_BASE = 0x9E3779B97F4A7C55  # odd, so that its powers have inverses modulo 2^64
-_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
-
-
-@lru_cache(maxsize=4)
-def byte_values(seed: int = 0, lower: bool = False) -> np.ndarray:
-    """A 64-bit value for each byte; with ``lower`` A-Z have those of a-z."""
-    letter = np.arange(256, dtype=np.uint64)
-    if lower:
-        letter[65:91] += np.uint64(32)
-    return mix(letter + np.uint64(1 + 1000 * seed))
-
-
-@lru_cache(maxsize=2)
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base, and of its inverse."""
-    up, down = np.full(n, np.uint64(_BASE)), np.full(n, np.uint64(pow(_BASE, -1, 1 << 64)))
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of value times power, from 0, and the inverse powers: the part from i to j hashes to (s[j] - s[i]) * down[i]."""
-    n = len(values)
-    up, down = powers(1 << max(14, n.bit_length()))
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(values * up[:n], out=sums[1:])
-    return sums, down
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def words(text: bytes, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, last, hash) of each word, in order: the runs of anything but ASCII white space."""
-    data = np.frombuffer(text, np.uint8)
-    sums, down = prefix_sums(byte_values(0, lower)[data])
-    inside = np.zeros(len(data) + 2, bool)
-    np.logical_not(_SPACE[data], out=inside[1:-1])
-    ends = np.flatnonzero(inside[1:] != inside[:-1])
-    first, last = ends[::2], ends[1::2]
-    return first, last, mix((sums[last] - sums[first]) * down[first])
+def parts(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in parts of about ``size`` bytes, cut at white space, so that long texts take little memory at a time."""
+    at = 0
+    while len(text) - at > size:
+        cut = _BLANK.search(text, at + size)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.end()
+    yield text[at:]
 
 
 def word_hashes(text: bytes, lower: bool = False) -> np.ndarray:
-    return words(text, lower)[2]
+    """A 64-bit hash of each word, the runs of anything but ASCII white space; with ``lower`` A-Z count as a-z."""
+    found = [np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, (p.lower() if lower else p).split())), ">u8") for p in parts(text)]
+    return (found[0] if len(found) == 1 else np.concatenate(found)).astype(np.uint64)
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -138,8 +182,10 @@ def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
     m = len(hashes) - n + 1
     if m <= 0:
         return np.empty(0, np.uint64)
-    sums, down = prefix_sums(hashes)
-    return mix((sums[n:] - sums[:m]) * down[:m] + np.uint64(n))
+    out = hashes[:m] + np.uint64(n)
+    for i in range(1, n):
+        out = (out ^ (out >> np.uint64(31))) * _A + hashes[i : i + m]
+    return mix(out)
 
 
 def distinct(h: np.ndarray) -> np.ndarray:

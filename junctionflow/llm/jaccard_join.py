@@ -5,28 +5,30 @@ Documents with equal sets are one class from the start, however many copies ther
 * Shingles stand in one global order: those found in many prefixes last (a fixed-size bitmap tells which), else by hash.
   Two sets that link share a shingle among the first ``size - ceil(0.8 size) + 1`` of each, so only these are indexed,
   with their positions.
-* In each index list every set is first compared with the list's head, the set of which most is shared with others, so
-  a list gives as many pairs as it has sets. Linked sets form components.
-* Within a list only sets of different components are still to be compared. Their answers come from the head's: with x
-  and y shingles in common with a head of size t, two sets share c if and only if their differences from the head
-  (what one has and the other lacks) share c + t - x - y. Where one of the two does not link with the head, that is one
-  at least for every c that links. So lists of differences are joined in place of lists of sets, rare ones first.
-* Entries of such lists are skipped by position: two differences that must share k have one in common among the first
-  size - k + 1 of each. The block of positions that no partner can reach, all but a quarter of the set's size, is never
-  listed: what only the head has comes last there, which far sets have in common without being alike.
-* What remains is verified on the sets themselves.
+* In each index list every set is first paired with the list's head, the set of which most is shared with others, so a
+  list gives as many pairs as it has sets. A pair is compared only if its prefixes share enough for it to link at all.
+  Linked sets form components.
+* Within a list only sets of different components are still to be paired, with a skip of the block of positions whose
+  rest cannot hold enough common shingles. A list of at most SHORT sets pairs them directly.
+* In a longer list their answers come from the head's: with x and y shingles in common with a head of size t, two sets
+  share c if and only if their differences from the head (what one has and the other lacks) share c + t - x - y. Where one
+  of the two does not link with the head, that is one at least for every c that links. So lists of differences are joined
+  in place of lists of sets, rare ones first.
+* Entries of such lists are skipped by position too: two differences that must share k have one in common among the
+  first size - k + 1 of each. The block of positions that no partner can reach, all but a quarter of the set's size, is
+  never listed: what only the head has comes last there, which far sets have in common without being alike.
+* What remains is compared by the sets themselves.
 
 Words are runs of anything but ASCII white space, A-Z in lower case. A set is the distinct five-word shingles; with
 fewer words the whole sequence is the one shingle; nulls and texts without words have an empty set and link with
 nothing, not with each other either. Rows with one doc_id count as separate documents of one name. An empty table gives
-no rows. Other columns pass through the stage and are not read by the join.
+no rows. Other columns pass through the stage and are not read by the join. Shingles are known by 64-bit hashes of their
+words' hashes, equal sets by 128-bit ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import distinct, documents, keyed, materialise, mix, ngrams, over_batches, rewrite, signed, utf8, word_hashes
+from junctionflow.llm.common import Tables, distinct, documents, keyed, mix, ngrams, over_batches, signed, utf8, word_hashes
 
 WORDS = 5
 #: Two sets link when PERCENT_OF * common >= PERCENT * union.
@@ -42,8 +44,8 @@ PERCENT, PERCENT_OF = 80, 100
 #: Prefixes that share a shingle from which it is put last, and the bits that name the places of the bitmap that tells
 #: so: about a place for each shingle of the prefixes, up to a bitmap of 16 MB.
 FREQUENT, BITMAP_BITS = 12, (20, 27)
-#: Slices of the sets, and of the heads, that are compared with each other at a time.
-SLICES = (4, 3)
+#: Sets up to which a list pairs them directly, not by their differences from its head.
+SHORT = 16
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -70,20 +72,19 @@ def prefix(found: np.ndarray, frequent: np.ndarray | None = None, bits: int = 0)
     return np.concatenate([found[~late], found[late]])[:n]
 
 
-def frequent_bitmap(docs: DataFrame, words: int = WORDS) -> tuple[np.ndarray, int]:
+def frequent_bitmap(docs: DataFrame, tables: Tables, words: int = WORDS) -> tuple[np.ndarray, int]:
     """Packed bits of the places whose shingles many prefixes share, and their number as a power of two. It only sets
     the order, which any bitmap leaves right."""
     low, high = BITMAP_BITS
     bits = min(high, max(low, (docs.count() * 128).bit_length()))
 
     def per_batch(text):
-        place = np.concatenate([places(prefix(shingles(t, words)), bits) for t in text])
-        place, n = np.unique(place, return_counts=True)
+        place, n = np.unique(np.concatenate([places(prefix(shingles(t, words)), bits) for t in text]), return_counts=True)
         return {"place": place.astype(np.int32), "n": n.astype(np.int32)}
 
     counted = over_batches(docs.select(utf8().alias("text")), per_batch, "place int, n int").groupBy("place").agg(F.sum("n").alias("n"))
     # FREQUENT, or eight times what a place holds on average as they fill up
-    filled = materialise(counted.groupBy((F.col("n") >= FREQUENT).alias("many"), F.when(F.col("n") >= FREQUENT, F.col("place")).alias("place")).agg(F.sum("n").alias("n")))
+    filled = tables.write(counted.groupBy((F.col("n") >= FREQUENT).alias("many"), F.when(F.col("n") >= FREQUENT, F.col("place")).alias("place")).agg(F.sum("n").alias("n")))
     mean = (filled.agg(F.sum("n").alias("n")).head().n or 0) / (1 << bits)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,23 +99,24 @@ def frequent_bitmap(docs: DataFrame, words: int = WORDS) -> tuple[np.ndarray, in
     out = np.zeros(1 << (bits - 3), np.uint8)
     marked = filled.filter(F.col("many") & (F.col("n") >= max(FREQUENT, 8 * mean))).select("place").mapInArrow(packed, "byte int, bits short").toArrow()  # bytes of the bitmap
     np.bitwise_or.at(out, marked["byte"].to_numpy(), marked["bits"].to_numpy().astype(np.uint8))
+    tables.drop(filled)
     return out, bits
 
 
-def sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """id, tie, size, cls, prefix: a row for each document; ``cls`` names its set."""
-    bitmap, bits = frequent_bitmap(docs, words)
+def sets(docs: DataFrame, tables: Tables, words: int = WORDS) -> DataFrame:
+    """id, tie, size, same, prefix: a row for each document; equal sets have the same ``same``."""
+    bitmap, bits = frequent_bitmap(docs, tables, words)
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)  # 16 MB at most
 
     def per_batch(id, tie, text):  # noqa: A002
-        found = [shingles(t, words) for t in text]
-        return {
-            "id": id, "tie": tie, "size": [len(s) for s in found],
-            "cls": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in found],
-            "prefix": [signed(prefix(s, sent.value, bits)) for s in found],
-        }
+        out: dict[str, list] = {"id": id, "tie": tie, "size": [], "same": [], "prefix": []}
+        for t in text:
+            s = shingles(t, words)
+            for name, value in zip(("size", "same", "prefix"), (len(s), xxhash.xxh3_128_digest(s.tobytes()), signed(prefix(s, sent.value, bits))), strict=True):
+                out[name].append(value)
+        return out
 
-    return over_batches(keyed(docs).select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), utf8().alias("text")), per_batch, "id long, tie long, size int, cls long, prefix array<long>")
+    return over_batches(keyed(docs).select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), utf8().alias("text")), per_batch, "id long, tie long, size int, same binary, prefix array<long>")
 
 
 def _need(a: str, b: str) -> Column:
@@ -126,40 +128,67 @@ def _sizes_fit(a: str, b: str) -> Column:
     return F.lit(PERCENT_OF) * F.least(a, b) >= F.lit(PERCENT) * F.greatest(a, b)
 
 
-def overlaps(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """a, b, common, linked for pairs (a, b) of classes, from their sets (cls, shingles)."""
+def texts_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """cls, text of the classes in ``pairs`` (a, b), each by one of its documents."""
+    named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    wanted = classes.join(named, "cls").select(F.col("one.id").alias("__id"), F.col("one.tie").alias("__tie"), "cls")
+    found = keyed(docs).select("__id", "__tie", utf8().alias("text")).join(wanted, ["__id", "__tie"]).dropDuplicates(["__id", "__tie"])  # as the join has dealt them
+    return found.select("cls", "text")
+
+
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b, left, right: pairs with the texts of both."""
+    both = pairs.select("a", "b").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("left")), "a")
+    return both.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("right")), "b").select("a", "b", "left", "right")
+
+
+class _Recent:
+    """Shingles of texts, the last one remembered: rows come sorted by b, so that a head's set is made once."""
+
+    def __init__(self, words: int):
+        self.words, self.text, self.found = words, None, None
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        if text != self.text:
+            self.text, self.found = text, shingles(text, self.words)
+        return self.found
+
+
+def _inside(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of x are in y, both in ascending order and not empty."""
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+
+
+def links(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """a, b of the pairs of classes whose sets link."""
 
     def per_batch(a, b, left, right):
-        common, linked = [], []
-        for x, y in zip(left, right, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.searchsorted(y, x)
-            c = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-            common.append(c)
-            linked.append(PERCENT_OF * c >= PERCENT * (len(x) + len(y) - c))
-        return {"a": a, "b": b, "common": common, "linked": linked}
+        recent, out = _Recent(words), {"a": [], "b": []}
+        for i, j, x, y in zip(a, b, left, right, strict=True):
+            x, y = shingles(x, words), recent(y)
+            c = int(_inside(x, y).sum())
+            if PERCENT_OF * c >= PERCENT * (len(x) + len(y) - c):
+                out["a"].append(i)
+                out["b"].append(j)
+        return out
 
-    left = members.select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
-    right = members.select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
-    return over_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), per_batch, "a long, b long, common int, linked boolean")
+    return over_batches(with_texts(pairs, texts), per_batch, "a long, b long")
 
 
-def against_heads(stars: DataFrame, members: DataFrame) -> DataFrame:
-    """a, b, common, linked, skipped, differs for sets a and heads b: the shingles that just one of both has, those of a
-    first, without the last ones (``skipped`` of them), which no set that links with a needs.
+def against_heads(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """a, b, common, skipped, differs for sets a and heads b: the shingles that just one of both has, those of a first,
+    without the last ones (``skipped`` of them), which no set that links with a needs.
 
     A set that links with a is a quarter larger at most, so that both have at most a quarter of a's size that the other
     lacks. It shares the rest of the difference from b. Differences no larger than a are whole: with these, how
-    many a pair must share is told more sharply. Written in slices of the pairs, so that few sets are on their way at once.
+    many a pair must share is told more sharply.
     """
 
     def per_batch(a, b, left, right):
-        out: dict[str, list] = {"a": a, "b": b, "common": [], "linked": [], "skipped": [], "differs": []}
+        recent, out = _Recent(words), {"a": a, "b": b, "common": [], "skipped": [], "differs": []}
         for x, y in zip(left, right, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            inside = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+            x, y = shingles(x, words), recent(y)
+            inside = _inside(x, y)
             c = int(inside.sum())
             n = len(x) + len(y) - 2 * c
             skipped = n - len(x) // 4 - 1 if n > len(x) else 0
@@ -167,22 +196,11 @@ def against_heads(stars: DataFrame, members: DataFrame) -> DataFrame:
             if len(differs) < n - skipped:
                 differs = np.concatenate([differs, np.setdiff1d(y, x, assume_unique=True)])
             out["common"].append(c)
-            out["linked"].append(PERCENT_OF * c >= PERCENT * (len(x) + len(y) - c))
             out["skipped"].append(skipped)
             out["differs"].append(signed(differs[: n - skipped]))
         return out
 
-    parts = []
-    def slice_of(c: str, slices: int, k: int) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(slices)) == k
-
-    for i, j in product(*map(range, SLICES)):
-        left = members.filter(slice_of("cls", SLICES[0], i)).select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
-        right = members.filter(F.col("head") & slice_of("cls", SLICES[1], j)).select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
-        pairs = stars.filter(slice_of("a", SLICES[0], i) & slice_of("b", SLICES[1], j))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        parts.append(materialise(over_batches(both, per_batch, "a long, b long, common int, linked boolean, skipped int, differs array<long>")))
-    return reduce(DataFrame.unionByName, parts)
+    return over_batches(with_texts(pairs, texts), per_batch, "a long, b long, common int, skipped int, differs array<long>")
 
 
 def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -195,92 +213,119 @@ def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.filter(_sizes_fit("a_size", "b_size") & (most >= _need("a_size", "b_size"))).select("a", "b")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tables: Tables) -> DataFrame:
     """node, label for every node of ``edges`` (a, b): the least node that it reaches.
 
     Nodes take the least label in their neighbourhood and then that label's own (pointer doubling), so rounds grow with
     the logarithm of the longest chain. Each round is written to the shared folder.
     """
-    both = materialise(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")))
+    both = tables.write(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    written = tables.write(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")))
     while True:
+        labels = written.select("node", "label")
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         # a node's old label hears of the new one too, so that trees hook onto each other
         heard = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("least"))
         hooks = heard.filter("least < label").groupBy(F.col("label").alias("node")).agg(F.min("least").alias("hook"))
         merged = heard.join(hooks, "node", "left").select("node", F.col("label").alias("old"), F.coalesce(F.least("least", "hook"), F.col("least")).alias("label"))
         roots = merged.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        new = materialise(merged.join(roots, "label", "left").select("node", "old", F.coalesce("root", "label").alias("label")))
+        new = tables.write(merged.join(roots, "label", "left").select("node", "old", F.coalesce("root", "label").alias("label")))
         changed = new.filter("label < old").limit(1).count()
-        labels = new.select("node", "label")
+        tables.drop(written)
+        written = new
         if not changed:
-            return labels
+            tables.drop(both)
+            return written
 
 
-def linked_classes(docs: DataFrame, every: DataFrame, words: int = WORDS) -> DataFrame:
-    """node, label: the components of the classes of ``every`` (the table of ``sets``) that link with another."""
-    classes = materialise(every.filter("size > 0").groupBy("cls", "size").agg(F.min(F.struct("id", "tie")).alias("one"), F.first("prefix").alias("prefix")))
-    # one long for size and place keeps the rows of the widest shuffle small
-    entries = classes.select("cls", "size", F.posexplode("prefix").alias("place", "shingle")).select("shingle", "cls", (F.col("size").cast("long") * (1 << 32) + F.col("place")).alias("at"))
-    shared = materialise(entries.groupBy("shingle").count().filter("count > 1").select("shingle"))
-    lists = materialise(entries.join(shared, "shingle", "left_semi").select("shingle", "cls", F.shiftright("at", 32).cast("int").alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")))
-    # the head of a list is its set of which most is shared with others: in a group of edited copies, what they come from
-    own = materialise(lists.groupBy("cls").agg(F.round(1000 * (1 - F.count("*") / F.max(F.col("size") - F.ceil(F.col("size") * PERCENT / PERCENT_OF) + 1))).cast("int").alias("own")))
-    ranked = lists.join(own, "cls")
-    heads = materialise(ranked.groupBy("shingle").agg(F.min(F.struct("own", "cls")).alias("head")).select("shingle", F.col("head.cls").alias("head")))
-    lists = lists.join(heads, "shingle")
-    stars = materialise(lists.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct())
+def still_open(lists: DataFrame, labels: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """The sets of lists whose sets are not all of one component, but for heads, which have met all: of short lists
+    shingle, cls, size, place, label; of long ones a, the head b, label."""
+    side = tables.write(lists.join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls")))
+    mixed = side.groupBy("shingle").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle", (F.col("n") <= SHORT).alias("short"))
+    open_ = tables.write(side.filter(F.col("cls") != F.col("head")).join(mixed, "shingle"))
+    tables.drop(side)
+    long = open_.filter("NOT short").groupBy(F.col("cls").alias("a"), F.col("head").alias("b")).agg(F.first("label").alias("label"))
+    return open_.filter("short"), long
 
-    def per_batch(text):
-        return {"shingles": [shingles(t, words).tobytes() for t in text]}
-
-    def with_sets(pairs: DataFrame) -> DataFrame:
-        """cls, head, shingles of the classes in ``pairs``; ``head`` tells which are a b."""
-        named = pairs.select(F.col("a").alias("cls"), F.lit(False).alias("head")).union(pairs.select("b", F.lit(True))).groupBy("cls").agg(F.max("head").alias("head"))
-        wanted = classes.join(named, "cls").select(F.col("one.id").alias("__id"), F.col("one.tie").alias("__tie"), "cls", "head")
-        texts = keyed(docs).select("__id", "__tie", utf8().alias("text")).join(wanted, ["__id", "__tie"]).dropDuplicates(["__id", "__tie"])  # as the join has dealt them
-        return materialise(rewrite(texts.select("cls", "head", "text"), ["text"], per_batch, "shingles binary"))
-
-    compared = against_heads(stars, with_sets(stars))
-    labels = components(compared.filter("linked"))
-
-    side = lists.filter(F.col("cls") != F.col("head")).join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left")
-    side = materialise(side.select("shingle", "cls", "head", F.coalesce("label", "cls").alias("label")))
-    mixed = side.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle")
-    open_ = materialise(side.join(mixed, "shingle", "left_semi").groupBy(F.col("cls").alias("a"), F.col("head").alias("b")).agg(F.first("label").alias("label")))
+
+def short_pairs(short: DataFrame) -> DataFrame:
+    """a, b: sets of one short list that may still link, as far as this list tells."""
+    left, right = (short.select("shingle", *[F.col(c).alias(f"{s}_{c}") for c in ("cls", "label", "size", "place")]) for s in "ab")
+    # of the first list that both are in: this shingle and those after it, of the set that has fewer left, must be enough
+    after = F.least(*[F.col(f"{s}_size") - F.col(f"{s}_place") for s in "ab"])
+    both = left.join(right, "shingle").filter((F.col("a_cls") < F.col("b_cls")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size") & (after >= _need("a_size", "b_size")))
+    return both.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct()
+
+
+def long_pairs(compared: DataFrame, open_: DataFrame, classes: DataFrame, tables: Tables) -> DataFrame:
+    """a, b: sets of one long list that may still link, from their differences from its head."""
     sizes = classes.select("cls", "size")
-    often = materialise(compared.select("b", F.explode("differs").alias("shingle")).groupBy("b", "shingle").agg(F.count("*").alias("n")).filter("n > 1"))
+    often = tables.write(compared.select("b", F.explode("differs").alias("shingle")).groupBy("b", "shingle").agg(F.count("*").alias("n")).filter("n > 1"))
     listed = compared.select("a", "b", "skipped", F.size("differs").alias("differ"), F.explode("differs").alias("shingle")).join(often, ["b", "shingle"])
     of_set = Window.partitionBy("a", "b")  # a set's difference from one head; what is found nowhere else stands first
     listed = listed.withColumn("place", F.col("differ") - F.count("*").over(of_set) + F.row_number().over(of_set.orderBy("n", "shingle")))
     known = open_.join(compared.select("a", "b", "common"), ["a", "b"]).join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "of_head"), "b")
-    listed = materialise(listed.select("a", "b", "shingle", "skipped", "differ", "place").join(known, ["a", "b"]))
+    listed = tables.write(listed.select("a", "b", "shingle", "skipped", "differ", "place").join(known, ["a", "b"]))
     left, right = (listed.select("b", "shingle", *[F.col(c).alias(f"{s}_{c}") for c in ("a", "label", "size", "of_head", "common", "skipped", "differ", "place")]) for s in "ab")
     must = _need("a_size", "b_size") + F.col("a_of_head") - F.col("a_common") - F.col("b_common")
     listed_too = F.greatest(must - F.greatest("a_skipped", "b_skipped"), F.lit(1))  # of these so many are listed in both
     reach = (F.col("a_place") + listed_too <= F.col("a_differ") + 1) & (F.col("b_place") + listed_too <= F.col("b_differ") + 1)
     pairs = left.join(right, ["b", "shingle"]).filter((F.col("a_a") < F.col("b_a")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size") & reach)
-    pairs = materialise(may_link(pairs.select(F.col("a_a").alias("a"), F.col("b_a").alias("b")).distinct(), classes))
+    return pairs.select(F.col("a_a").alias("a"), F.col("b_a").alias("b")).distinct()
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame, tables: Tables, words: int = WORDS) -> DataFrame:
+    """node, label: the components of the ``classes`` (cls, size, one, prefix) that link with another."""
+    # one long for size and place keeps the rows of the widest shuffle small
+    entries = classes.select("cls", "size", F.posexplode("prefix").alias("place", "shingle")).select("shingle", "cls", (F.col("size").cast("long") * (1 << 32) + F.col("place")).alias("at"))
+    shared = tables.write(entries.groupBy("shingle").count().filter("count > 1").select("shingle"))
+    lists = tables.write(entries.join(shared, "shingle", "left_semi").select("shingle", "cls", F.shiftright("at", 32).cast("int").alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")))
+    tables.drop(shared)
+    # the head of a list is its set of which most is shared with others: in a group of edited copies, what they come from
+    own = lists.groupBy("cls").agg(F.round(1000 * (1 - F.count("*") / F.max(F.col("size") - F.ceil(F.col("size") * PERCENT / PERCENT_OF) + 1))).cast("int").alias("own"))
+    heads = tables.write(lists.join(own, "cls").groupBy("shingle").agg(F.min(F.struct("own", "cls")).alias("head")).select("shingle", F.col("head.cls").alias("head")))
+    headed = tables.write(lists.join(heads, "shingle"))
+    tables.drop(lists, heads)
+    stars = headed.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct()
+    stars = tables.write(may_link(stars, classes))
+    texts = tables.write(texts_of(docs, classes, stars))
+    found = tables.write(links(stars, texts, words))
+    tables.drop(stars, texts)
+    labels = components(found, tables)
+
+    short, long = still_open(headed, labels, tables)
+    tables.drop(headed)
+    long = tables.write(long)
+    texts = tables.write(texts_of(docs, classes, long))
+    compared = tables.write(against_heads(long, texts, words))
+    tables.drop(texts)
+    pairs = tables.write(may_link(short_pairs(short).unionByName(long_pairs(compared, long, classes, tables)).distinct(), classes))
     if pairs.isEmpty():
         return labels
-    rest = materialise(overlaps(pairs, with_sets(pairs))).filter("linked")
-    return components(compared.filter("linked").select("a", "b").unionByName(rest.select("a", "b")))
+    texts = tables.write(texts_of(docs, classes, pairs))
+    rest = tables.write(links(pairs, texts, words))
+    return components(found.unionByName(rest), tables)
 
 
 def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """id, tie, size, group: a row for each document; ``group`` is the least id of its component."""
-    every = materialise(sets(docs, words))
-    labels = linked_classes(docs, every, words)
-    classes = every.filter("size > 0").groupBy("cls").agg(F.min("id").alias("id"))
-    labelled = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    groups = labelled.select("cls", "label").join(labelled.groupBy("label").agg(F.min("id").alias("group")), "label").select("cls", "group")
-    return every.select("id", "tie", "size", "cls").join(groups, "cls", "left").select("id", "tie", "size", F.when(F.col("size") > 0, F.col("group")).otherwise(F.col("id")).alias("group"))
+    with Tables(docs.sparkSession) as tables:
+        every = tables.write(sets(docs, tables, words))
+        classes = every.filter("size > 0").groupBy("same", "size").agg(F.min(F.struct("id", "tie")).alias("one"), F.first("prefix").alias("prefix"))
+        classes = tables.write(classes.withColumn("cls", F.monotonically_increasing_id()))  # a short name, written with the class
+        names = tables.write(every.drop("prefix"))
+        tables.drop(every)
+        labels = linked_classes(docs, classes, tables, words)
+        labelled = classes.select("same", "cls", F.col("one.id").alias("id")).join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        groups = labelled.select("same", "label").join(labelled.groupBy("label").agg(F.min("id").alias("group")), "label").select("same", "group")
+        return tables.keep(tables.write(names.join(groups, "same", "left").select("id", "tie", "size", F.when(F.col("size") > 0, F.col("group")).otherwise(F.col("id")).alias("group"))))
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
     """docs with the same columns: of each component the row with the least doc_id (then hash) stays, one row only
     where it is repeated. Rows without words link with nothing and all stay."""
-    found = materialise(joined(docs))
+    found = joined(docs)
     # of the rows that bear the least id of a component, the one with the least hash; equal rows are one
     best = found.filter("size > 0").groupBy("group").agg(F.min(F.struct("id", "tie")).alias("one")).select(F.col("one.id").alias("__id"), F.col("one.tie").alias("__tie"))
     kept = keyed(docs).join(best, ["__id", "__tie"], "left_semi").dropDuplicates(["__id", "__tie"])  # as the join has dealt them
