@@ -43,19 +43,48 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_suffix_dedup(docs, empty, rows):
-    n, count, want = 100, collections.Counter(), collections.Counter()
-    for r in rows:
-        b = (r[1] or "").encode()
+THUE_MORSE = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+#: Two words of 1,024 letters whose sums of letters times powers of any odd base are equal modulo 2^64.
+TWINS = [THUE_MORSE, THUE_MORSE.translate({97: 98, 98: 97})]
+
+
+def without_repeats(rows, n):
+    """(doc_id, bytes removed, runs, SHA-256 of the rest) by brute force."""
+    count, want = collections.Counter(), collections.Counter()
+    for k, t in rows:
+        b = (t or "").encode()
         count.update(b[p : p + n] for p in range(len(b) - n + 1))
-    for r in rows:
-        b = (r[1] or "").encode()
-        gone = {q for p in range(len(b) - n + 1) if count[b[p : p + n]] > 1 for q in range(p, p + n)}
-        want[r[0], bytes(x for i, x in enumerate(b) if i not in gone)] += 1
-    got = suffix_dedup.remove_repeats(docs, n).collect()
-    assert collections.Counter((r.doc_id, bytes(r["__bytes"] or b"")) for r in got) == want
-    assert suffix_dedup.dedup_documents(docs, n).columns == docs.columns
-    assert suffix_dedup.dedup_documents(empty, n).count() == 0
+    for k, t in rows:
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - n + 1):
+            if count[b[p : p + n]] > 1:
+                gone[p : p + n] = b"\1" * n
+        left = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        want[k, sum(gone), bytes(gone).count(b"\0\1") + (gone[:1] == b"\1"), hashlib.sha256(left).hexdigest()] += 1
+    return want
+
+
+@pytest.mark.parametrize("n,bucket,block", [(100, 400_000, 1 << 20), (100, 40, 300), (7, 400_000, 1 << 20)])
+def test_suffix_dedup(spark, docs, empty, rows, monkeypatch, n, bucket, block):
+    """Small buckets let groups of copies run over boundaries, small blocks cut stretches apart."""
+    monkeypatch.setattr(suffix_dedup, "BUCKET_ROWS", bucket)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    rng, base = random.Random(8), rows[5][1]
+    made = [(r[0], r[1]) for r in rows] + [(500 + i, t) for i, t in enumerate(TWINS)]
+    for i in range(40):  # a group of near copies, one anchor with many contents
+        w = base.split()
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = f"Q{rng.randrange(5)}"
+        made.append((600 + i, " ".join(w)))
+    out = suffix_dedup.remove_repeats(spark.createDataFrame(made, "doc_id long, text string").repartition(3), n).collect()
+    got = collections.Counter((r.doc_id, sum(s.end - s.start for s in r["__spans"]), len(r["__spans"]), r["__sha256"]) for r in out)
+    assert got == without_repeats(made, n)
+
+
+def test_suffix_dedup_of_documents(docs, empty):
+    assert suffix_dedup.dedup_documents(docs, 100).columns == docs.columns
+    assert suffix_dedup.dedup_documents(empty, 100).count() == 0
 
 
 def test_jaccard_join(docs, empty, rows):
