@@ -135,7 +135,7 @@ def rewrite(df: DataFrame, inputs: list[str], per_batch: Callable[..., dict | No
                 part = dict(zip(names, rows.columns, strict=True))
                 out = per_batch(**{k: part[k].to_pylist() for k in inputs})
                 if out is not None:
-                    yield pa.RecordBatch.from_arrays([part[f.name] if f.name in kept else pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+                    yield pa.RecordBatch.from_arrays([part[f.name] if f.name in kept else out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
         release()
 
     return df.mapInArrow(run, out_type)

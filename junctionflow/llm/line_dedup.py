@@ -1,64 +1,87 @@
 """Line dedup: repeated runs of lines are deleted where they occur again, found by winnowing over line hashes.
 
 Lines without a word are left out of account and always stay. Of each window of ``min_run`` neighbouring lines the line
-with the least hash, the leftmost on a tie, is the fingerprint, so every run of that length carries one. Positions whose
-fingerprint occurs again are joined, extended both ways to the windows that chose it, and windows equal to an earlier
-one (by doc_id, then place) are deleted; neighbouring windows make up the longer runs. With ``long_words``, a line of
-so many words or more is a run in itself too, whatever its neighbours.
+with the least hash, the leftmost on a tie, is selected, so every run of that length carries a fingerprint at a place
+that its content alone decides. A selected line is one row however many windows chose it. Lines whose fingerprint occurs
+again are extended both ways to those windows, positions with equal extensions are joined with the first of them (by
+doc_id, then place), and the later ones are deleted; neighbouring windows make up the longer runs. With ``long_words``,
+a line of so many words or more is a run in itself too, whatever its neighbours.
 
 So a line goes if and only if it lies in a run of ``min_run`` lines, or is a long line, that also starts earlier. Nulls and
 empty texts have no lines and stay as they are. Of rows with one doc_id the hash of the text orders them; wholly equal
 rows count as one and keep or lose the same lines. An empty table gives no rows. Other columns pass through;
-``n_chars``, where numeric, is counted anew.
+``n_chars``, where numeric, is counted anew. Lines are equal by 64-bit hashes, runs by those of the fingerprint and of all.
 """
 
 from __future__ import annotations
 
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import documents, keyed, materialise, ngrams, over_batches, rewrite, signed, utf8
+from junctionflow.llm.common import Tables, documents, keyed, ngrams, over_batches, rewrite, signed, utf8
 
 MIN_RUN = 2
 #: Words from which the corpus stage takes one line for a run; op7_line_dedup has none, as its SQL knows runs of lines only.
 LONG_WORDS = 20
 
 
-def windows(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
-    """fingerprint, run, id, tie, place, lines: each window of lines, with the fingerprint that it chose; long lines too."""
+def winnowed(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, first): the selected places in turn, and the first of the windows in a row that chose each."""
+    m = len(hashes) - window + 1
+    chosen = np.lib.stride_tricks.sliding_window_view(hashes, window).argmin(axis=1) + np.arange(m)
+    first = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
+    return chosen[first], first
+
+
+def fingerprints(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
+    """fingerprint, id, tie, place, lines, shifts, runs: a row for each selected line and each long line; shifts tell
+    where the windows that chose it start, seen from it, and runs are the hashes of these windows."""
+
     def per_batch(id, tie, text):  # noqa: A002
-        out: dict[str, list] = {"fingerprint": [], "run": [], "id": [], "tie": [], "place": [], "lines": []}
+        out: dict[str, list] = {"fingerprint": [], "id": [], "tie": [], "place": [], "lines": [], "shifts": [], "runs": [], "n": []}
         for i, t, x in zip(id, tie, text, strict=True):
             worded = [line for line in x.split(b"\n") if line.strip()]
-            h = np.array([xxhash.xxh3_64_intdigest(line) for line in worded], np.uint64)
-            found = []  # fingerprints, runs, places, lines of a run
+            h = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, worded)), ">u8").astype(np.uint64)
+            found = []  # places, lines of a run, shifts, runs, how many of them for each place
             if len(h) >= min_run:
-                found.append((np.lib.stride_tricks.sliding_window_view(h, min_run).min(axis=1), ngrams(h, min_run), np.arange(len(h) - min_run + 1), min_run))
+                place, first = winnowed(h, min_run)
+                m = len(h) - min_run + 1
+                n = np.diff(np.r_[first, m])
+                found.append((place, min_run, np.arange(m) - np.repeat(place, n), ngrams(h, min_run), n))
             if long_words and min_run > 1:
                 at = np.array([k for k, line in enumerate(worded) if len(line) >= 2 * long_words - 1 and len(line.split()) >= long_words], np.int64)
-                found.append((h[at], ngrams(h, 1)[at], at, 1))
-            for least, run, place, n in found:
+                found.append((at, 1, np.zeros(len(at), np.int64), ngrams(h, 1)[at], np.ones(len(at), np.int64)))
+            for place, lines, shifts, runs, n in found:
                 m = len(place)
-                for name, values in zip(out, (signed(least), signed(run), np.full(m, i), np.full(m, t), place, np.full(m, n)), strict=True):
+                for name, values in zip(out, (signed(h[place]), np.full(m, i), np.full(m, t), place, np.full(m, lines), shifts, signed(runs), n), strict=True):
                     out[name].append(values)
-        return {k: np.concatenate(v) for k, v in out.items()} if out["id"] else None
+        if not out["id"]:
+            return None
+        whole = {k: np.concatenate(v) for k, v in out.items()}
+        ends = pa.array(np.r_[0, np.cumsum(whole.pop("n"))], pa.int32())
+        return whole | {k: pa.ListArray.from_arrays(ends, pa.array(whole[k], kind)) for k, kind in (("shifts", pa.int32()), ("runs", pa.int64()))}
 
     source = keyed(docs).select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), utf8().alias("text"))
-    return over_batches(source, per_batch, "fingerprint long, run long, id long, tie long, place int, lines int")
+    return over_batches(source, per_batch, "fingerprint long, id long, tie long, place int, lines int, shifts array<int>, runs array<long>")
 
 
-def later_runs(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
+def later_runs(docs: DataFrame, tables: Tables, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
     """__id, __tie, __places, __alone: the windows of a document that start earlier as well, and its long lines that do."""
-    every = materialise(windows(docs, min_run, long_words))
-    recurring = materialise(every.groupBy("fingerprint", "lines").count().filter("count > 1").select("fingerprint", "lines"))
-    joined = materialise(every.join(recurring, ["fingerprint", "lines"], "left_semi").drop("fingerprint"))
-    where = F.struct("id", "tie", "place")
-    first = materialise(joined.groupBy("run").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
-    later = joined.join(first, "run").filter(where > F.col("first"))
-    return later.groupBy(F.col("id").alias("__id"), F.col("tie").alias("__tie")).agg(*[F.collect_set(F.when((F.col("lines") == min_run) == whole, F.col("place"))).alias(c) for c, whole in (("__places", True), ("__alone", False))])
+    every = tables.write(fingerprints(docs, min_run, long_words))
+    recurring = every.groupBy("fingerprint", "lines").count().filter("count > 1").select("fingerprint", "lines")
+    matched = every.join(recurring, ["fingerprint", "lines"], "left_semi")
+    extended = matched.select("fingerprint", "lines", "id", "tie", "place", F.explode(F.arrays_zip("shifts", "runs")).alias("w"))
+    extended = tables.write(extended.select("fingerprint", "lines", F.col("w.shifts").alias("shift"), F.col("w.runs").alias("run"), "id", "tie", (F.col("place") + F.col("w.shifts")).alias("start")))
+    tables.drop(every)
+    same, where = ["fingerprint", "lines", "shift", "run"], F.struct("id", "tie", "start")
+    first = tables.write(extended.groupBy(*same).agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+    later = extended.join(first, same).filter(where > F.col("first"))
+    places = [F.collect_set(F.when((F.col("lines") == min_run) == whole, F.col("start"))).alias(c) for c, whole in (("__places", True), ("__alone", False))]
+    return tables.keep(tables.write(later.groupBy(F.col("id").alias("__id"), F.col("tie").alias("__tie")).agg(*places)))
 
 
 def cut_runs(text: bytes, places: list[int] | None, min_run: int, alone: list[int] | None = None) -> tuple[bytes, int, int, int]:
@@ -77,7 +100,8 @@ def cut_runs(text: bytes, places: list[int] | None, min_run: int, alone: list[in
 
 def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
     """The columns of docs with the repeated runs out of ``text``, and __n_lines, __n_removed, __n_runs."""
-    source = keyed(docs).join(later_runs(docs, min_run, long_words), ["__id", "__tie"], "left")
+    with Tables(docs.sparkSession) as tables:
+        source = keyed(docs).join(later_runs(docs, tables, min_run, long_words), ["__id", "__tie"], "left")
     source = source.withColumn("__text", F.col("text").cast("binary")).drop("text", "__id", "__tie")
 
     def per_batch(__text, __places, __alone):
