@@ -1,8 +1,9 @@
 """Merkle-tree fingerprints of documents, with DataFrame functions only.
 
-A text is a tree: paragraphs (lines) are cut into runs of eight words, the leaves; a paragraph's hash covers its leaves,
-a section's its eight paragraphs, the root's all sections. The fingerprint is the text
-``root;sections;paragraphs;leaves`` of those hashes. Equal roots mean equal texts; otherwise sections and then
+A text is a tree: paragraphs (lines) are cut into runs of eight words, the leaves, each with a 64-bit hash. A
+paragraph's hash is that of its leaves' hashes, a section's that of its eight paragraphs' hashes, and the root is the
+SHA-256 of all sections' hashes (128 bits of it). The fingerprint is the text ``root;sections;paragraphs;leaves``. Equal
+texts have equal roots, and equal roots mean equal texts as far as 64-bit hashes can tell; otherwise sections and then
 paragraphs that differ tell where the texts differ, and the share of leaves that two texts have in common (twice the
 common ones over all of both, as sets) is their likeness.
 
@@ -13,33 +14,44 @@ next document of a single row is the row itself. Other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from junctionflow.llm.common import documents
 
 LEAF_WORDS, SECTION = 8, 8
-#: Rows that share a range of doc_id, and ranges at most.
-RANGE_ROWS, RANGES = 1000, 4096
+#: Rows that share a range of doc_id, and ranges at most, whose ends are sent to every task (1 MB). Of more rows a range
+#: holds more, in a window that spills.
+RANGE_ROWS, RANGES = 1000, 1 << 17
+
+
+def _hashed(value: Column) -> Column:
+    return F.lower(F.lpad(F.hex(F.xxhash64(value)), 16, "0"))
 
 
-def _short(value: Column) -> Column:
-    return F.lower(F.substring(F.lpad(F.hex(F.xxhash64(value)), 16, "0"), 9, 8))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a text column that is not null."""
     leaf = F.lit(f"(?:[^ ]++ *+| ++){{1,{LEAF_WORDS}}}")
     # one text for each paragraph: the hashes of its leaves
-    paragraphs = F.transform(F.split(text, "\n", -1), lambda p: F.array_join(F.transform(F.regexp_extract_all(p, leaf, F.lit(0)), _short), " "))
+    leaves = F.transform(F.split(text, "\n", -1), lambda p: F.array_join(F.transform(F.regexp_extract_all(p, leaf, F.lit(0)), _hashed), " "))
 
-    def tree(leaves: Column) -> Column:
-        hashes = F.transform(leaves, _short)
-        sections = F.transform(F.sequence(F.lit(0), F.floor((F.size(leaves) - 1) / SECTION).cast("int")), lambda i: _short(F.array_join(F.slice(leaves, i * SECTION + 1, SECTION), "\n")))
-        every = F.array_join(leaves, "\n")
-        return F.concat_ws(";", F.substring(F.sha2(every.cast("binary"), 256), 1, 32), F.array_join(sections, " "), F.array_join(hashes, " "), F.regexp_replace(F.trim(every), "\\s+", " "))
+    def of_sections(sections: Column, paragraphs: Column, leaves: Column) -> Column:
+        root = F.substring(F.sha2(F.array_join(sections, " ").cast("binary"), 256), 1, 32)
+        return F.concat_ws(";", root, F.array_join(sections, " "), F.array_join(paragraphs, " "), F.regexp_replace(F.trim(F.array_join(leaves, " ")), " +", " "))
 
-    return F.transform(F.array(paragraphs), tree)[0]
+    def of_paragraphs(paragraphs: Column, leaves: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(paragraphs) - 1) / SECTION).cast("int"))
+        sections = F.transform(numbers, lambda i: _hashed(F.array_join(F.slice(paragraphs, i * SECTION + 1, SECTION), " ")))
+        return _let(sections, lambda s: of_sections(s, paragraphs, leaves))
+
+    return _let(leaves, lambda x: _let(F.transform(x, _hashed), lambda p: of_paragraphs(p, x)))
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -61,6 +73,14 @@ def differing_paragraphs(left: Column, right: Column) -> Column:
     return F.filter(numbers, lambda i: F.get(sections, F.floor(i / SECTION).cast("int")) & F.get(paragraphs, i))
 
 
+def ends_below(ends: list[int], value: Column) -> Column:
+    """How many of the ascending ``ends`` are less than a value, by bisection."""
+    if not ends:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(ends).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(F.lit(ends), n + step - 1) < value, n + step).otherwise(n))
+
+
 def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     """docs with ``next_<c>`` of the next row in descending doc_id for each carried column; the first row follows the last.
 
@@ -71,7 +91,7 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     ranges = max(1, min(RANGES, n // RANGE_ROWS))
     ends = docs.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5], 100 * ranges)).head()[0] if ranges > 1 else []
     ends = sorted(set(ends or []))
-    number = F.coalesce(F.size(F.filter(F.array(*[F.lit(x) for x in ends]), lambda x: x < F.col("doc_id"))), F.lit(0)) if ends else F.lit(0)
+    number = ends_below(ends, F.col("doc_id"))
     ranged = docs.withColumn("_range", F.when(F.col("doc_id").isNull(), 0).otherwise(number))
     heads = ranged.groupBy("_range").agg(F.max("doc_id").alias("_head")).orderBy("_range").collect()
     to = docs.sparkSession.createDataFrame([(h._range, h._head, heads[(i + 1) % len(heads)]._range) for i, h in enumerate(heads)], "_range int, _head long, _to int")
