@@ -1,7 +1,7 @@
 """Toxicity: character n-grams scaled by naive Bayes log-count ratios, under a linear classifier.
 
-Features are the runs of three to five bytes of the text in lower case (white space folded to a blank), hashed to 2^18
-places and counted once. Each is scaled by the log of its share among toxic rows over its share among the others, and
+Features are the runs of three to five characters of the text in lower case (white space folded to a blank), hashed to
+2^18 places and counted once. Each is scaled by the log of its share among toxic rows over its share among the others, and
 the classifier learns weights for the scaled features; place 0 is the constant. Labels, languages, sources and ids are
 no features.
 
@@ -27,12 +27,12 @@ LEAST_RATIO = 0.5
 
 def places(text: bytes) -> np.ndarray:
     """The places of the text's n-grams, each once."""
-    data = np.frombuffer(b" " + b" ".join(text.lower().split()) + b" ", np.uint8).astype(np.uint32)
+    data = np.frombuffer(f" {' '.join(text.decode(errors='replace').lower().split())} ".encode("utf-32-le"), np.uint32)
     rolled, found = data.copy(), []
     for n in range(2, max(SIZES) + 1):
         if len(data) < n:
             break
-        rolled = rolled[: len(data) - n + 1] * np.uint32(257) + data[n - 1 :]
+        rolled = rolled[: len(data) - n + 1] * np.uint32(0x01000193) + data[n - 1 :]
         if n in SIZES:
             h = (rolled ^ (rolled >> np.uint32(15))) * np.uint32(0x85EBCA6B + 2 * n)
             found.append((h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - BITS))
