@@ -1,8 +1,9 @@
 """Logistic regression on sparse hashed features, trained by follow-the-regularised-leader updates.
 
 Rows to learn from are labelled rows whose crc32(doc_id as text) mod 5 is not 0. Of these a bounded sample is used: at
-most about ``cap`` rows, chosen by a hash of the id. Each of a fixed number of groups trains a model of its own in one
-task, bounded by cap / groups rows, and the weights are averaged.
+most about ``cap`` rows, chosen by a hash of the id. They are dealt to groups, one for every GROUP_ROWS and GROUPS at most.
+Each trains a model of its own in one task, bounded by cap / groups rows, over so many epochs that about UPDATES are
+made, and the weights are averaged.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 
 from junctionflow.llm.common import utf8
 
-#: Labelled rows to learn from, at most (give or take the luck of hashing), and models that are averaged.
+#: Labelled rows to learn from, at most (give or take the luck of hashing), and models that are averaged, at most.
 SAMPLE_ROWS, GROUPS = 16_000, 8
+#: Rows that make a group, and updates of a model.
+GROUP_ROWS, UPDATES = 2_000, 10_000
 
 Features = Callable[[bytes], tuple[np.ndarray, np.ndarray]]
 
@@ -26,13 +29,15 @@ def held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, target: str, cap: int = SAMPLE_ROWS, groups: int = GROUPS) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, target: str, cap: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, text, label, part: the sample. Of several labels of an id the larger counts; null labels are skipped."""
     known = labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(target).cast("int").alias("label"))
-    limit = int(min(1.0, cap / max(1, known.count())) * (1 << 31))
+    n = known.count()
+    limit, groups = int(min(1.0, cap / max(1, n)) * (1 << 31)), int(np.clip(n // GROUP_ROWS, 1, GROUPS))
     chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 31)) < limit)
     # about ``cap`` rows of an id and a label whatever the size of the tables, hence the broadcast
     found = docs.select("doc_id", utf8().alias("text")).join(F.broadcast(chosen), "doc_id")
+    found = found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))  # a repeated id teaches once
     return found.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(groups)).cast("int"))
 
 
@@ -53,13 +58,13 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int, epochs: int,
     return weights(np.arange(size))
 
 
-def train(rows: DataFrame, features: Features, size: int, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.0, l2: float = 1.0) -> np.ndarray:
+def train(rows: DataFrame, features: Features, size: int, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.0, l2: float = 1.0) -> np.ndarray:
     """The mean weights; zeros when there is nothing to learn from."""
 
     def per_group(table: pa.Table) -> pa.Table:
         order = np.argsort([hash(i) * 2654435761 % (1 << 32) for i in table["doc_id"].to_pylist()], kind="stable")
         texts, labels = table["text"].to_pylist(), table["label"].to_pylist()
-        w = ftrl([(*features(texts[k]), labels[k]) for k in order], size, epochs, alpha, beta, l1, l2)
+        w = ftrl([(*features(texts[k]), labels[k]) for k in order], size, int(np.clip(-(-UPDATES // len(order)), 3, 30)), alpha, beta, l1, l2)
         return pa.table({"w": [w.astype("<f4").tobytes()]}, pa.schema([("w", pa.binary())]))
 
     found = rows.groupBy("part").applyInArrow(per_group, "w binary").collect()  # at most GROUPS rows of fixed size
