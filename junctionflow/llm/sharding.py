@@ -2,7 +2,7 @@
 
 Equal texts form atomic groups. Groups stand in the order of the 64-bit hash of their text, and 16 shards take
 neighbouring runs of groups such that the largest shard is as small as it can be. The smallest feasible capacity is
-found by binary search with a greedy check over the ordered group sizes. The check works on sums over bins of the hash
+found by binary search with a greedy check over the ordered group sizes, and within it the cuts are as even as they can. The check works on sums over bins of the hash
 (2^16 rows at most); where a cut falls into a bin, that bin alone is opened into finer bins, down to single groups, so
 the result is the exact optimum while the driver never sees more than a bounded number of sums.
 
@@ -12,7 +12,7 @@ kept apart by their slots. An empty table gives no rows. Other columns are not r
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -71,6 +71,22 @@ def capacity(sums: list[int], shards: int, loose: list[bool] | None = None) -> t
     return low, starts, cut
 
 
+def even_cuts(sums: list[int], shards: int, most: int) -> list[int]:
+    """The indices that start shards 1, 2, ...: as near to equal sizes as groups allow, no shard over ``most``."""
+    last = at = len(sums) - 1
+    earliest = [0] * shards  # where a shard may start at the earliest for the rest to fit
+    for k in range(shards - 1, 0, -1):
+        at = earliest[k] = bisect_left(sums, sums[at] - most, 0, at)
+    at, starts = 0, []
+    for k in range(1, shards):
+        low, high = max(earliest[k], at), bisect_right(sums, sums[at] + most) - 1
+        share = sums[at] + (sums[last] - sums[at]) / (shards - k + 1)
+        i = bisect_left(sums, share, low, high)
+        at = i - 1 if i > low and share - sums[i - 1] <= sums[i] - share else i
+        starts.append(at)
+    return [i for i in starts if i < last]
+
+
 def cut_keys(groups: DataFrame, shards: int = SHARDS, bin_bits: int = BIN_BITS) -> list[int]:
     """The first key of each shard but shard 0, for groups (key, size) with one row for each key."""
 
@@ -83,10 +99,10 @@ def cut_keys(groups: DataFrame, shards: int = SHARDS, bin_bits: int = BIN_BITS)
         prefix = [0]
         for a in atoms:
             prefix.append(prefix[-1] + a.size)
-        best, starts, _ = capacity(prefix, shards)
+        best, _, _ = capacity(prefix, shards)
         least, _, opened = capacity(prefix, shards, [not a.whole for a in atoms])
         if least == best:
-            return [atoms[i].first_key for i in starts]
+            return [atoms[i].first_key for i in even_cuts(prefix, shards, best)]
         finer: dict[int, list[Atom]] = {}
         for bits in {atoms[i].bits for i in opened}:
             these = {atoms[i].first_key >> (64 - bits): i for i in opened if atoms[i].bits == bits}
