@@ -13,7 +13,8 @@ Documents with equal sets are one class from the start, however many copies ther
 * In a longer list their answers come from the head's: with x and y shingles in common with a head of size t, two sets
   share c if and only if their differences from the head (what one has and the other lacks) share c + t - x - y. Where one
   of the two does not link with the head, that is one at least for every c that links. So lists of differences are joined
-  in place of lists of sets, rare ones first.
+  in place of lists of sets, rare ones first. Each set first meets the first of its lists of differences, so that the
+  components that there are within a list are known before its sets are paired.
 * Entries of such lists are skipped by position too: two differences that must share k have one in common among the
   first size - k + 1 of each. The block of positions that no partner can reach, all but a quarter of the set's size, is
   never listed: what only the head has comes last there, which far sets have in common without being alike.
@@ -175,6 +176,14 @@ def links(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
     return over_batches(with_texts(pairs, texts), per_batch, "a long, b long")
 
 
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, tables: Tables, words: int = WORDS) -> DataFrame:
+    """The table of the pairs that link."""
+    texts = tables.write(texts_of(docs, classes, pairs))
+    found = tables.write(links(pairs, texts, words))
+    tables.drop(texts)
+    return found
+
+
 def against_heads(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
     """a, b, common, skipped, differs for sets a and heads b: the shingles that just one of both has, those of a first,
     without the last ones (``skipped`` of them), which no set that links with a needs.
@@ -241,7 +250,7 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
 def still_open(lists: DataFrame, labels: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
     """The sets of lists whose sets are not all of one component, but for heads, which have met all: of short lists
     shingle, cls, size, place, label; of long ones a, the head b, label."""
-    side = tables.write(lists.join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls")))
+    side = tables.write(labelled(lists, "cls", labels))
     mixed = side.groupBy("shingle").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle", (F.col("n") <= SHORT).alias("short"))
     open_ = tables.write(side.filter(F.col("cls") != F.col("head")).join(mixed, "shingle"))
     tables.drop(side)
@@ -258,23 +267,44 @@ def short_pairs(short: DataFrame) -> DataFrame:
     return both.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct()
 
 
-def long_pairs(compared: DataFrame, open_: DataFrame, classes: DataFrame, tables: Tables) -> DataFrame:
-    """a, b: sets of one long list that may still link, from their differences from its head."""
+def listed_differences(compared: DataFrame, open_: DataFrame, classes: DataFrame, tables: Tables) -> DataFrame:
+    """b, shingle, a, ...: the differences of the sets of long lists from their heads that other sets have too, with their
+    places, rare ones first, and what else is known of a."""
     sizes = classes.select("cls", "size")
-    often = tables.write(compared.select("b", F.explode("differs").alias("shingle")).groupBy("b", "shingle").agg(F.count("*").alias("n")).filter("n > 1"))
+    often = compared.select("b", F.explode("differs").alias("shingle")).groupBy("b", "shingle").agg(F.count("*").alias("n")).filter("n > 1")
     listed = compared.select("a", "b", "skipped", F.size("differs").alias("differ"), F.explode("differs").alias("shingle")).join(often, ["b", "shingle"])
     of_set = Window.partitionBy("a", "b")  # a set's difference from one head; what is found nowhere else stands first
     listed = listed.withColumn("place", F.col("differ") - F.count("*").over(of_set) + F.row_number().over(of_set.orderBy("n", "shingle")))
-    known = open_.join(compared.select("a", "b", "common"), ["a", "b"]).join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "of_head"), "b")
-    listed = tables.write(listed.select("a", "b", "shingle", "skipped", "differ", "place").join(known, ["a", "b"]))
-    left, right = (listed.select("b", "shingle", *[F.col(c).alias(f"{s}_{c}") for c in ("a", "label", "size", "of_head", "common", "skipped", "differ", "place")]) for s in "ab")
+    heads = open_.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("heads"))
+    known = open_.join(compared.select("a", "b", "common"), ["a", "b"]).join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "of_head"), "b").join(heads, "a")
+    return tables.write(listed.select("a", "b", "shingle", "skipped", "differ", "place").join(known, ["a", "b"]))
+
+
+def first_pairs(listed: DataFrame) -> DataFrame:
+    """a, b: each set with the first of every list of differences that it is in. Sets that are nearer to each other than
+    to the head share many, so most of their components show here, from as many pairs as there are entries."""
+    first = listed.groupBy("b", "shingle").agg(F.min(F.struct("a", "label")).alias("first"))
+    met = listed.join(first, ["b", "shingle"]).filter((F.col("a") != F.col("first.a")) & (F.col("label") != F.col("first.label")))
+    return met.select("a", F.col("first.a").alias("b")).distinct()
+
+
+def long_pairs(listed: DataFrame) -> DataFrame:
+    """a, b: sets of one long list that may still link, from their differences from the least head that both have."""
+    columns = ("a", "label", "size", "of_head", "common", "skipped", "differ", "place", "heads")
+    left, right = (listed.select("b", "shingle", *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in "ab")
     must = _need("a_size", "b_size") + F.col("a_of_head") - F.col("a_common") - F.col("b_common")
     listed_too = F.greatest(must - F.greatest("a_skipped", "b_skipped"), F.lit(1))  # of these so many are listed in both
     reach = (F.col("a_place") + listed_too <= F.col("a_differ") + 1) & (F.col("b_place") + listed_too <= F.col("b_differ") + 1)
-    pairs = left.join(right, ["b", "shingle"]).filter((F.col("a_a") < F.col("b_a")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size") & reach)
+    one = F.col("b") == F.array_min(F.array_intersect("a_heads", "b_heads"))
+    pairs = left.join(right, ["b", "shingle"]).filter((F.col("a_a") < F.col("b_a")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size") & reach & one)
     return pairs.select(F.col("a_a").alias("a"), F.col("b_a").alias("b")).distinct()
 
 
+def labelled(rows: DataFrame, name: str, labels: DataFrame) -> DataFrame:
+    """rows with the label of the class in column ``name``, its own where it has none."""
+    return rows.drop("label").join(labels.select(F.col("node").alias(name), "label"), name, "left").withColumn("label", F.coalesce("label", name))
+
+
 def linked_classes(docs: DataFrame, classes: DataFrame, tables: Tables, words: int = WORDS) -> DataFrame:
     """node, label: the components of the ``classes`` (cls, size, one, prefix) that link with another."""
     # one long for size and place keeps the rows of the widest shuffle small
@@ -289,9 +319,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame, tables: Tables, words: i
     tables.drop(lists, heads)
     stars = headed.filter(F.col("cls") != F.col("head")).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct()
     stars = tables.write(may_link(stars, classes))
-    texts = tables.write(texts_of(docs, classes, stars))
-    found = tables.write(links(stars, texts, words))
-    tables.drop(stars, texts)
+    found = verified(docs, classes, stars, tables, words)
+    tables.drop(stars)
     labels = components(found, tables)
 
     short, long = still_open(headed, labels, tables)
@@ -300,12 +329,16 @@ def linked_classes(docs: DataFrame, classes: DataFrame, tables: Tables, words: i
     texts = tables.write(texts_of(docs, classes, long))
     compared = tables.write(against_heads(long, texts, words))
     tables.drop(texts)
-    pairs = tables.write(may_link(short_pairs(short).unionByName(long_pairs(compared, long, classes, tables)).distinct(), classes))
+    listed = listed_differences(compared, long, classes, tables)
+    tables.drop(compared)
+    pairs = tables.write(may_link(first_pairs(listed), classes))
+    if not pairs.isEmpty():
+        found = found.unionByName(verified(docs, classes, pairs, tables, words))
+        labels = components(found, tables)
+    pairs = tables.write(may_link(short_pairs(labelled(short, "cls", labels)).unionByName(long_pairs(labelled(listed, "a", labels))).distinct(), classes))
     if pairs.isEmpty():
         return labels
-    texts = tables.write(texts_of(docs, classes, pairs))
-    rest = tables.write(links(pairs, texts, words))
-    return components(found.unionByName(rest), tables)
+    return components(found.unionByName(verified(docs, classes, pairs, tables, words)), tables)
 
 
 def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -317,8 +350,8 @@ def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
         names = tables.write(every.drop("prefix"))
         tables.drop(every)
         labels = linked_classes(docs, classes, tables, words)
-        labelled = classes.select("same", "cls", F.col("one.id").alias("id")).join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-        groups = labelled.select("same", "label").join(labelled.groupBy("label").agg(F.min("id").alias("group")), "label").select("same", "group")
+        named = classes.select("same", "cls", F.col("one.id").alias("id")).join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        groups = named.select("same", "label").join(named.groupBy("label").agg(F.min("id").alias("group")), "label").select("same", "group")
         return tables.keep(tables.write(names.join(groups, "same", "left").select("id", "tie", "size", F.when(F.col("size") > 0, F.col("group")).otherwise(F.col("id")).alias("group"))))
 
 
