@@ -18,6 +18,8 @@ ARCHITECTURES = [
     ("010010", "transposition", None, None, None),
 ]
 NUMBERS = [1, 2, 3, 5, 6, 7]
+#: The word on a covered junction of type 4 (fixed value).
+AMP_AMP = "observed amplicon-amplicon (IS loss)"
 
 
 def architecture(calls: DataFrame, keys: list[str]) -> DataFrame:
@@ -44,7 +46,7 @@ def compare_iso_anc(iso: Column, anc: Column) -> Column:
 
 def flag_amp_amp(descriptors: Column, call4: Column) -> Column:
     """Descriptors, with a word on a covered junction of type 4."""
-    return F.when(F.coalesce(call4, F.lit(False)), F.concat(descriptors, F.array(F.lit("amp-amp")))).otherwise(descriptors)
+    return F.when(F.coalesce(call4, F.lit(False)), F.concat(descriptors, F.array(F.lit(AMP_AMP)))).otherwise(descriptors)
 
 
 def category_counts(rows: DataFrame, column: str, categories: list[str]) -> DataFrame:

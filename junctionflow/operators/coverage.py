@@ -36,14 +36,14 @@ def scaffold_average(coverage: DataFrame, value: str, method: str = "median") ->
 
 
 def distribution_mode(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, average: the mode of positive values x (n times each): log scale, Freedman-Diaconis bins (square root rule
-    without spread, ten at least), the middle of the fullest bin, the first on a tie."""
+    """keys, average: the mode of positive values x (n times each): log scale, edges by the Freedman-Diaconis rule (without
+    spread by the square root rule, 50 at most), ten at least, the middle of the fullest bin, the first on a tie."""
     logs = counts.filter("x > 0").withColumn("y", F.log("x"))
     stats = logs.groupBy(*keys).agg(
         F.expr("percentile(y, 0.25, n)").alias("q1"), F.expr("percentile(y, 0.75, n)").alias("q3"), F.min("y").alias("low"), F.max("y").alias("high"), F.sum("n").alias("total")
     )
     width = 2 * (F.col("q3") - F.col("q1")) / F.pow("total", F.lit(1 / 3))
-    edges = F.when(width > 0, F.ceil((F.col("high") - F.col("low")) / width)).otherwise(F.ceil(F.sqrt("total")))
+    edges = F.when(width > 0, F.floor((F.col("high") - F.col("low")) / width)).otherwise(F.least(F.lit(50), F.floor(F.sqrt("total"))))
     bins = F.greatest(edges, F.lit(10)) - 1  # that many edges make one bin less
     placed = logs.join(stats, keys).withColumn("bins", bins).withColumn("step", (F.col("high") - F.col("low")) / F.col("bins"))
     number = F.when(F.col("step") > 0, F.least(F.floor((F.col("y") - F.col("low")) / F.col("step")), F.col("bins") - 1)).otherwise(0)
@@ -81,13 +81,12 @@ def mask_zero(histogram: DataFrame) -> DataFrame:
 
 def amplicon_averages(histogram: DataFrame, scaffolds: DataFrame) -> DataFrame:
     """sample, cand_id, iso_scaf_avg, anc_scaf_avg, iso_amplicon_avg, anc_amplicon_avg, avg_norm_cov (medians).
-    scaffolds: sample, cand_id, iso_scaf_avg, anc_scaf_avg."""
+    scaffolds: sample, cand_id, iso_scaf_avg, anc_scaf_avg. A candidate without a position that counts has nulls."""
     rows = mask_zero(histogram).join(scaffolds, ["sample", "cand_id"])
     scale = F.try_divide(F.col("iso_scaf_avg"), F.col("anc_scaf_avg"))
     rows = rows.withColumn("ratio", F.try_divide(F.try_divide(F.col("iso").cast("double"), F.col("anc")), scale))
-    return rows.groupBy("sample", "cand_id", "iso_scaf_avg", "anc_scaf_avg").agg(
-        median_of("iso").alias("iso_amplicon_avg"), median_of("anc").alias("anc_amplicon_avg"), F.expr("percentile(ratio, 0.5, n)").alias("avg_norm_cov")
-    )
+    found = rows.groupBy("sample", "cand_id").agg(median_of("iso").alias("iso_amplicon_avg"), median_of("anc").alias("anc_amplicon_avg"), F.expr("percentile(ratio, 0.5, n)").alias("avg_norm_cov"))
+    return scaffolds.join(found, ["sample", "cand_id"], "left")
 
 
 def copy_numbers(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ def is_features(features: DataFrame) -> DataFrame:
     """ref, scaf, tn_name, start, end, orientation of insertion-sequence features (type, qualifiers map, start0, end, strand)."""
     note = F.when(F.col("type") == "mobile_element", F.col("qualifiers")["mobile_element_type"][0]).when(F.col("type").isin("misc_feature", "repeat_region"), F.col("qualifiers")["note"][0])
     named = features.withColumn("_note", note).filter(F.lower("_note").contains("insertion sequence"))
-    first, second = F.regexp_extract("_note", r"(?i)insertion sequence:?\s*(\S+)", 1), F.regexp_extract("_note", r"(IS\d+\w*)", 1)
+    first, second = F.regexp_extract("_note", r"(?i)insertion sequence:?\s*(\S+)", 1), F.regexp_extract("_note", r"(?i)(IS\d+\w*)", 1)
     name = F.coalesce(F.nullif(first, F.lit("")), F.nullif(second, F.lit("")), F.lit("unknown"))
     return named.select("ref", "scaf", name.alias("tn_name"), (F.col("start0") + 1).alias("start"), "end", F.when(F.col("strand") < 0, -1).otherwise(1).alias("orientation"))
 
@@ -61,12 +61,12 @@ def elements_from_hits(hits: DataFrame, subjects: DataFrame) -> DataFrame:
 
 def normalise_isescan(rows: DataFrame) -> DataFrame:
     """scaf, tn_name, start, end, orientation, swapped from (seqID, isBegin, isEnd, strand, family, cluster)."""
-    clean = lambda c: F.when(~F.lower(F.trim(c)).isin("", "nan", "none", "na"), F.trim(c))
+    clean = lambda c: F.when(~F.lower(F.trim(c)).isin("", "nan", "none", "na", "n/a"), F.trim(c))
     family, cluster = clean(F.col("family")), clean(F.col("cluster"))
     name = F.coalesce(F.nullif(F.concat_ws(":", family, cluster), F.lit("")), F.lit("unknown"))
     return rows.select(
         F.col("seqID").alias("scaf"), name.alias("tn_name"), F.least("isBegin", "isEnd").alias("start"), F.greatest("isBegin", "isEnd").alias("end"),
-        F.when(F.trim("strand").isin("-", "-1", "minus"), -1).otherwise(1).alias("orientation"), (F.col("isBegin") > F.col("isEnd")).alias("swapped"),
+        F.when(F.trim("strand").isin("-", "-1", "reverse", "rev"), -1).otherwise(1).alias("orientation"), (F.col("isBegin") > F.col("isEnd")).alias("swapped"),
     )
 
 

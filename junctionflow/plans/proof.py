@@ -208,9 +208,15 @@ def v2_scaffold_mean(spark, d):
     return coverage.scaffold_average(v_cov(spark, d), "iso", "mean").withColumn("average", F.round("average", 6))
 
 
-@query()
+@query(f"""WITH {COV}, logs AS (SELECT sample, scaf, ln(iso) AS y FROM cov WHERE iso > 0),
+stats AS (SELECT sample, scaf, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.75) AS q3, min(y) AS low, max(y) AS high, count(*) AS total FROM logs GROUP BY ALL),
+bins AS (SELECT *, greatest(10, CASE WHEN q3 > q1 THEN floor((high - low) / (2 * (q3 - q1) / pow(total, 1.0 / 3))) ELSE least(50, floor(sqrt(total))) END) - 1 AS n FROM stats),
+placed AS (SELECT sample, scaf, low, (high - low) / n AS step, CASE WHEN high > low THEN least(floor((y - low) / ((high - low) / n)), n - 1) ELSE 0 END AS bin FROM logs JOIN bins USING (sample, scaf)),
+counts AS (SELECT sample, scaf, low, step, bin, count(*) AS n FROM placed GROUP BY sample, scaf, low, step, bin),
+fullest AS (SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY sample, scaf ORDER BY n DESC, bin) = 1)
+SELECT sample, scaf, round(exp(low + (bin + 0.5) * step), 6) AS average FROM fullest""")
 def v8_scaffold_mode(spark, d):
-    return coverage.scaffold_average(v_cov(spark, d), "iso", "mode")
+    return coverage.scaffold_average(v_cov(spark, d), "iso", "mode").withColumn("average", F.round("average", 6))
 
 
 def copy_number_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -223,7 +229,8 @@ def copy_number_rows(spark: SparkSession, d: str) -> DataFrame:
 AVERAGES = f"""WITH {COV}, {CANDIDATE}, scafs AS (SELECT sample, scaf, median(iso) AS si, median(anc) AS sa FROM cov GROUP BY sample, scaf),
 rows AS (SELECT c.sample, cand_id, iso, anc, si, sa FROM candidate c JOIN cov v ON c.scaf = v.scaf AND c.sample = v.sample AND (CASE WHEN start <= "end" THEN pos BETWEEN start AND "end" ELSE pos >= start OR pos <= "end" END)
   JOIN scafs s ON s.scaf = c.scaf AND s.sample = c.sample WHERE anc > 0),
-averages AS (SELECT sample, cand_id, si, sa, median(iso) AS ai, median(anc) AS aa, median((iso / anc) / (si / sa)) AS cn FROM rows GROUP BY ALL)"""
+found AS (SELECT sample, cand_id, median(iso) AS ai, median(anc) AS aa, median((iso / anc) / (si / sa)) AS cn FROM rows GROUP BY ALL),
+averages AS (SELECT c.sample, c.cand_id, si, sa, ai, aa, cn FROM candidate c JOIN scafs s ON s.scaf = c.scaf AND s.sample = c.sample LEFT JOIN found f ON f.sample = c.sample AND f.cand_id = c.cand_id)"""
 
 
 @query(f"{AVERAGES} SELECT sample, cand_id, round(ai, 6) AS iso_amplicon_avg, round(aa, 6) AS anc_amplicon_avg, round(ai / si, 6) AS iso_norm, round(cn, 6) AS copy_number FROM averages")
@@ -231,7 +238,7 @@ def v4_v9_copy_number(spark, d):
     return copy_number_rows(spark, d).select("sample", "cand_id", *[F.round(c, 6).alias(c) for c in ("iso_amplicon_avg", "anc_amplicon_avg", "iso_norm", "copy_number")])
 
 
-@query(f"{AVERAGES} SELECT sample, cand_id, round(cn, 6) AS copy_number FROM averages WHERE cand_id % 7 <> 0 AND NOT (round(cn, 6) >= 0.3 AND round(cn, 6) < 1.5)")
+@query(f"{AVERAGES} SELECT sample, cand_id, round(cn, 6) AS copy_number FROM averages WHERE cand_id % 7 <> 0 AND (cn IS NULL OR NOT (round(cn, 6) >= 0.3 AND round(cn, 6) < 1.5))")
 def v10_filter_copy_number(spark, d):
     rows = copy_number_rows(spark, d).withColumn("copy_number", F.round("copy_number", 6)).withColumn("chosen_tn", F.when(F.col("cand_id") % 7 != 0, 1))
     return coverage.filter_copy_number(rows).select("sample", "cand_id", "copy_number")

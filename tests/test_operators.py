@@ -211,3 +211,36 @@ def test_entry_module_imports_without_the_corpus_part():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_mode_of_a_skewed_distribution(spark):
+    """Of 1..100 once each and 40 fifty times more, by hand: n = 150, quartiles of the logs, nine bins or more."""
+    import math
+
+    import numpy as np
+
+    x = np.log(np.array([*range(1, 101), *[40] * 50], float))
+    q1, q3 = np.percentile(x, [25, 75])
+    edges = np.linspace(x.min(), x.max(), max(10, int((x.max() - x.min()) / (2 * (q3 - q1) / 150 ** (1 / 3)))))
+    k = int(np.histogram(x, edges)[0].argmax())
+    rows = spark.createDataFrame([(0, "s", v, 51 if v == 40 else 1) for v in range(1, 101)] + [(0, "flat", 7, 3)], "sample int, scaf string, x int, n long")
+    got = {r.scaf: r.average for r in coverage.distribution_mode(rows, ["sample", "scaf"]).collect()}
+    assert got["s"] == pytest.approx(math.exp((edges[k] + edges[k + 1]) / 2)) and got["flat"] == pytest.approx(7)
+
+
+def test_candidates_without_ancestor_coverage_stay(spark):
+    histogram = spark.createDataFrame([(0, 1, 5, 0, 3), (0, 2, 6, 2, 1)], "sample int, cand_id int, iso int, anc int, n long")
+    scaffolds = spark.createDataFrame([(0, 1, 4.0, 2.0), (0, 2, 4.0, 2.0)], "sample int, cand_id int, iso_scaf_avg double, anc_scaf_avg double")
+    rows = coverage.copy_numbers(coverage.amplicon_averages(histogram, scaffolds)).withColumn("chosen_tn", L(1))
+    assert {r.cand_id: r.copy_number for r in rows.collect()} == {1: None, 2: 1.5}
+    assert {r.cand_id for r in coverage.filter_copy_number(rows).collect()} == {1, 2}
+
+
+def test_strand_words_and_empty_names(spark):
+    made = [("s", 1, 9, w, f, "N/A") for w, f in (("reverse", "IS5"), ("rev", "n/a"), ("+", "IS5"), ("-1", "IS5"))]
+    rows = spark.createDataFrame(made, "seqID string, isBegin int, isEnd int, strand string, family string, cluster string")
+    assert [(r.tn_name, r.orientation) for r in islocate.normalise_isescan(rows).collect()] == [("IS5", -1), ("unknown", -1), ("IS5", 1), ("IS5", -1)]
+
+
+def test_word_on_a_covered_fourth_junction(value):
+    assert value(classify.flag_amp_amp(F.array(L("ancestral")), L(True))) == ["ancestral", "observed amplicon-amplicon (IS loss)"]
