@@ -3,14 +3,16 @@ empty tables, columns with clashing names."""
 
 import collections
 import hashlib
+import os
 import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from junctionflow.llm import bpe, jaccard_join, line_dedup, linear, merkle, packing, quality_classifier, quality_rules, sharding, suffix_dedup, toxicity
+from junctionflow.llm import bpe, common, jaccard_join, line_dedup, linear, merkle, packing, quality_classifier, quality_rules, sharding, suffix_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words string, kept int"
 
@@ -292,3 +294,39 @@ def test_pipeline_stages(spark, docs, rows):
         at = stage(spark, at, "")
         assert at.columns == docs.columns, name
     assert corpus_pipeline.STAGES[-1][1](spark, at, "").count() > 0
+
+
+def test_words_with_equal_sums_of_powers_are_told_apart(spark):
+    assert len(set(common.word_hashes(" ".join(TWINS).encode()).tolist())) == 2
+    tokenizer, memo = packing._tokenizer(packing.TOKENIZER), packing.ChunkIds(packing.TOKENIZER)
+    texts = [*TWINS, "", " a. b,  c.. ,", "İ İ x.", "a <|endoftext|> b", "don't | stop!!", "Wörter&&& Ünd, ñ$$$ 12.5%"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):  # learning and remembering
+        assert [memoryview(x).cast("I").tolist() for x in memo.of(pa.array([t.encode() for t in texts], pa.binary()))] == want
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TWINS)], "doc_id long, text string")
+    assert {r.id: r.group for r in jaccard_join.joined(docs).collect()} == {0: 0, 1: 1}
+    assert quality_rules.text_counts(" ".join([TWINS[0], "x", "y", TWINS[1], "x", "y"]).encode())[4] == 0
+
+
+def test_even_cuts_keep_the_least_capacity():
+    rng = random.Random(3)
+    for _ in range(100):
+        sizes = [rng.randint(1, 30) for _ in range(rng.randint(1, 40))]
+        sums = [sum(sizes[:i]) for i in range(len(sizes) + 1)]
+        most = sharding.capacity(sums, 4)[0]
+        cuts = [0, *sharding.even_cuts(sums, 4, most), len(sizes)]
+        assert cuts == sorted(cuts) and max(sums[b] - sums[a] for a, b in zip(cuts, cuts[1:])) <= most
+
+
+def test_tables_are_deleted_once_they_are_dropped(spark):
+    with common.Tables(spark) as tables:
+        kept, gone = tables.keep(tables.write(spark.range(3))), tables.write(spark.range(2))
+        path = gone.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+        assert os.path.isdir(path)
+    assert not os.path.isdir(path) and kept.count() == 3
+
+
+def test_batches_are_cut_by_bytes():
+    batch = pa.record_batch([pa.array([b"x" * n for n in (10, 10, 500, 3, 0, 0, 90)], pa.binary())], names=["t"])
+    assert [[len(x) for x in b.column(0).to_pylist()] for b in common.slices(batch, 100)] == [[10, 10], [500], [3, 0, 0, 90]]
+    assert sum(b.num_rows for b in common.slices(batch.slice(1, 5), 100)) == 5
