@@ -64,12 +64,30 @@ def arm_mirror(a: Column, flank: Column | None = None) -> Column:
     return arm(a["scaf"], a["start"] - a["dir"], -a["dir"], a["flank"] if flank is None else flank)
 
 
-def inward_arms(scaf: Column, left: Column, right: Column, flank: Column) -> tuple[Column, Column]:
-    return arm(scaf, left, F.lit(1), flank), arm(scaf, right, F.lit(-1), flank)
+def inward_arms(scaf: Column, left: Column, right: Column, flank: Column, right_flank: Column | None = None) -> tuple[Column, Column]:
+    """Arms from both ends into a forward segment; ``right_flank`` where its right arm has another length."""
+    return arm(scaf, left, F.lit(1), flank), arm(scaf, right, F.lit(-1), flank if right_flank is None else right_flank)
 
 
-def outward_arms(scaf: Column, left: Column, right: Column, flank: Column) -> tuple[Column, Column]:
-    return tuple(arm_mirror(a) for a in inward_arms(scaf, left, right, flank))
+def outward_arms(scaf: Column, left: Column, right: Column, flank: Column, right_flank: Column | None = None) -> tuple[Column, Column]:
+    return tuple(arm_mirror(a) for a in inward_arms(scaf, left, right, flank, right_flank))
+
+
+def segment_junctions(scaf: Column, left: Column, right: Column, inside: Column, outside: Column) -> Column:
+    """array of two struct(arm1, arm2), one for each end of a forward segment: arm 1 looks in, arm 2 out."""
+    ends = zip(inward_arms(scaf, left, right, inside), outward_arms(scaf, left, right, outside), strict=True)
+    return F.array(*[F.struct(a.alias("arm1"), b.alias("arm2")) for a, b in ends])
+
+
+def jc_arms(df: DataFrame) -> DataFrame:
+    """Junction rows with arm1 and arm2, structs made of their columns."""
+    return df.withColumns({f"arm{n}": arm(F.col(f"scaf{n}"), F.col(f"pos{n}"), F.col(f"dir{n}"), F.col(f"flanking{n}")) for n in (1, 2)})
+
+
+def from_arms(df: DataFrame) -> DataFrame:
+    """Rows with arm1 and arm2 as junction rows; the inverse of ``jc_arms``."""
+    fields = {"scaf": "scaf", "pos": "start", "dir": "dir", "flanking": "flank"}
+    return df.withColumns({f"{c}{n}": F.col(f"arm{n}.{f}") for n in (1, 2) for c, f in fields.items()}).drop("arm1", "arm2")
 
 
 def arm_seq(seq: Column, a: Column, circular: Column) -> Column:
@@ -115,6 +133,10 @@ def infer_circularity(scaffolds: DataFrame) -> DataFrame:
     return scaffolds.withColumn("is_circular", F.coalesce(F.col("topology") == "circular", alone))
 
 
-def candidate_name(scaf: Column, left: Column, right: Column, left_offset: Column, right_offset: Column, flank: Column) -> Column:
-    """jc_{scaf}_{left}-{right}_{signed offsets}_{flank}bp"""
-    return F.format_string("jc_%s_%d-%d_%+d%+d_%dbp", scaf, left, right, left_offset, right_offset, flank)
+def candidate_name(key: Column) -> Column:
+    """Text that names a candidate's junctions one to one, from the struct of reads.synthetic_arms."""
+    side = F.when(key["start_at_left"], "S").otherwise("E")
+    return F.format_string(
+        "jc_%s_%d-%d_%s_%d-%d_L%+dL%+d_R%+dR%+d%s_%dbp", key["amp_scaf"], key["amp_left"], key["amp_right"], key["tn_scaf"], key["tn_start"], key["tn_end"],
+        key["chr_left"], key["chr_left_tn"], key["chr_right"], key["chr_right_tn"], side, key["flank"],
+    )

@@ -159,12 +159,18 @@ def alignment_segments(hits: DataFrame, arm: Column) -> DataFrame:
     return ops.select(*GROUP, "read_id", names[F.col("o.op")].alias("kind"), at.alias("from"), F.when(F.col("o.op") == "I", at).otherwise(at + F.col("o.len")).alias("to"))
 
 
-def downsample_hits(typed: DataFrame, max_reads: int = 200) -> DataFrame:
-    """Every k-th hit by middle position, k = max(1, count div max_reads) for each read type; far types are left out."""
-    keys = [*GROUP, "read_type"]
-    n, nth = F.count("*").over(Window.partitionBy(*keys)), F.row_number().over(Window.partitionBy(*keys).orderBy((F.col("start") + F.col("end")) / 2, "read_id"))
-    rows = typed.filter(~F.col("read_type").endswith("far")).withColumn("_n", n).withColumn("_k", nth)
-    return rows.filter(F.pmod(F.col("_k") - 1, F.greatest(F.lit(1), F.floor(F.col("_n") / max_reads))) == 0).drop("_n", "_k")
+def downsample_hits(typed: DataFrame, expected: dict[str, Column], max_reads: int = 200) -> DataFrame:
+    """Every k-th hit by middle position, far types left out. k = max(1, count div the type's share of max_reads), shares
+    being those of the ``expected`` counts (expected_counts); paired hits take k of the spanning ones."""
+    near = {t: e for t, e in expected.items() if not t.endswith("far")}
+    total = sum(near.values(), F.lit(0))
+    count = lambda t: F.count_if(F.col("read_type") == t).over(Window.partitionBy(*GROUP))
+    k = {t: F.greatest(F.lit(1), F.floor(count(t) / F.greatest(F.lit(1), F.floor(e * max_reads / total)))) for t, e in near.items()}
+    k["paired"] = k["spanning"]
+    step = F.coalesce(*[F.when(F.col("read_type") == t, n) for t, n in k.items()])
+    nth = F.row_number().over(Window.partitionBy(*GROUP, "read_type").orderBy((F.col("start") + F.col("end")) / 2, "read_id"))
+    rows = typed.filter(~F.col("read_type").endswith("far")).withColumn("_step", step).withColumn("_n", nth)
+    return rows.filter(F.pmod(F.col("_n") - 1, F.col("_step")) == 0).drop("_step", "_n")
 
 
 def jc_cov_vector(counts: DataFrame, keys: Sequence[str] = ("sample", "candidate")) -> DataFrame:

@@ -38,20 +38,33 @@ def union_junctions(reference: DataFrame, observed: DataFrame) -> DataFrame:
 
 def match_tn_ends(junctions: DataFrame, ref_ends: DataFrame, max_dist: int = 10, trim: int = 5, seed: int = 16) -> DataFrame:
     """(num, arm, tn_id, side, offset): arms (num, arm, arm_seq) whose trimmed sequence occurs in an element end's
-    sequence (tn_id, side, end_seq, flank) within max_dist of the junction. Joined by the arm's first bases; the first
-    occurrence alone is looked at."""
-    arms = junctions.withColumn("_s", F.substring(F.col("arm_seq"), F.lit(1), F.length("arm_seq") - trim)).withColumn("_key", F.substring("_s", 1, seed)).filter(F.length("_s") >= seed)
-    places = F.sequence(F.lit(1), F.length("end_seq") - seed + 1)
-    ends = ref_ends.filter(F.length("end_seq") >= seed).withColumn("_key", F.explode(F.array_distinct(F.transform(places, lambda i: F.substring(F.col("end_seq"), i, F.lit(seed))))))
+    sequence (tn_id, side, end_seq, flank) within max_dist of the junction; the first occurrence alone is looked at, and
+    trimmed arms of no bases match nothing. Columns sample and ref keep cohorts apart where both tables have them.
+
+    Joined by the arm's first bases (all of a short arm), which an end can hold only at the places near its junction."""
+    apart = [c for c in ("sample", "ref") if c in junctions.columns and c in ref_ends.columns]
+    named = [c for c in ("sample", "ref") if c in junctions.columns]
+    arms = junctions.withColumn("_s", F.substring(F.col("arm_seq"), F.lit(1), F.length("arm_seq") - trim)).filter(F.length("_s") > 0).withColumn("_key", F.substring("_s", 1, seed))
+    first, last = F.greatest(F.col("flank") - max_dist, F.lit(0)), F.least(F.col("flank") + max_dist, F.length("end_seq") - 1)
+    places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    starts = F.flatten(F.transform(places, lambda i: F.transform(F.sequence(F.lit(1), F.lit(seed)), lambda n: F.substring(F.col("end_seq"), i + 1, n))))
+    ends = ref_ends.select(*apart, "tn_id", "side", "end_seq", "flank", F.explode(F.array_distinct(starts)).alias("_key"))
     at = F.expr("instr(end_seq, _s)") - 1
-    return arms.join(ends, "_key").filter(at >= 0).withColumn("offset", at - F.col("flank")).filter(F.abs("offset") <= max_dist).select("num", "arm", "tn_id", "side", "offset")
+    return arms.join(ends, [*apart, "_key"]).filter(at >= 0).withColumn("offset", at - F.col("flank")).filter(F.abs("offset") <= max_dist).select(*named, "num", "arm", "tn_id", "side", "offset")
 
 
 def normalise_tn_arm(junctions: DataFrame) -> DataFrame:
     """Observed junctions (sides1, sides2: matches of each arm) with the element on arm 1: none dropped, only arm 2
-    swapped, both read as arm 1. Reference junctions must match themselves."""
-    one, two = F.size("sides1") > 0, F.size("sides2") > 0
-    kept = junctions.filter(one | two).withColumn("swapped", ~one)
+    swapped, both read as arm 1. Reference junctions (ref_tn_side not null) stay as they are; one whose arm 1 does not
+    match its own end once, without offset, is an error."""
+    of_reference = F.col("ref_tn_side").isNotNull() if "ref_tn_side" in junctions.columns else F.lit(False)
+    one, two = of_reference | (F.size("sides1") > 0), F.size("sides2") > 0
+    rows = junctions
+    if "ref_tn_side" in junctions.columns:
+        itself = F.size(F.filter("sides1", lambda s: (s["tn_id"] == F.col("ref_tn_side.tn_id")) & (s["side"] == F.col("ref_tn_side.side")) & (s["offset"] == 0)))
+        missed = F.raise_error(F.format_string("reference junction %d does not match itself", F.col("num"))).cast("boolean")
+        rows = rows.filter(F.when(of_reference & (itself != 1), missed).otherwise(F.lit(True)))
+    kept = rows.filter(one | two).withColumn("swapped", ~one)
     pairs = [("scaf1", "scaf2"), ("pos1", "pos2"), ("dir1", "dir2"), ("flanking1", "flanking2")]
     swap = lambda a, b: F.when(F.col("swapped"), F.col(b)).otherwise(F.col(a))
     return kept.withColumns({a: swap(a, b) for a, b in pairs} | {b: swap(b, a) for a, b in pairs} | {"ref_tn_sides": swap("sides1", "sides2")}).drop("sides1", "sides2")
@@ -66,16 +79,21 @@ def recentre_offset(tnjc: DataFrame) -> DataFrame:
 
 
 def pair_junctions(tnjc: DataFrame) -> DataFrame:
-    """Candidates: pairs of junctions (sample, num, scaf2, pos2, dir2, own_tn, sides array<struct<tn_id,side>>) on one
-    scaffold, looking at each other or away, that share an element on opposite sides. A reference junction's own
-    element must be among the shared. An equi-join on the shared element; pair_id in the order of both junctions."""
+    """Candidates: pairs of junctions (sample, num, scaf2, pos2, dir2, own_tn, sides array<struct<tn_id,side[,offset]>>) on
+    one scaffold, looking at each other or away, that share an element on opposite sides. A reference junction's own
+    element must be among the shared. An equi-join on the shared element; pair_id in the order of both junctions.
+    matches lists the shared elements with the left and the right junction's side and offset, in the order of their lists."""
     nth = Window.partitionBy("sample").orderBy("scaf2", "pos2", "num")
     rows = tnjc.withColumn("at", F.row_number().over(nth))
-    sides = rows.select("sample", "scaf2", "num", "at", "pos2", "dir2", "own_tn", F.explode("sides").alias("s")).select("*", F.col("s.tn_id").alias("tn_id"), F.col("s.side").alias("side")).drop("s")
-    i, j = (sides.select("sample", "scaf2", "tn_id", *[F.col(c).alias(f"{c}_{x}") for c in ("num", "at", "pos2", "dir2", "own_tn", "side")]) for x in "ij")
+    offset = F.col("s.offset") if "offset" in rows.schema["sides"].dataType.elementType.names else F.lit(0)
+    sides = rows.select("sample", "scaf2", "num", "at", "pos2", "dir2", "own_tn", F.posexplode("sides").alias("nth", "s")).select("*", F.col("s.tn_id").alias("tn_id"), F.col("s.side").alias("side"), offset.alias("offset")).drop("s")
+    i, j = (sides.select("sample", "scaf2", "tn_id", *[F.col(c).alias(f"{c}_{x}") for c in ("num", "at", "pos2", "dir2", "own_tn", "side", "offset", "nth")]) for x in "ij")
     pairs = i.join(j, ["sample", "scaf2", "tn_id"]).filter("at_i < at_j AND dir2_i = -dir2_j AND side_i = -side_j")
     keys = ["sample", "scaf2", "at_i", "at_j", "num_i", "num_j", "pos2_i", "pos2_j", "dir2_i", "own_tn_i", "own_tn_j"]
-    found = pairs.groupBy(*keys).agg(F.array_sort(F.collect_set("tn_id")).alias("tn_ids"))
+    side_of = lambda x: F.struct(F.col(f"side_{x}").alias("side"), F.col(f"offset_{x}").alias("offset"))
+    match = F.struct(*[F.when(F.col("dir2_i") == 1, x).otherwise(y).alias(name) for name, x, y in (("l", F.col("nth_i"), F.col("nth_j")), ("r", F.col("nth_j"), F.col("nth_i")))], "tn_id", *[F.when(F.col("dir2_i") == 1, side_of(x)).otherwise(side_of(y)).alias(name) for name, x, y in (("left", "i", "j"), ("right", "j", "i"))])
+    found = pairs.groupBy(*keys).agg(F.array_sort(F.collect_set("tn_id")).alias("tn_ids"), F.array_sort(F.collect_list(match)).alias("matches"))
+    found = found.withColumn("matches", F.transform("matches", lambda m: F.struct(m["tn_id"].alias("tn_id"), m["left"].alias("left"), m["right"].alias("right"))))
     owned = [F.col(c).isNull() | F.array_contains("tn_ids", F.col(c)) for c in ("own_tn_i", "own_tn_j")]
     found = found.filter(owned[0] & owned[1])
     left = F.col("dir2_i") == 1
@@ -83,7 +101,7 @@ def pair_junctions(tnjc: DataFrame) -> DataFrame:
     (ln, rn), (lp, rp), (lo, ro) = pick("num"), pick("pos2"), pick("own_tn")
     return found.select(
         "sample", F.row_number().over(Window.partitionBy("sample").orderBy("at_i", "at_j")).alias("pair_id"), F.col("scaf2").alias("scaf"),
-        ln.alias("left_num"), rn.alias("right_num"), lp.alias("left"), rp.alias("right"), lo.alias("left_own"), ro.alias("right_own"), "tn_ids",
+        ln.alias("left_num"), rn.alias("right_num"), lp.alias("left"), rp.alias("right"), lo.alias("left_own"), ro.alias("right_own"), "tn_ids", "matches",
     )
 
 
@@ -98,15 +116,14 @@ def amplicon_length(left: Column, right: Column, length: Column) -> Column:
 
 def link_single_locus(pairs: DataFrame) -> DataFrame:
     """pairs with left_links and right_links: other single-locus pairs that hold the same junction, in pair order; and
-    left_tn_ids and right_tn_ids, the elements that all linked pairs of the side share, null without links."""
+    left_link and right_link, the first of them: struct(pair_id, left, right, base_event, tn_ids), null without links."""
     single = pairs.filter(F.col("base_event") != "locus-joining")
-    held = single.select("sample", F.col("pair_id").alias("other"), F.col("tn_ids").alias("other_tns"), F.explode(F.array("left_num", "right_num")).alias("num")).distinct()
+    held = single.select("sample", F.struct("pair_id", "left", "right", "base_event", "tn_ids").alias("other"), F.explode(F.array_distinct(F.array("left_num", "right_num"))).alias("num"))
     out = pairs
     for side in ("left", "right"):
-        hits = pairs.select("sample", "pair_id", F.col(f"{side}_num").alias("num")).join(held, ["sample", "num"]).filter("pair_id <> other")
-        linked = hits.groupBy("sample", "pair_id").agg(F.array_sort(F.collect_list("other")).alias(f"{side}_links"), F.collect_list("other_tns").alias("_tns"))
-        shared = F.aggregate(F.slice("_tns", 2, F.size("_tns")), F.get("_tns", 0), F.array_intersect)
-        out = out.join(linked.withColumn(f"{side}_tn_ids", shared).drop("_tns"), ["sample", "pair_id"], "left")
+        hits = pairs.select("sample", "pair_id", F.col(f"{side}_num").alias("num")).join(held, ["sample", "num"]).filter(F.col("pair_id") != F.col("other.pair_id"))
+        linked = hits.groupBy("sample", "pair_id").agg(F.array_sort(F.collect_list("other.pair_id")).alias(f"{side}_links"), F.min_by("other", "other.pair_id").alias(f"{side}_link"))
+        out = out.join(linked, ["sample", "pair_id"], "left")
     void = F.array().cast("array<int>")
     return out.withColumns({c: F.coalesce(c, void) for c in ("left_links", "right_links")})
 
@@ -123,15 +140,16 @@ def raw_architecture() -> Column:
 
 def chosen_tn(linked: bool = False) -> Column:
     """The reference side's element, the left one's if both; else the least of the shared elements. On a ``linked`` table
-    (link_single_locus) these are the pair's own that its linked pairs on both sides have too; null if there is none."""
+    (link_single_locus) these are the pair's own that its first linked pairs on both sides have too; null if there is none."""
     shared = F.col("tn_ids")
-    for c in ("left_tn_ids", "right_tn_ids") if linked else ():
-        shared = F.when(F.col(c).isNull(), shared).otherwise(F.array_intersect(shared, F.col(c)))
+    for c in ("left_link", "right_link") if linked else ():
+        shared = F.when(F.col(c).isNull(), shared).otherwise(F.array_intersect(shared, F.col(f"{c}.tn_ids")))
     return F.coalesce("left_own", "right_own", F.array_min(shared))
 
 
-def chosen_tn_sides() -> Column:
-    return F.filter("matches", lambda m: m["tn_id"] == F.col("chosen_tn"))[0]
+def chosen_tn_sides(chosen: str = "chosen_tn") -> Column:
+    """struct(tn_id, left, right) of the chosen element's first match; null where none is chosen."""
+    return F.get(F.filter("matches", lambda m: m["tn_id"] == F.col(chosen)), F.lit(0))
 
 
 def multi_tn_names(pairs: DataFrame, names: DataFrame) -> DataFrame:

@@ -161,7 +161,7 @@ def v_tnjc(spark: SparkSession, d: str) -> DataFrame:
     first = F.struct((1 + c % 4).cast("long").alias("tn_id"), F.when(F.floor(k / 2) % 2 == 0, -1).otherwise(1).alias("side"))
     second = F.struct((1 + (c + 1) % 4).cast("long").alias("tn_id"), F.when(F.floor(k / 2) % 2 == 0, -1).otherwise(1).alias("side"))
     sides = F.when(k % 5 == 0, F.array(first, second)).otherwise(F.array(first))
-    return table(spark, d, "orders").select(c.alias("sample"), k.alias("num"), F.lit("c").alias("scaf2"), ((k * 7919) % 20000 + 1).alias("pos2"), F.when(k % 2 == 0, 1).otherwise(-1).alias("dir2"), F.when(k % 11 == 0, (1 + c % 4).cast("long")).alias("own_tn"), sides.alias("sides"))
+    return table(spark, d, "orders").select(c.alias("sample"), k.alias("num"), F.lit("c").alias("scaf2"), ((k * 7919) % 20000 + 1).alias("pos2"), F.when(k % 2 == 0, 1).otherwise(-1).alias("dir2"), F.when(k % 11 == 0, (1 + c % 4).cast("long")).alias("own_tn"), F.transform(sides, lambda x: x.withField("offset", k % 7 - 3)).alias("sides"))
 
 
 def v_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -198,6 +198,50 @@ def j13_j15_link_single_locus(spark, d):
     return linked.select("sample", F.col("pair_id").cast("long"), F.size("left_links").alias("n_left"), F.size("right_links").alias("n_right"), F.get("left_links", 0).cast("long").alias("first_left"), junctions.raw_architecture().alias("architecture"))
 
 
+def v_chosen(spark: SparkSession, d: str) -> DataFrame:
+    """Linked pairs with their chosen element, those that have one."""
+    return junctions.link_single_locus(v_pairs(spark, d)).withColumn("chosen_tn", junctions.chosen_tn(linked=True)).filter("chosen_tn IS NOT NULL")
+
+
+def _first_link(side: str) -> str:
+    return f"""SELECT p.sample, p.pair_id, h.other, h.tns, h."left", h."right", h.event FROM pairs p JOIN held h ON p.sample = h.sample AND p.{side}_num = h.num AND h.other <> p.pair_id
+  QUALIFY row_number() OVER (PARTITION BY p.sample, p.pair_id ORDER BY h.other) = 1"""
+
+
+CHOSEN = f"""{PAIRS}, held AS (SELECT DISTINCT sample, pair_id AS other, tn_ids AS tns, "left", "right", base_event AS event, unnest([left_num, right_num]) AS num FROM pairs WHERE base_event <> 'locus-joining'),
+l AS ({_first_link("left")}), r AS ({_first_link("right")}),
+chosen AS (SELECT * FROM (SELECT p.*, CAST(coalesce(left_own, right_own, list_sort(list_intersect(list_intersect(tn_ids, coalesce(l.tns, tn_ids)), coalesce(r.tns, tn_ids)))[1]) AS BIGINT) AS tn,
+  CASE WHEN left_num // 2 % 2 = 0 THEN -1 ELSE 1 END AS side_l, left_num % 7 - 3 AS off_l, CASE WHEN right_num // 2 % 2 = 0 THEN -1 ELSE 1 END AS side_r, right_num % 7 - 3 AS off_r,
+  l."right" AS link_l, r."left" AS link_r, l.event AS event_l, r.event AS event_r
+  FROM pairs p LEFT JOIN l ON p.sample = l.sample AND p.pair_id = l.pair_id LEFT JOIN r ON p.sample = r.sample AND p.pair_id = r.pair_id) WHERE tn IS NOT NULL)"""
+
+
+@query(f"WITH {CHOSEN} SELECT sample, pair_id, tn AS chosen, side_l AS left_side, off_l AS left_offset, side_r AS right_side, off_r AS right_offset FROM chosen")
+def j10_j17_chosen_sides(spark, d):
+    s = F.col("s")
+    rows = v_chosen(spark, d).withColumn("s", junctions.chosen_tn_sides())
+    return rows.select("sample", F.col("pair_id").cast("long"), F.col("chosen_tn").alias("chosen"), s["left"]["side"].alias("left_side"), s["left"]["offset"].alias("left_offset"), s["right"]["side"].alias("right_side"), s["right"]["offset"].alias("right_offset"))
+
+
+@query(f"""WITH {CHOSEN}, e AS (SELECT p_partkey AS tn, (p_partkey * 7919) % 50000000 AS s, (p_partkey * 7919) % 50000000 + 700 + p_partkey % 500 AS e FROM part),
+a AS (SELECT c.*, CASE WHEN side_l = -1 THEN s + off_l ELSE e - off_l END AS tr, CASE WHEN side_r = -1 THEN s + off_r ELSE e - off_r END AS tl,
+  coalesce(link_l, "left" - 1) AS cl_tn, CASE WHEN event_l = 'reference-tn' THEN link_l ELSE "left" - 1 END AS cl, coalesce(link_r, "right" + 1) AS cr_tn, CASE WHEN event_r = 'reference-tn' THEN link_r ELSE "right" + 1 END AS cr
+  FROM chosen c JOIN e USING (tn)),
+n AS (SELECT *, 'jc_c_' || "left" || '-' || "right" || '_c_' || CASE WHEN side_l = -1 THEN tr || '-' || tl ELSE tl || '-' || tr END ||
+  printf('_L%+d', CAST("left" - 1 - cl AS BIGINT)) || printf('L%+d', CAST("left" - 1 - cl_tn AS BIGINT)) || printf('_R%+d', CAST(cr - "right" - 1 AS BIGINT)) || printf('R%+d', CAST(cr_tn - "right" - 1 AS BIGINT)) ||
+  CASE WHEN side_l = -1 THEN 'S' ELSE 'E' END || '_30bp' AS candidate FROM a),
+k AS (SELECT n.*, j FROM n CROSS JOIN range(1, 8) AS x(j))
+SELECT sample, pair_id, candidate, true AS consistent, CAST(j AS INT) AS junction,
+  CAST(CASE j WHEN 1 THEN cl WHEN 2 THEN cl_tn WHEN 3 THEN "right" WHEN 4 THEN "right" WHEN 5 THEN tr WHEN 6 THEN tr ELSE "right" END AS BIGINT) AS pos1,
+  CAST(CASE j WHEN 5 THEN -side_l WHEN 6 THEN -side_l ELSE -1 END AS INT) AS dir1,
+  CAST(CASE j WHEN 1 THEN "left" WHEN 2 THEN tl WHEN 3 THEN tl WHEN 4 THEN "left" WHEN 5 THEN "left" WHEN 6 THEN cr_tn ELSE cr END AS BIGINT) AS pos2,
+  CAST(CASE j WHEN 2 THEN -side_r WHEN 3 THEN -side_r ELSE 1 END AS INT) AS dir2,
+  CAST(CASE j WHEN 1 THEN cl WHEN 2 THEN cl_tn WHEN 3 THEN "right" WHEN 4 THEN NULL WHEN 5 THEN "left" WHEN 6 THEN cr_tn ELSE cr END AS BIGINT) AS chr_pos FROM k""")
+def y1_y5_synthetic_junctions(spark, d):
+    rows = reads.seven_junctions(reads.synthetic_arms(reads.flank_arms(v_chosen(spark, d), 30), _elements(spark, d, 0), 30))
+    return rows.select("sample", F.col("pair_id").cast("long"), "candidate", "consistent", "junction", F.col("arm1.start").alias("pos1"), F.col("arm1.dir").alias("dir1"), F.col("arm2.start").alias("pos2"), F.col("arm2.dir").alias("dir2"), "chr_pos")
+
+
 @query(f"WITH {COV} SELECT sample, scaf, CAST(median(iso) AS DOUBLE) AS average FROM cov GROUP BY sample, scaf")
 def v2_scaffold_median(spark, d):
     return coverage.scaffold_average(v_cov(spark, d), "iso")

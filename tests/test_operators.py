@@ -87,7 +87,7 @@ def test_pairing(spark):
 def test_chosen_element_is_shared_with_linked_pairs(spark):
     lj, tp = "locus-joining", "transposition"
     made = [(1, 1, 2, None, None, [1, 2, 3], lj), (2, 1, 9, None, None, [2, 3], tp), (3, 8, 2, None, None, [3, 4], tp), (4, 1, 7, None, None, [1, 4], lj), (5, 8, 5, None, 6, [6, 7], lj), (6, 5, 6, None, None, [8, 9], lj)]
-    pairs = spark.createDataFrame([("s", *r) for r in made], "sample string, pair_id int, left_num int, right_num int, left_own int, right_own int, tn_ids array<int>, base_event string")
+    pairs = spark.createDataFrame([("s", *r, 10, 20) for r in made], "sample string, pair_id int, left_num int, right_num int, left_own int, right_own int, tn_ids array<int>, base_event string, left long, right long")
     got = {r.pair_id: r.chosen for r in junctions.link_single_locus(pairs).withColumn("chosen", junctions.chosen_tn(linked=True)).collect()}
     # 1 is linked with 2 on the left and 3 on the right, 4 with 2 (nothing in common), 6 with none
     assert got == {1: 3, 2: 2, 3: 3, 4: None, 5: 6, 6: 8}
@@ -244,3 +244,62 @@ def test_strand_words_and_empty_names(spark):
 
 def test_word_on_a_covered_fourth_junction(value):
     assert value(classify.flag_amp_amp(F.array(L("ancestral")), L(True))) == ["ancestral", "observed amplicon-amplicon (IS loss)"]
+
+
+def test_shared_elements_with_both_sides(spark):
+    schema = "sample string, num int, scaf2 string, pos2 long, dir2 int, own_tn int, sides array<struct<tn_id:int,side:int,offset:int>>"
+    rows = [("s", 1, "c", 500, -1, None, [(2, 1, 3), (1, -1, 0)]), ("s", 2, "c", 1000, 1, None, [(1, 1, -2), (2, -1, 4)])]
+    got = junctions.pair_junctions(spark.createDataFrame(rows, schema)).withColumn("chosen_tn", L(2)).withColumn("s", junctions.chosen_tn_sides()).head()
+    assert (got.left, got.right, [(m.tn_id, tuple(m.left), tuple(m.right)) for m in got.matches]) == (1000, 500, [(1, (1, -2), (-1, 0)), (2, (-1, 4), (1, 3))])
+    assert (tuple(got.s.left), tuple(got.s.right)) == ((-1, 4), (1, 3))
+
+
+def test_arms_match_element_ends_of_their_own_reference(spark):
+    end = "TTTTTTTTTTGACCATGCAATTCGGCTAAGC"
+    ends = spark.createDataFrame([("r1", 7, -1, end, 10), ("r2", 8, 1, end, 10), ("r1", 9, 1, "", 10)], "ref string, tn_id int, side int, end_seq string, flank int")
+    arms = [("r1", 1, 1, "GACCATGCAATTCGGCTAAGC"), ("r1", 2, 1, "CATGCAATTCGG"), ("r1", 3, 2, "GACCATGCAATTCGTCTAAGC"), ("r2", 4, 1, "TTTTTGACCATGCAATTCGGCTAA"), ("r1", 5, 1, "ACG"), ("r3", 6, 1, "GACCATGCAATTCGGCTAAGC")]
+    got = junctions.match_tn_ends(spark.createDataFrame(arms, "ref string, num int, arm int, arm_seq string"), ends).collect()
+    # each against a plain search, trimmed by five: 2 is short and 3 differs in its last bases only, 4 starts before the junction
+    assert {(r.ref, r.num, r.tn_id, r.offset) for r in got} == {("r1", 1, 7, 0), ("r1", 2, 7, 3), ("r2", 4, 8, -5)}
+
+
+def test_reference_junctions_match_themselves(spark):
+    side = "array<struct<tn_id:int,side:int,offset:int>>"
+    schema = f"num int, ref_tn_side struct<tn_id:int,side:int>, scaf1 string, scaf2 string, pos1 int, pos2 int, dir1 int, dir2 int, flanking1 int, flanking2 int, sides1 {side}, sides2 {side}"
+    at = ("c", "d", 10, 20, 1, -1, 50, 60)
+    good = [(-2, (1, -1), *at, [(1, -1, 0)], [(2, 1, 0)]), (1, None, *at, [], [(2, 1, 0)]), (2, None, *at, [], [])]
+    got = {r.num: (r.swapped, r.pos1) for r in junctions.normalise_tn_arm(spark.createDataFrame(good, schema)).collect()}
+    assert got == {-2: (False, 10), 1: (True, 20)}
+    with pytest.raises(Exception, match="does not match itself"):
+        junctions.normalise_tn_arm(spark.createDataFrame([(-2, (1, -1), *at, [(1, -1, 2)], [])], schema)).collect()
+
+
+def test_synthetic_junctions_of_a_flanked_candidate(spark):
+    link = "struct<pair_id:int,left:long,right:long,base_event:string,tn_ids:array<int>>"
+    match = "array<struct<tn_id:int,left:struct<side:int,offset:int>,right:struct<side:int,offset:int>>>"
+    row = (1, "c", 1000, 2000, (2, 990, 940, "reference-tn", [1]), (3, 2050, 1990, "transposition", [1]), 1, [(1, (1, 2), (-1, -1))])
+    linked = spark.createDataFrame([row], f"pair_id int, scaf string, left long, right long, left_link {link}, right_link {link}, chosen_tn int, matches {match}")
+    elements = spark.createDataFrame([(1, "d", 5000, 5700)], "tn_id int, scaf string, start long, end long")
+    rows = reads.seven_junctions(reads.synthetic_arms(reads.flank_arms(linked, 50), elements, 50)).orderBy("junction").collect()
+    assert {r.candidate for r in rows} == {"jc_c_1000-2000_d_4999-5698_L+59L+59_R+0R+49E_50bp"} and all(r.consistent for r in rows)
+    ends = [(r.junction_type, r.arm1.start, r.arm1.dir, r.arm2.start, r.arm2.dir, r.chr_pos) for r in rows]
+    assert ends == [
+        ("CHR_AMP", 940, -1, 1000, 1, 940), ("CHR_TN", 940, -1, 4999, 1, 940), ("AMP_TN", 2000, -1, 4999, 1, 2000), ("AMP_AMP", 2000, -1, 1000, 1, None),
+        ("TN_AMP", 5698, -1, 1000, 1, 1000), ("TN_CHR", 5698, -1, 2050, 1, 2050), ("AMP_CHR", 2000, -1, 2001, 1, 2001),
+    ]
+
+
+def test_arms_to_columns_and_back(spark):
+    rows = spark.createDataFrame([("c", 5, 1, 10, "d", 7, -1, 20)], "scaf1 string, pos1 long, dir1 int, flanking1 int, scaf2 string, pos2 long, dir2 int, flanking2 int")
+    assert coords.from_arms(coords.jc_arms(rows)).select(rows.columns).collect() == rows.collect()
+    both = spark.range(1).select(coords.segment_junctions(L("c"), L(10), L(90), L(5), L(6)).alias("j")).head().j
+    assert [(j.arm1.start, j.arm1.dir, j.arm1.flank, j.arm2.start, j.arm2.dir, j.arm2.flank) for j in both] == [(10, 1, 5, 9, -1, 6), (90, -1, 5, 91, 1, 6)]
+
+
+def test_downsampling_by_share_of_the_expected(spark):
+    made = [("s", "x", 1, f"{t}{i}", t, i, i + 10) for t, n in (("left", 100), ("spanning", 30), ("paired", 9), ("left_far", 50), ("right", 3)) for i in range(n)]
+    typed = spark.createDataFrame(made, f"{alignments.GROUP[0]} string, {alignments.GROUP[1]} string, {alignments.GROUP[2]} int, read_id string, read_type string, start int, end int")
+    expected = {t: L(n) for t, n in {"left_far": 10, "left": 50, "left_marginal": 0, "spanning": 25, "right_marginal": 0, "right": 25, "right_far": 10}.items()}
+    got = alignments.downsample_hits(typed, expected, 40).groupBy("read_type").count().collect()
+    # of 40 reads 20 left, 10 spanning and 10 right: every 5th of 100, every 3rd of 30 and of the 9 paired, all right
+    assert {r.read_type: r["count"] for r in got} == {"left": 20, "spanning": 10, "paired": 3, "right": 3}
