@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from junctionflow.functions import coords
 from junctionflow.operators import alignments, classify, coverage, islocate, junctions, reads
+from junctionflow.sources import readers
 from junctionflow.streaming import status
 
 UPPER, BASE = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGT" * 13
@@ -493,3 +494,20 @@ def a14_latest_status(spark, d):
   max(CASE WHEN state = 'completed' THEN 0 WHEN state <> 'started' THEN 1 END) AS exit_code FROM run GROUP BY run_id""")
 def a13_run_durations(spark, d):
     return status.run_durations(v_run(spark, d)).select("run_id", "duration_sec", "exit_code")
+
+
+@query("""WITH s AS (SELECT o_orderkey AS run, CASE WHEN o_orderkey % 9 <> 0 THEN 'r' || o_custkey END AS ref_name, CASE WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS path, o_custkey % 3 <> 0 AS ncbi,
+  coalesce(CASE o_custkey % 5 WHEN 0 THEN 'isescan' WHEN 1 THEN 'blast' WHEN 2 THEN 'isfinder' END, 'genbank') AS method, CASE WHEN o_orderkey % 2 = 0 THEN 'isescan' ELSE 'isfinder' END AS compared,
+  coalesce(CASE o_orderkey % 4 WHEN 0 THEN 'mean' WHEN 1 THEN 'best' END, 'median') AS average FROM orders)
+SELECT run, method, average, concat_ws('; ', CASE WHEN ref_name IS NULL THEN 'ref_name is required' END, CASE WHEN path IS NULL THEN 'iso_fastq_path is required' END,
+  CASE WHEN method = 'blast' THEN 'unknown detection method' END, CASE WHEN method = compared THEN 'detection method among the compared' END,
+  CASE WHEN NOT ncbi AND method = 'genbank' THEN 'local genomes need isfinder or isescan' END, CASE WHEN average = 'best' THEN 'unknown average method' END) AS errors FROM s""")
+def p9_p10_run_parameters(spark, d):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    sheet = table(spark, d, "orders").select(
+        k.alias("run"), F.when(k % 9 != 0, F.concat(F.lit("r"), c)).alias("ref_name"), F.when(k % 13 != 0, F.col("o_orderpriority")).alias("iso_fastq_path"), (c % 3 != 0).alias("ncbi"),
+        F.when(c % 5 == 0, "isescan").when(c % 5 == 1, "blast").when(c % 5 == 2, "isfinder").alias("is_detection_method"),
+        F.array(F.when(k % 2 == 0, "isescan").otherwise("isfinder")).alias("run_comparison_methods"), F.when(k % 4 == 0, "mean").when(k % 4 == 1, "best").alias("average_method"),
+    )
+    runs = readers.merge_params(sheet, {"is_detection_method": "isfinder", "average_method": "median", "ref_path": "x"}, {"is_detection_method": "genbank", "average_method": None})
+    return readers.validate_params(runs).select("run", F.col("is_detection_method").alias("method"), F.col("average_method").alias("average"), F.array_join("errors", "; ").alias("errors"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,24 +19,89 @@ GENOMEDIFF = {
 }
 
 
+#: Reads that a task hands on at a time.
+FASTQ_BATCH = 50_000
+
+
+def sample_of() -> Column:
+    """The sample that a file belongs to: its folder, or the one above where that is a folder of results."""
+    return F.regexp_extract(F.input_file_name(), r"([^/]+)/(?:(?:output|data|08_mutation_identification)/)?[^/]+$", 1)
+
+
 def scan_fastq(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """file, id, seq, qual. Records are four lines, so a file is one split; the lines are numbered in a task."""
+    """file, id, seq, qual. Records are four lines, so a file is one split, read as a stream up to ``limit`` reads; an
+    unfinished last record is left out. Files of 2 GB or more cannot be read."""
 
     def records(pdfs):
+        import gzip
+        import io
+        from itertools import batched, islice
+
         import pandas as pd
 
         for pdf in pdfs:
             for file, content in zip(pdf["file"], pdf["content"], strict=True):
-                import gzip
-
-                lines = (gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content).decode().splitlines()
-                n = len(lines) // 4 if limit is None else min(limit, len(lines) // 4)
-                yield pd.DataFrame({"file": file, "id": [x[1:].split(" ")[0] for x in lines[0 : 4 * n : 4]], "seq": lines[1 : 4 * n : 4], "qual": lines[3 : 4 * n : 4]})
+                raw = io.BytesIO(content)
+                lines = (x.rstrip("\r\n") for x in io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw))
+                found = (r for r in islice(batched(lines, 4), limit) if len(r) == 4)
+                for some in batched(found, FASTQ_BATCH):
+                    ids, seqs, _, quals = zip(*some, strict=True)
+                    yield pd.DataFrame({"file": file, "id": [x[1:].split(" ")[0] for x in ids], "seq": seqs, "qual": quals})
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.fastq*").load(path).select(F.col("path").alias("file"), "content")
     return files.mapInPandas(records, "file string, id string, seq string, qual string")
 
 
+def scan_genbank(spark: SparkSession, path: str) -> DataFrame:
+    """scaf (LOCUS name), topology, seq in capitals, length, and features: array of struct(type, start0, end, strand,
+    qualifiers map<string, array<string>>), with the outer ends of joined locations. A row for each record."""
+    text = F.regexp_replace("value", "\r", "")
+    rows = spark.read.option("lineSep", "\n//").text(path).select(text.alias("t")).filter(F.col("t").rlike(r"(?m)^LOCUS\s"))
+    locus = F.regexp_extract("t", r"(?m)^LOCUS\s+(.*)$", 1)
+    has_seq = F.col("t").contains("\nORIGIN")
+    seq = F.when(has_seq, F.upper(F.regexp_replace(F.regexp_replace(F.substring_index("t", "\nORIGIN", -1), r"^[^\n]*", ""), "[^A-Za-z]", ""))).otherwise("")
+    listed = F.when(F.col("t").contains("\nFEATURES"), F.substring_index(F.substring_index(F.substring_index("t", "\nORIGIN", 1), "\nFEATURES", -1), "\nBASE COUNT", 1)).otherwise("")
+    blocks = F.slice(F.split(listed, r"\n {5}(?=\S)"), 2, 1 << 30)
+
+    def feature(block: Column) -> Column:
+        parts = F.split(block, r"\n\s+/(?=\w)")
+        place = F.regexp_replace(F.regexp_extract(parts[0], r"(?s)^\S+\s+(.*)$", 1), r"\s", "")
+        ends = F.transform(F.regexp_extract_all(place, F.lit(r"(\d+)")), lambda x: x.cast("long"))
+        pairs = F.transform(F.slice(parts, 2, 1 << 30), lambda q: F.struct(F.regexp_extract(q, r"^(\w+)", 1).alias("k"), F.regexp_replace(F.regexp_replace(F.regexp_extract(q, r"(?s)^\w+=?(.*)$", 1), r"\s*\n\s+", " "), r'^"|"\s*$', "").alias("v")))
+        names = F.array_distinct(F.transform(pairs, lambda q: q["k"]))
+        values = F.transform(names, lambda n: F.transform(F.filter(pairs, lambda q: q["k"] == n), lambda q: q["v"]))
+        return F.struct(F.regexp_extract(parts[0], r"^(\S+)", 1).alias("type"), (F.array_min(ends) - 1).alias("start0"), F.array_max(ends).alias("end"), F.when(place.startswith("complement"), -1).otherwise(1).alias("strand"), F.map_from_arrays(names, values).alias("qualifiers"))
+
+    return rows.select(F.split(locus, r"\s+")[0].alias("scaf"), F.nullif(F.regexp_extract(locus, r"\b(circular|linear)\b", 1), F.lit("")).alias("topology"), seq.alias("seq"), F.length(seq).alias("length"), F.transform(blocks, feature).alias("features"))
+
+
+def genbank_features(records: DataFrame) -> DataFrame:
+    """A row for each feature of scan_genbank, as islocate.is_features takes them once ``ref`` is added."""
+    return records.select(*[c for c in ("ref", "scaf") if c in records.columns], F.inline("features"))
+
+
+def reference_files(spark: SparkSession, path: str) -> DataFrame:
+    """locus, format (genbank or fasta), path of the genome files below a folder; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{gb,fasta}").load(path).select("path")
+    return files.select(F.regexp_extract("path", r"([^/]+)\.(gb|fasta)$", 1).alias("locus"), F.when(F.col("path").endswith(".gb"), "genbank").otherwise("fasta").alias("format"), "path")
+
+
+def resolve_reference(names: DataFrame, mapping: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ref_name, locus, format, path of the names that have a file; names that have none). A name is an accession of
+    ``mapping`` (accession, name) or the locus itself; GenBank goes before FASTA."""
+    asked = names.select("ref_name").distinct().join(mapping.select(F.col("accession").alias("ref_name"), "name").dropDuplicates(["ref_name"]), "ref_name", "left").select("ref_name", F.coalesce("name", "ref_name").alias("locus"))
+    best = files.groupBy("locus").agg(F.max(F.struct("format", "path")).alias("f")).select("locus", "f.*")  # genbank is the greater word
+    return asked.join(best, "locus").select("ref_name", "locus", "format", "path"), asked.join(best, "locus", "left_anti").select("ref_name", "locus")
+
+
+def scan_read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """junction, read_type, read_id, start, end, is_reverse, index of files reads_jct_{junction}_{type}.bam_indices: tabbed
+    lines; blank ones are skipped. sinks.write_read_buckets' own folders are read by spark.read.csv."""
+    name, p = F.regexp_extract(F.input_file_name(), r"reads_jct_(\d+_\w+)\.bam_indices$", 1), F.split(F.trim("value"), "\t")
+    rows = spark.read.option("pathGlobFilter", "reads_jct_*.bam_indices").option("recursiveFileLookup", True).text(path).filter("trim(value) <> ''")
+    return rows.select(F.substring_index(name, "_", 1).cast("int").alias("junction"), F.regexp_replace(name, r"^\d+_", "").alias("read_type"), p[0].alias("read_id"), p[1].cast("long").alias("start"), p[2].cast("long").alias("end"), F.lower(p[3]).isin("true", "1").alias("is_reverse"), p[4].cast("long").alias("index"))
+
+
 def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
     record = F.regexp_replace("value", "^>", "")
     lines = F.split(F.regexp_replace(record, "\r", ""), "\n", 2)
@@ -51,7 +118,7 @@ def convert_value(text: Column, kind: str) -> Column:
 def scan_genomediff(spark: SparkSession, path: str) -> DataFrame:
     """sample, type, fields map, extra map of the kept record types; blank lines and comments are skipped."""
     parts = F.split("value", "\t")
-    rows = spark.read.text(path).select(F.input_file_name().alias("sample"), parts.alias("p")).filter(F.col("p")[0].isin(list(GENOMEDIFF)))
+    rows = spark.read.text(path).select(sample_of().alias("sample"), parts.alias("p")).filter(F.col("p")[0].isin(list(GENOMEDIFF)))
     place = lambda names: F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.slice("p", 1, len(names)))
     positional, options = F.lit(None).cast("map<string,string>"), F.lit(None).cast("array<string>")
     for kind, names in GENOMEDIFF.items():
@@ -71,7 +138,7 @@ def junction_table(gd: DataFrame) -> DataFrame:
 def scan_coverage_tab(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("sep", "\t").option("header", True).option("pathGlobFilter", "*.coverage.tab").option("recursiveFileLookup", True).csv(path)
     cov = (F.col("unique_top_cov").try_cast("double") + F.col("unique_bot_cov").try_cast("double")).cast("int")
-    return rows.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.coverage\.tab$", 1).alias("scaf"), F.col("position").try_cast("long").alias("pos"), cov.alias("cov"))
+    return rows.select(sample_of().alias("sample"), F.regexp_extract(F.input_file_name(), r"([^/]+)\.coverage\.tab$", 1).alias("scaf"), F.col("position").try_cast("long").alias("pos"), cov.alias("cov"))
 
 
 def scan_blast_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +176,7 @@ def scan_run_sheet(spark: SparkSession, path: str, fields: dict[str, str], requi
 
 def scan_mapping_summary(spark: SparkSession, path: str) -> DataFrame:
     refs = F.from_json("value", "references map<string, struct<bases_mapped_to_reference: long>>")
-    each = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("sample"), F.explode(refs["references"]).alias("ref", "v"))
+    each = spark.read.option("wholetext", True).text(path).select(sample_of().alias("sample"), F.explode(refs["references"]).alias("ref", "v"))
     return each.select("sample", "ref", F.col("v.bases_mapped_to_reference").alias("bases"))
 
 
@@ -143,3 +210,66 @@ def enforce_schema(df: DataFrame, schema: T.StructType, check_extra: bool = True
 def str_to_bool(text: Column) -> Column:
     low = F.lower(F.trim(text))
     return F.when(low.isin("true", "yes", "1"), True).when(low.isin("false", "no", "0"), False).when(low.isin("none", "null", "") | text.isNull(), F.lit(None).cast("boolean")).otherwise(F.raise_error(F.concat(F.lit("not a truth value: "), text)).cast("boolean"))
+
+
+def parse_compound(text: Column, kind: str, optional: bool = False) -> Column:
+    """Lists, tuples of one type, maps and records written as JSON or as Python literals; fails on text of another kind,
+    and on nulls unless optional."""
+    bare = lambda word: rf"""{word}(?=[^'"]*(?:(?:'[^']*'|"[^"]*")[^'"]*)*$)"""  # outside of quotes
+    made = text
+    for word, by in ((r"\(", "["), (r"\)", "]"), (r"\bNone\b", "null"), (r"\bTrue\b", "true"), (r"\bFalse\b", "false"), (r",(?=\s*[\]}])", "")):
+        made = F.regexp_replace(made, bare(word), by)
+    read = F.from_json(F.concat(F.lit('{"v":'), made, F.lit("}")), f"v {kind}, _corrupt_record string")
+    bad = read["_corrupt_record"].isNotNull() | text.isNull() if not optional else read["_corrupt_record"].isNotNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"not {kind}: "), F.coalesce(text, F.lit("null")))).cast(kind)).otherwise(read["v"])
+
+
+def carry(df: DataFrame, schema: T.StructType, **new: Column) -> DataFrame:
+    """The fields of a schema: of ``new`` where given, else of df; optional ones that neither has are null."""
+    missing = [f.name for f in schema if f.name not in new and f.name not in df.columns and not f.nullable]
+    unknown = sorted(set(new) - set(schema.names))
+    if missing or unknown:
+        raise ValueError(f"missing fields: {missing}; unknown fields: {unknown}")
+    have = {c: F.col(c) for c in df.columns} | new
+    return df.select(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def export_projection(df: DataFrame, fields: list[str], derived: dict[str, Column] | None = None, formats: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """The fields in this order, stored ones or ``derived`` from them, as ``formats`` has them written."""
+    derived, formats = derived or {}, formats or {}
+    return df.select(*[formats.get(c, lambda x: x)(derived[c] if c in derived else F.col(c)).alias(c) for c in fields])
+
+
+#: Values that a run's parameters may have (fixed values).
+DETECTION_METHODS, AVERAGE_METHODS = ("genbank", "isfinder", "isescan"), ("median", "mean", "mode")
+
+
+def merge_params(sheet: DataFrame, *layers: dict | None, nested: dict[str, list[str]] | None = None) -> DataFrame:
+    """The rows of a run sheet over layers of parameters: the row's value first, then the last layer's that is not None.
+    The names that ``nested`` lists go into structs of the given names."""
+    merged: dict = {}
+    for layer in layers:
+        merged |= {k: v for k, v in (layer or {}).items() if v is not None or k not in merged}
+    value = {k: F.lit(v) for k, v in merged.items()}
+    value |= {c: F.coalesce(F.col(c), value[c]) if c in value else F.col(c) for c in sheet.columns}
+    inner = {name: [c for c in names if c in value] for name, names in (nested or {}).items()}
+    moved = {c for names in inner.values() for c in names}
+    structs = [F.struct(*[value[c].alias(c) for c in names]).alias(name) for name, names in inner.items() if names]
+    return sheet.select(*[v.alias(c) for c, v in value.items() if c not in moved], *structs)
+
+
+def validate_params(runs: DataFrame) -> DataFrame:
+    """runs (ref_name, iso_fastq_path, ref_path, ncbi, is_detection_method, run_comparison_methods array, average_method)
+    with errors: what is wrong with each."""
+    method, compared, local = F.col("is_detection_method"), F.col("run_comparison_methods"), ~F.coalesce("ncbi", F.lit(True))
+    known = F.array(*[F.lit(m) for m in DETECTION_METHODS])
+    rules = {
+        "ref_name is required": F.col("ref_name").isNull(),
+        "iso_fastq_path is required": F.col("iso_fastq_path").isNull(),
+        "unknown detection method": ~method.isin(*DETECTION_METHODS) | (F.size(F.array_except(compared, known)) > 0),
+        "detection method among the compared": F.array_contains(compared, method),
+        "local genomes need isfinder or isescan": local & (method == "genbank"),
+        "genomesDB is for NCBI references": local & F.col("ref_path").rlike(r"(^|/)genomesDB/?$"),
+        "unknown average method": ~F.col("average_method").isin(*AVERAGE_METHODS),
+    }
+    return runs.withColumn("errors", F.array_compact(F.array(*[F.when(wrong, F.lit(text)) for text, wrong in rules.items()])))

@@ -40,7 +40,7 @@ def test_sam_coverage_and_summary(spark, tmp_path):
     assert (r.start, r.end, r.is_reverse, r.score, r.mismatches, r.aln_index) == (4, 11, True, -5, 1, 1)
     (tmp_path / "cov").mkdir()
     (tmp_path / "cov" / "U1.coverage.tab").write_text("unique_top_cov\tunique_bot_cov\tposition\n10\t11\t1\n")
-    assert tuple(readers.scan_coverage_tab(spark, str(tmp_path / "cov")).head()) == ("U1", 1, 21)
+    assert tuple(readers.scan_coverage_tab(spark, str(tmp_path / "cov")).head()) == ("cov", "U1", 1, 21)
     (tmp_path / "s.json").write_text('{"references": {"U1": {"bases_mapped_to_reference": 7}}}')
     assert readers.scan_mapping_summary(spark, str(tmp_path / "s.json")).head().bases == 7
 
@@ -51,3 +51,90 @@ def test_sinks_round_trip(spark, tmp_path):
     assert tuple(spark.read.option("header", True).csv(str(tmp_path / "c")).head()) == ("s", "1.25", "[1,2]")
     sinks.write_stage_table(rows, str(tmp_path), "A")
     assert spark.read.parquet(str(tmp_path / "A")).count() == 1
+
+
+GENBANK = """LOCUS       AB_1  30 bp    DNA     circular BCT 01-JAN-2000
+FEATURES             Location/Qualifiers
+     source          1..30
+     mobile_element  complement(join(5..9,
+                     12..20))
+                     /mobile_element_type="insertion
+                     sequence:IS7"
+                     /note="a"
+                     /note="b"
+     gene            <22..25
+                     /pseudo
+ORIGIN
+        1 acgtacgtac gtacgtacgt
+       21 acgtnacgta
+//
+LOCUS       X2  4 bp    DNA     linear   BCT
+ORIGIN
+        1 ttga
+//
+"""
+
+
+def test_genbank_to_elements(spark, tmp_path):
+    from junctionflow.operators import islocate
+
+    (tmp_path / "a.gb").write_text(GENBANK)
+    records = readers.scan_genbank(spark, str(tmp_path / "a.gb"))
+    one, two = records.orderBy("scaf").collect()
+    assert (one.scaf, one.topology, one.seq, one.length) == ("AB_1", "circular", "ACGTACGTACGTACGTACGTACGTNACGTA", 30)
+    assert (two.scaf, two.topology, two.seq, two.features) == ("X2", "linear", "TTGA", [])
+    assert [(f.type, f.start0, f.end, f.strand) for f in one.features] == [("source", 0, 30, 1), ("mobile_element", 4, 20, -1), ("gene", 21, 25, 1)]
+    assert one.features[1].qualifiers == {"mobile_element_type": ["insertion sequence:IS7"], "note": ["a", "b"]}
+    found = islocate.is_features(readers.genbank_features(records.withColumn("ref", F.lit("r")))).collect()
+    assert [tuple(r) for r in found] == [("r", "AB_1", "IS7", 5, 20, -1)]
+
+
+def test_references(spark, tmp_path):
+    for name in ("L1.gb", "L1.fasta", "L2.fasta"):
+        (tmp_path / name).write_text("x")
+    names = spark.createDataFrame([("U1",), ("L2",), ("gone",)], "ref_name string")
+    found, missing = readers.resolve_reference(names, spark.createDataFrame([("U1", "L1")], "accession string, name string"), readers.reference_files(spark, str(tmp_path)))
+    assert sorted((r.ref_name, r.locus, r.format, r.path.rsplit("/", 1)[1]) for r in found.collect()) == [("L2", "L2", "fasta", "L2.fasta"), ("U1", "L1", "genbank", "L1.gb")]
+    assert [r.ref_name for r in missing.collect()] == ["gone"]
+
+
+def test_read_buckets_and_samples(spark, tmp_path):
+    (tmp_path / "s1" / "output").mkdir(parents=True)
+    (tmp_path / "s1" / "reads_jct_3_left_marginal.bam_indices").write_text("r1\t5\t90\tTrue\t17\n\nr2\t6\t91\tFalse\t18\n")
+    got = readers.scan_read_buckets(spark, str(tmp_path)).orderBy("index").collect()
+    assert [tuple(r) for r in got] == [(3, "left_marginal", "r1", 5, 90, True, 17), (3, "left_marginal", "r2", 6, 91, False, 18)]
+    (tmp_path / "s1" / "output" / "output.gd").write_text("SNP\t1\t.\tc\t5\tA\n")
+    assert readers.scan_genomediff(spark, str(tmp_path / "*" / "output" / "output.gd")).head().sample == "s1"
+    (tmp_path / "s1" / "c.coverage.tab").write_text("unique_top_cov\tunique_bot_cov\tposition\n2\t3\t1\n")
+    assert tuple(readers.scan_coverage_tab(spark, str(tmp_path)).head()) == ("s1", "c", 1, 5)
+
+
+def test_compound_values(value):
+    read = lambda x, kind, **k: value(readers.parse_compound(F.lit(x), kind, **k))
+    assert read("(1, 2,)", "array<int>") == [1, 2] and read("[]", "array<int>") == []
+    assert read("{'a': None, \"b (None)\": 2}", "map<string,int>") == {"a": None, "b (None)": 2}
+    assert tuple(read("{'x': 'it (True)', 'y': True}", "struct<x:string,y:boolean>")) == ("it (True)", True)
+    assert read(None, "array<int>", optional=True) is None
+    for bad in (None, "[1, 'x']", "nonsense"):
+        with pytest.raises(Exception, match="not array<int>"):
+            read(bad, "array<int>")
+
+
+def test_carry_and_export(spark):
+    rows = spark.createDataFrame([(1, "x", 2)], "a int, b string, c int")
+    schema = T.StructType([T.StructField("c", T.LongType(), False), T.StructField("d", T.StringType(), False), T.StructField("e", T.StringType(), True)])
+    assert tuple(readers.carry(rows, schema, d=F.upper("b")).head()) == (2, "X", None)
+    for new in ({}, {"d": F.lit("x"), "z": F.lit(1)}):
+        with pytest.raises(ValueError):
+            readers.carry(rows, schema, **new)
+    got = readers.export_projection(rows, ["total", "b"], {"total": F.col("a") + F.col("c")}, {"b": F.upper})
+    assert got.columns == ["total", "b"] and tuple(got.head()) == (3, "X")
+
+
+def test_parameters_of_runs(spark):
+    sheet = spark.createDataFrame([("r", None, 5), ("s", "mean", None)], "ref_name string, average_method string, score_min int")
+    got = readers.merge_params(sheet, {"average_method": "median", "score_min": 1, "ncbi": True}, None, {"score_min": 2, "ncbi": None}, nested={"filter": ["score_min", "absent"]})
+    assert sorted((r.ref_name, r.average_method, r.ncbi, r.filter.score_min) for r in got.collect()) == [("r", "median", True, 5), ("s", "mean", True, 2)]
+    runs = [("r", "p", "x", True, "genbank", ["isescan"], "median"), (None, None, "a/genomesDB", False, "genbank", ["genbank"], "best"), ("r", "p", "x", False, "blast", [], "mode"), ("r", "p", "x", None, "genbank", None, None)]
+    checked = readers.validate_params(spark.createDataFrame(runs, "ref_name string, iso_fastq_path string, ref_path string, ncbi boolean, is_detection_method string, run_comparison_methods array<string>, average_method string"))
+    assert [len(r.errors) for r in checked.collect()] == [0, 6, 1, 0]
