@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and the SQL that gives the same rows where SQL can."""
 
-from junctionflow.llm import bpe, jaccard_join, line_dedup, merkle, packing, quality_classifier, quality_rules, sharding, suffix_dedup, toxicity
+from junctionflow.llm import alignment, bpe, fragment_bpe, jaccard_join, line_dedup, manifest, merkle, packing, quality_classifier, quality_rules, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_merkle": merkle.op8_merkle,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_manifest": manifest.op11_manifest,
+    "op12_fragment_bpe": fragment_bpe.op12_fragment_bpe,
+    "op13_token_alignment": alignment.op13_token_alignment,
 }
 
 SQL = {"op5_quality_rules": quality_rules.SQL, "op7_line_dedup": line_dedup.SQL}
