@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from junctionflow.llm import boundaries
-from junctionflow.llm.common import Tables, documents, over_batches, release, utf8
+from junctionflow.llm.common import Tables, documents, over_batches, release, slices, utf8
 from junctionflow.llm.fragment_bpe import encoder, token_bytes
 
 A = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,8 +42,8 @@ B = public_tokenizers.path("piece_bpe_32k.model")
 REMEMBERED = 128 << 20
 #: Fragments in a lane at most.
 LANE = 48
-#: Tokens of A in the documents whose distinct pairs are sent together, about.
-BATCH_TOKENS = 1 << 20
+#: Bytes of the texts that are merged together and whose distinct pairs are sent together, about.
+BATCH_BYTES = 2 << 20
 
 
 def piece_bytes(model) -> list[bytes]:
@@ -86,14 +86,30 @@ class Aligner:
         self.memory = boundaries.Memory(self._learn, most)
 
     def _learn(self, fragments: list[bytes]) -> list[tuple]:
-        """Of each fragment, which starts with a blank: ids by A and by B, and whether both have its bytes."""
-        ids_a, ids_b = self.a.encode_plain(fragments), self.b.encode([f[1:].decode() for f in fragments], num_threads=1)
-        ids_b = [y if len(f) > 1 else [self.b.piece_to_id("▁")] for f, y in zip(fragments, ids_b, strict=True)]  # B puts no blank before nothing
-        same = [b"".join(map(self.bytes_a.__getitem__, x)) == f == b"".join(map(self.bytes_b.__getitem__, y)) for f, x, y in zip(fragments, ids_a, ids_b, strict=True)]
-        return [(array("i", x), array("i", y), s) for x, y, s in zip(ids_a, ids_b, same, strict=True)]
-
-    def of(self, texts: list[bytes], lane_fragments: int = LANE) -> tuple[list[np.ndarray], ...]:
-        """ids by A, ids by B, and the tokens of A and of B up to each cut: four arrays for each text."""
+        """Of each fragment, which starts with a blank: ids by A and by B, and whether both have its bytes. Many are
+        encoded as one text; one by one where that text's bytes are not the tokens'."""
+        out: list[tuple] = [()] * len(fragments)
+        for run in boundaries.runs(fragments, self.certain):
+            for i, found in zip(run, self._encoded([fragments[i] for i in run]), strict=True):
+                out[i] = found
+        return out
+
+    def _encoded(self, some: list[bytes]) -> list[tuple]:
+        whole = b"".join(some)
+        a, b = self.a.encode_plain([whole])[0], self.b.encode(whole[1:].decode())
+        if len(whole) == 1:  # B puts no blank before nothing
+            b = [self.b.piece_to_id("▁")]
+        same = b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b))
+        if len(some) == 1:
+            return [(array("i", a), array("i", b), same)]
+        at, to = (boundaries.divided(a, self.len_a, some), boundaries.divided(b, self.len_b, some)) if same else (None, None)
+        if at is None or to is None:
+            return [x for f in some for x in self._encoded([f])]
+        return [(array("i", a[i:j]), array("i", b[k:m]), True) for i, j, k, m in zip(at, at[1:], to, to[1:], strict=False)]
+
+    def flat(self, texts: list[bytes], lane_fragments: int = LANE) -> tuple[np.ndarray, ...]:
+        """ids by A and by B of all texts in turn, the places of the tokens that end together, and where each text's
+        tokens of A, of B and its cuts start and the last one's end."""
         data, ends = boundaries.joined([b" " + t if t and _utf8(t) else b"" for t in texts])
         distinct, turn, first = boundaries.fragments(data, ends, boundaries.cuts(np.frombuffer(data, np.uint8), self.certain))
         known = self.memory.of(distinct)
@@ -104,15 +120,18 @@ class Aligner:
         turn, doc = turn[good], doc[good]
         ids_a, per_a = _expand([k[0] for k in known], turn)
         ids_b, per_b = _expand([k[1] for k in known], turn)
-        ends_a, ends_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
         # lanes: runs of fragments of a document
         start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.empty(0, np.int64)
         place = np.arange(len(doc)) - np.repeat(start, np.diff(np.append(start, len(doc))))
         lane = np.flatnonzero(place % lane_fragments == 0)
-        cut_a, cut_b = lockstep(ends_a, ends_b, per_a[lane], per_b[lane], per_a[np.append(lane[1:], len(doc))] if len(lane) else lane)
+        stop = per_a[np.append(lane[1:], len(doc))] if len(lane) else lane
+        cut_a, cut_b = lockstep(np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b]), per_a[lane], per_b[lane], stop)
         bound = np.searchsorted(doc, np.arange(len(texts) + 1))
-        bound_a, bound_b = per_a[bound], per_b[bound]
-        bound_c = np.searchsorted(cut_a, bound_a)
+        return ids_a, ids_b, cut_a, cut_b, per_a[bound], per_b[bound], np.searchsorted(cut_a, per_a[bound])
+
+    def of(self, texts: list[bytes], lane_fragments: int = LANE) -> tuple[list[np.ndarray], ...]:
+        """ids by A, ids by B, and the tokens of A and of B up to each cut: four arrays for each text."""
+        ids_a, ids_b, cut_a, cut_b, bound_a, bound_b, bound_c = self.flat(texts, lane_fragments)
         split = lambda x, at: [x[i:j] for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         cuts_a = [x + 1 - s for x, s in zip(split(cut_a, bound_c), bound_a.tolist(), strict=False)]
         cuts_b = [x + 1 - s for x, s in zip(split(cut_b, bound_c), bound_b.tolist(), strict=False)]
@@ -154,58 +173,48 @@ def align(docs: DataFrame, a: str = A, b: str = B, lane: int = LANE) -> DataFram
 _BATCHES = "batch long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary, pairs array<long>, counts array<long>"
 
 
+@lru_cache(maxsize=1)
 def _strings(size: int) -> pa.Array:
     """Decimal ids with a comma, a bar or a semicolon after each."""
     return pa.array([f"{i}{mark}".encode() for mark in ",|;" for i in range(size)], pa.large_binary())
 
 
-def group_strings(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, size: int, strings: pa.Array) -> tuple[memoryview, np.ndarray]:
+def group_strings(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, size: int = 1 << 16) -> tuple[memoryview, np.ndarray]:
     """``a1,a2|b1;...`` of all groups, and where each token's string starts. Cuts are places of tokens."""
     last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
     last_a[cut_a], last_b[cut_b] = True, True
-    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
-    to = np.empty(len(a) + len(b), np.int64)
-    to[np.arange(len(a)) + np.append(0, cut_b + 1)[group_a]] = a + size * last_a
-    to[np.arange(len(b)) + (cut_a + 1)[group_b]] = b + 2 * size * last_b
-    taken = strings.take(pa.array(to))
-    _, at, values = taken.buffers()
+    to = np.empty(len(a) + len(b), np.int32)
+    to[np.arange(len(a)) + np.append(0, cut_b + 1)[np.cumsum(last_a) - last_a]] = a + size * last_a
+    to[np.arange(len(b)) + np.append(cut_a + 1, 0)[np.cumsum(last_b) - last_b]] = b + 2 * size * last_b
+    _, at, values = _strings(size).take(pa.array(to)).buffers()
     return memoryview(values) if values else memoryview(b""), np.frombuffer(at, np.int64)[: len(to) + 1] if len(to) else np.zeros(1, np.int64)
 
 
-def with_pairs(aligned: DataFrame, batch_tokens: int = BATCH_TOKENS) -> DataFrame:
-    """A row for each document with its number of tokens and groups, the digest of its groups and its links, as places
-    in its batch's distinct pairs; the first document of each batch has those pairs (A's id times 65536 plus B's) and
-    how many links of the batch hold each."""
-    arrow, size = to_arrow_schema(StructType.fromDDL(_BATCHES)), 1 << 16
+def with_pairs(docs: DataFrame, a: str = A, b: str = B, lane: int = LANE, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Documents aligned, a row for each: its number of tokens and groups, the digest of its groups, and its links as
+    places in its batch's distinct pairs. The first document of each batch has those pairs (A's id times 65536 plus B's)
+    and how many links of the batch hold each."""
+    arrow = to_arrow_schema(StructType.fromDDL(_BATCHES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings, number = _strings(size), TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         for whole in batches:
-            tokens = np.cumsum(np.diff(whole.column(1).offsets.to_numpy().astype(np.int64)))
-            at = 0
-            while at < whole.num_rows:
-                n = max(1, int(np.searchsorted(tokens, (tokens[at - 1] if at else 0) + batch_tokens, side="right")) - at)
-                rows = whole.slice(at, n)
-                at += n
-                a, b, cut_a, cut_b = (c.flatten().to_numpy().astype(np.int64) for c in rows.columns[1:])
-                n_a, n_b, n_c = (np.diff(c.offsets.to_numpy().astype(np.int64)) for c in (rows.column(1), rows.column(2), rows.column(3)))
-                to_a, to_b, to_c = (np.append(0, np.cumsum(x)) for x in (n_a, n_b, n_c))
-                cut_a, cut_b = cut_a - 1 + np.repeat(to_a[:-1], n_c), cut_b - 1 + np.repeat(to_b[:-1], n_c)
-                text, place = group_strings(a, b, cut_a, cut_b, size, strings)
-                ends = place[to_a + to_b]
-                pairs, links, counts = np.unique(a[cut_a] * 65536 + b[cut_b], return_inverse=True, return_counts=True)
-                links = links.astype("<i4")
-                nothing = [None] * (n - 1)
+            for rows in slices(whole, batch_bytes):
+                ids_a, ids_b, cut_a, cut_b, to_a, to_b, to_c = aligner(a, b).flat(rows.column(1).to_pylist(), lane)
+                text, place = group_strings(ids_a, ids_b, cut_a, cut_b)
+                ends, n = place[to_a + to_b].tolist(), rows.num_rows
+                pairs, links, counts = np.unique(ids_a[cut_a].astype(np.int64) * 65536 + ids_b[cut_b], return_inverse=True, return_counts=True)
+                links, at = links.astype("<i4"), to_c.tolist()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([number] * n, pa.int64()), rows.column(0), pa.array(n_a), pa.array(n_b), pa.array(n_c),
-                    pa.array([hashlib.sha256(text[i : j - 1]).hexdigest() if j > i else "" for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.string()),
-                    pa.array([links[i:j].tobytes() for i, j in zip(to_c[:-1].tolist(), to_c[1:].tolist(), strict=True)], pa.binary()),
-                    pa.array([pairs, *nothing], pa.list_(pa.int64())), pa.array([counts, *nothing], pa.list_(pa.int64())),
+                    pa.array([number] * n, pa.int64()), rows.column(0), pa.array(np.diff(to_a)), pa.array(np.diff(to_b)), pa.array(np.diff(to_c)),
+                    pa.array([hashlib.sha256(text[i : j - 1]).hexdigest() if j > i else "" for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.string()),
+                    pa.array([links[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+                    *[pa.array([x, *[None] * (n - 1)], pa.list_(pa.int64())) for x in (pairs, counts)],
                 ], schema=arrow)
                 number += 1
         release()
 
-    return aligned.select("doc_id", "a_ids", "b_ids", "a_cuts", "b_cuts").mapInArrow(run, _BATCHES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text")).mapInArrow(run, _BATCHES)
 
 
 def pair_counts(batched: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -217,10 +226,10 @@ def pair_counts(batched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, total.withColumn("best", F.col("count") == F.max("count").over(same_b))
 
 
-def link_report(aligned: DataFrame, batch_tokens: int = BATCH_TOKENS) -> DataFrame:
-    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of each aligned document."""
-    with Tables(aligned.sparkSession) as tables:
-        batched = tables.keep(tables.write(with_pairs(aligned, batch_tokens)))
+def link_report(docs: DataFrame, a: str = A, b: str = B, lane: int = LANE, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of each document."""
+    with Tables(docs.sparkSession) as tables:
+        batched = tables.keep(tables.write(with_pairs(docs, a, b, lane, batch_bytes)))
     rows, totals = pair_counts(batched)
     back = rows.select("batch", "place", "pair").join(totals, "pair").select(F.col("batch").alias("of_batch"), "place", "count", "best")
     report = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -234,9 +243,9 @@ def link_report(aligned: DataFrame, batch_tokens: int = BATCH_TOKENS) -> DataFra
         found = {"n_links": [len(x) for x in links], "n_best": [int(best[x].sum()) for x in links], "count_sum": [int(count[x].sum()) for x in links]}
         return pa.table([pa.array(found[f.name], f.type) if f.name in found else docs[f.name] for f in arrow], schema=arrow)
 
-    docs = batched.select("batch", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links")
-    return docs.groupBy("batch").cogroup(back.groupBy("of_batch")).applyInArrow(per_group, report)
+    told = batched.select("batch", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links")
+    return told.groupBy("batch").cogroup(back.groupBy("of_batch")).applyInArrow(per_group, report)
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_report(align(documents(spark, sf_dir)))
+    return link_report(documents(spark, sf_dir))

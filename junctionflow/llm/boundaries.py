@@ -89,6 +89,34 @@ def parts(text: bytes, certain: np.ndarray, size: int, apart: int = 256) -> Iter
     yield text[at:]
 
 
+def open_ended(fragment: bytes, certain: np.ndarray) -> bool:
+    """Whether a fragment begins with a blank and a certain cut would follow it if a blank came next, so that such
+    fragments, one after another, are the fragments of the text that they make up."""
+    last = fragment[-1]
+    return fragment[0] == 32 and bool(certain[last, 32]) and (last < 0x80 or not (len(fragment) > 1 and _WIDE_SPACE_BEFORE[fragment[-2]]))
+
+
+def runs(fragments: list[bytes], certain: np.ndarray, most: int = 1000) -> Iterator[list[int]]:
+    """Places of the fragments, each once: those that can be encoded as one text together, any other alone."""
+    some = []
+    for i, f in enumerate(fragments):
+        if not open_ended(f, certain):
+            yield [i]
+        else:
+            some.append(i)
+    for k in range(0, len(some), most):
+        yield some[k : k + most]
+
+
+def divided(ids: list[int], lengths: np.ndarray, fragments: list[bytes]) -> list[int] | None:
+    """Where each fragment's ids start and the last one's end; None if a token does not end where a fragment does."""
+    ends, bounds = np.cumsum(lengths[ids]), np.cumsum([len(f) for f in fragments])
+    at = np.searchsorted(ends, bounds)
+    if len(ends) and at[-1] == len(ends) - 1 and (ends[at] == bounds).all():
+        return [0, *(at + 1).tolist()]
+    return None
+
+
 class Memory:
     """What ``learn`` says of fragments, remembered by a Python worker up to a number of bytes and then begun afresh."""
 

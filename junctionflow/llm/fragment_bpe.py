@@ -65,17 +65,32 @@ class Encoder:
         self.tokenizer.encode_special_tokens = not special
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = [t.content.encode() for t in added.values()] if special else []
-        self.certain = boundaries.certain_pairs(boundaries.absent_pairs(t for i, t in enumerate(token_bytes(path)) if i not in added))
+        self.bytes = token_bytes(path)
+        self.certain = boundaries.certain_pairs(boundaries.absent_pairs(t for i, t in enumerate(self.bytes) if i not in added))
+        self.lengths, self.names = np.array([len(t) for t in self.bytes], np.int64), [f"{i},".encode() for i in range(len(self.bytes))]
         self.memory = boundaries.Memory(self._learn, most)
 
     def encode_plain(self, fragments: list[bytes]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast([f.decode() for f in fragments], add_special_tokens=False)]
 
     def _learn(self, fragments: list[bytes]) -> list[tuple]:
-        """Of each fragment: its ids with a comma after each, their number, what they decode to, and the ids."""
-        ids = self.encode_plain(fragments)
-        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        return [("".join(f"{i}," for i in x).encode(), len(x), d.encode(), array("i", x).tobytes()) for x, d in zip(ids, decoded, strict=True)]
+        """Of each fragment: its ids with a comma after each, their number, what they decode to, and the ids. Fragments
+        that begin with a blank are encoded and decoded as one text, which costs less than one by one."""
+        out: list[tuple] = [()] * len(fragments)
+        for run in boundaries.runs(fragments, self.certain):
+            some = [fragments[i] for i in run]
+            ids = self.encode_plain([b"".join(some)])[0]
+            decoded = self.tokenizer.decode(ids, skip_special_tokens=False).encode()
+            at = [0, len(ids)] if len(some) == 1 else boundaries.divided(ids, self.lengths, some) if len(decoded) == sum(map(len, some)) else None
+            if at is None:
+                every = self.encode_plain(some)
+                plain = [d.encode() for d in self.tokenizer.decode_batch(every, skip_special_tokens=False)]
+            else:
+                every, to = [ids[i:j] for i, j in zip(at, at[1:], strict=False)], np.cumsum([0, *map(len, some)]).tolist()
+                plain = [decoded] if len(some) == 1 else [decoded[i:j] for i, j in zip(to, to[1:], strict=False)]
+            for i, f, x, d in zip(run, some, every, plain, strict=True):
+                out[i] = b"".join(map(self.names.__getitem__, x)), len(x), f if d == f else d, array("i", x).tobytes()
+        return out
 
     def of(self, texts: list[bytes], *fields: int) -> tuple[np.ndarray, list]:
         """The number of ids of each text, and for each asked field (see ``_learn``) the texts' values, joined."""

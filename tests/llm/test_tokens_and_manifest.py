@@ -142,8 +142,8 @@ def brute_alignment(aligner, text):
     return a, b, [ends_a.index(x) + 1 for x in both], [ends_b.index(x) + 1 for x in both]
 
 
-@pytest.mark.parametrize("tokens,lane", [(1 << 20, 48), (500, 2)])
-def test_alignment(spark, rows, folder, tokens, lane):
+@pytest.mark.parametrize("size,lane", [(2 << 20, 48), (2000, 2)])
+def test_alignment(spark, rows, folder, size, lane):
     aligner = alignment.Aligner()
     every = [(r[0], brute_alignment(aligner, r[1])) for r in rows]
     count = collections.Counter((a[i - 1], b[j - 1]) for _, (a, b, x, y) in every for i, j in zip(x, y, strict=True))
@@ -156,11 +156,14 @@ def test_alignment(spark, rows, folder, tokens, lane):
         groups = ";".join(",".join(map(str, a[i:j])) + "|" + ",".join(map(str, b[k:m])) for i, j, k, m in zip([0, *x[:-1]], x, [0, *y[:-1]], y, strict=False))
         want[doc_id, len(a), len(b), len(x), len(pairs), sum(count[p] == best[p[1]] for p in pairs), sum(count[p] for p in pairs), H(groups) if a else ""] += 1
     docs = spark.read.parquet(f"{folder[0]}/documents.parquet")
-    got = alignment.op13_token_alignment(spark, folder[0]) if lane == alignment.LANE else alignment.link_report(alignment.align(docs, lane=lane), tokens)
+    got = alignment.op13_token_alignment(spark, folder[0]) if lane == alignment.LANE else alignment.link_report(docs, lane=lane, batch_bytes=size)
     assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert collections.Counter(map(tuple, got.collect())) == want
     assert 0 < sum(n for k, n in want.items() if not k[1]) < len(rows) and any(k[5] < k[4] for k in want)
     assert not alignment.op13_token_alignment(spark, folder[1]).collect()
+    real = alignment.align(docs, lane=lane).collect()
+    plain = lambda x: repr([x[0], *map(list, x[1:])])
+    assert collections.Counter(map(plain, real)) == collections.Counter(plain((d, *x)) for d, x in every)
 
 
 def test_lockstep():
