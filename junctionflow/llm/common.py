@@ -5,8 +5,10 @@ from __future__ import annotations
 import ctypes
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Tables of this thread that outlive the blocks that made them.
+_kept = threading.local()
+
+
 class Tables:
     """Tables of one computation in the shared folder: each computed once, and safe from lost executors.
 
@@ -69,18 +75,32 @@ class Tables:
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             if found := self.paths.pop(id(table), None):
-                path = self.spark._jvm.org.apache.hadoop.fs.Path(found[1])
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                self._delete(found[1])
 
     def keep(self, table: DataFrame) -> DataFrame:
         """``table``, which outlives the block: a result is read from it."""
-        self.paths.pop(id(table), None)
+        if found := self.paths.pop(id(table), None):
+            _kept.__dict__.setdefault("paths", []).append(found[1])
         return table
 
+    def write_alone(self, make: Callable[[], DataFrame]) -> DataFrame:
+        """What ``make`` gives, written; tables that it has kept for its result are dropped, which reads them no more."""
+        before = len(_kept.__dict__.setdefault("paths", []))
+        out = self.write(make())
+        for path in _kept.paths[before:]:
+            self._delete(path)
+        del _kept.paths[before:]
+        return out
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def materialise(df: DataFrame) -> DataFrame:
     """A table that outlives its maker, as results that are read later need it."""
-    return Tables(df.sparkSession).write(df)
+    tables = Tables(df.sparkSession)
+    return tables.keep(tables.write(df))
 
 
 def utf8(text: str = "text") -> Column:
@@ -141,6 +161,23 @@ def rewrite(df: DataFrame, inputs: list[str], per_batch: Callable[..., dict | No
     return df.mapInArrow(run, out_type)
 
 
+#: Columns of documents that operators look at; all others only pass through them.
+READ = ("doc_id", "text", "source", "lang", "n_chars")
+
+
+def any_columns(operate: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``operate(docs, ...)``, which returns rows with the columns of docs, for docs whose other columns bear any names:
+    meanwhile they have names that no operator uses."""
+
+    @wraps(operate)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        plain = {c: c if c in READ else f"column{i}" for i, c in enumerate(docs.columns)}
+        out = operate(docs.select(*[F.col(f"`{c}`").alias(p) for c, p in plain.items()]), *args, **options)
+        return out.select(*[F.col(p).alias(c) for c, p in plain.items()])
+
+    return run
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """docs with ``__id`` and ``__tie``, which tell its rows apart; equal rows share them. Neither is null."""
     return docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("__tie", F.xxhash64("text"))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import Tables, distinct, documents, keyed, mix, ngrams, over_batches, signed, utf8, word_hashes
+from junctionflow.llm.common import Tables, any_columns, distinct, documents, keyed, mix, ngrams, over_batches, signed, utf8, word_hashes
 
 WORDS = 5
 #: Two sets link when PERCENT_OF * common >= PERCENT * union.
@@ -355,6 +355,7 @@ def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
         return tables.keep(tables.write(names.join(groups, "same", "left").select("id", "tie", "size", F.when(F.col("size") > 0, F.col("group")).otherwise(F.col("id")).alias("group"))))
 
 
+@any_columns
 def dedup_documents(docs: DataFrame) -> DataFrame:
     """docs with the same columns: of each component the row with the least doc_id (then hash) stays, one row only
     where it is repeated. Rows without words link with nothing and all stay."""

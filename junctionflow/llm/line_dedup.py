@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import Tables, documents, keyed, ngrams, over_batches, rewrite, signed, utf8
+from junctionflow.llm.common import Tables, any_columns, documents, keyed, ngrams, over_batches, rewrite, signed, utf8
 
 MIN_RUN = 2
 #: Words from which the corpus stage takes one line for a run; op7_line_dedup has none, as its SQL knows runs of lines only.
@@ -111,6 +111,7 @@ def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None
     return rewrite(source, ["__text", "__places", "__alone"], per_batch, "text string, __n_lines long, __n_removed long, __n_runs long")
 
 
+@any_columns
 def dedup_documents(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = LONG_WORDS) -> DataFrame:
     """docs with the same columns, the repeated runs and long lines out of ``text``."""
     out = dedup_lines(docs, min_run, long_words)

@@ -11,6 +11,8 @@ Only the last sequence is not full. Other columns are not read.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,8 +36,18 @@ CHUNK_BYTES = 48 << 20
 TEXT_BYTES = 8 << 20
 #: What stands between chunks that are encoded together; a chunk that holds it is encoded by itself.
 BETWEEN = "|"
-#: A letter or number near a chunk's end, and the ASCII punctuation after it but for the apostrophe, which may join them.
-ENDED = r"(?s)\A(?P<stem>.*[\p{L}\p{N}])(?P<tail>[!-&(-/:-@\[-`{-~]+)\z"
+
+
+@lru_cache(maxsize=1)
+def ended() -> str:
+    """A pattern of a letter or number near a chunk's end, and the ASCII punctuation after it but for the apostrophe, which
+    may join them. Not of letters that the tokenizer's normal form and small letters turn into ones with a mark at their
+    end (as a capital I with a dot), which joins the punctuation."""
+    kind = lambda c: unicodedata.category(c)[0]
+    marked = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if kind(c) in "LN" and kind(unicodedata.normalize("NFC", unicodedata.normalize("NFC", c).lower())[-1]) not in "LN"]
+    out = "".join(f"\\x{{{ord(c):x}}}" for c in marked)
+    return rf"(?s)\A(?P<stem>.*(?:[^\P{{L}}{out}]|[^\P{{N}}{out}]))(?P<tail>[!-&(-/:-@\[-`{{-~]+)\z"
+
 
 _TOKENS = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
@@ -128,7 +140,7 @@ class ChunkIds:
         _, at, data = chunks.buffers()
         last = np.frombuffer(data, np.uint8)[np.frombuffer(at, np.int64)[1 : len(chunks) + 1] - 1] if len(chunks) else np.empty(0, np.uint8)
         some = np.flatnonzero(_TAIL[last])
-        apart = pc.extract_regex(chunks.take(pa.array(some)), ENDED)
+        apart = pc.extract_regex(chunks.take(pa.array(some)), ended())
         some, apart = pa.array(some).filter(apart.is_valid()), apart.filter(apart.is_valid())
         split_off = np.zeros(len(chunks), bool)
         split_off[some.to_numpy()] = True
@@ -182,7 +194,7 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     with Tables(tokens.sparkSession) as tables:
         written = tables.keep(tables.write(tokens))
         first = tables.keep(tables.write(first_places(written, tables)))  # two numbers a task
-    placed = written.join(F.broadcast(first), "part").select("doc_id", (F.col("first") + F.col("before")).alias("place"), "n", "ids")
+    placed = written.join(first, "part").select("doc_id", (F.col("first") + F.col("before")).alias("place"), "n", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

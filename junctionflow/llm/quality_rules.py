@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import documents, materialise, ngrams, rewrite, utf8, word_hashes
+from junctionflow.llm.common import any_columns, documents, materialise, ngrams, rewrite, utf8, word_hashes
 
 MIN_WORDS = 50
 #: Per cent of words in repeated three-word runs, and of lines and symbols to words, above which a document fails.
@@ -87,12 +87,11 @@ def with_verdicts(counted: DataFrame, judged: DataFrame | None = None) -> DataFr
     return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & F.col("_out").isNull()).drop("_host", "_out")
 
 
+@any_columns
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
-    own = [c for c in docs.columns if c in [*NAMES, "base_failed", "kept"]]  # such columns step aside meanwhile
-    aside = docs.withColumnsRenamed({c: f"__own_{c}" for c in own})
-    judged = with_verdicts(with_counts(aside), with_counts(docs.select("source", "text"))).filter("kept")
-    return judged.drop(*own).withColumnsRenamed({f"__own_{c}": c for c in own}).select(*docs.columns)
+    """The documents that the rules keep, with all their columns. Words are counted once, and hosts judged from the counts."""
+    counted = materialise(with_counts(docs))
+    return with_verdicts(counted).filter("kept").select(*docs.columns)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctionflow.llm.common import Tables, documents, keyed, over_batches, release, rewrite, signed, utf8
+from junctionflow.llm.common import Tables, any_columns, documents, keyed, over_batches, release, rewrite, signed, utf8
 from junctionflow.llm.rolling import anchors, window_hashes
 
 LENGTH, CORE_SHARE = 400, 0.75
@@ -251,6 +251,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return rewrite(source, ["__text", "__starts"], per_batch, "text string, __spans array<struct<start: int, end: int>>, __sha256 string")
 
 
+@any_columns
 def dedup_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs with the same columns, repeated strings out of ``text``; ``n_chars``, where numeric, is counted anew."""
     out = remove_repeats(docs, length)

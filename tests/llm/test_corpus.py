@@ -166,6 +166,32 @@ def test_packing(docs, empty, rows):
     assert collections.Counter((k, tuple(x)) for k, xs in found.items() for x in xs) == want
 
 
+def test_chunks_have_the_tokenizers_ids():
+    """Random texts of marks, capitals, letters whose small or normal form ends in a mark, punctuation and white space."""
+    tokenizer, chunks = packing._tokenizer(packing.TOKENIZER), packing.ChunkIds(packing.TOKENIZER)
+    rng = random.Random(11)
+    letters = [*"aBzİıßÉéñΣςǅﬁ१Ⅷ²中カ́̇֍क़क़ড়שׁགྷ̈́", *" \n\t\x0b\u00a0\u3000", *".,;:!?'\"()[]{}<>|/-_#$%&*+=@^`~", "'s", "'LL", "<|endoftext|>", "0", "12"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 25))) for _ in range(10_000)] + ["YENİ, SERİ.", "TÜRKİ,", "(İ)", "İ."]
+    got = chunks.of(pa.array([t.encode() for t in texts], pa.binary()))
+    want = [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    wrong = [t for t, g, w in zip(texts, got, want, strict=True) if memoryview(g).cast("I").tolist() != w]
+    assert not wrong, wrong[:5]
+
+
+def test_stages_take_columns_of_any_name(spark, rows):
+    import corpus_pipeline
+
+    names = ["__id", "__tie", "__text", "__starts", "__n_runs", "_range", "label", "n_words", "kept", "size", "column0"]
+    plain = spark.createDataFrame([(r[0], r[1], r[2], r[3], r[4]) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    more = plain.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)]).select(*reversed(names), *plain.columns)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, "")
+        assert out.columns == more.columns, name
+        assert {tuple(r) for r in out.select(names).distinct().collect()} == {tuple(range(len(names)))}, name
+        assert sorted(map(repr, out.select(plain.columns).collect())) == sorted(map(repr, stage(spark, plain, "").collect())), name
+    assert corpus_pipeline.packed(spark, more, "").count() == corpus_pipeline.packed(spark, plain, "").count()
+
+
 def test_bpe(docs, empty, rows):
     enc = bpe.encoding()
     want = collections.Counter((r[0], tuple(enc.encode_ordinary(r[1] or ""))) for r in rows)
