@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from junctionflow.functions import coords
+from junctionflow.functions import blocks, coords
 from junctionflow.operators import alignments, classify, coverage, islocate, junctions, reads
 
 L = F.lit
@@ -303,3 +305,41 @@ def test_downsampling_by_share_of_the_expected(spark):
     got = alignments.downsample_hits(typed, expected, 40).groupBy("read_type").count().collect()
     # of 40 reads 20 left, 10 spanning and 10 right: every 5th of 100, every 3rd of 30 and of the 9 paired, all right
     assert {r.read_type: r["count"] for r in got} == {"left": 20, "spanning": 10, "paired": 3, "right": 3}
+
+
+def test_arm_sequences_from_blocks(spark):
+    """Arms over block ends, around the origin, past the end of a linear scaffold, on both strands, by reference."""
+    rng = random.Random(2)
+    seqs = {("r1", "c"): "".join(rng.choice("ACGT") for _ in range(90)), ("r1", "l"): "".join(rng.choice("ACGT") for _ in range(61)), ("r2", "c"): "".join(rng.choice("ACGT") for _ in range(90))}
+    scaffolds = spark.createDataFrame([(r, s, q, s == "c") for (r, s), q in seqs.items()], "ref string, scaf string, seq string, is_circular boolean")
+    arms = [(r, (s, start, d, n)) for r, s in seqs for start in (1, 7, 30, 61, 88, -3, 95) for d in (1, -1) for n in (1, 9, 40)]
+    rows = spark.createDataFrame(arms, "ref string, arm struct<scaf: string, start: bigint, dir: int, flank: int>")
+    got = {(r.ref, tuple(r.arm)): r.arm_seq for r in blocks.arm_sequences(rows.union(rows), scaffolds, 16).collect()}
+    flip = str.maketrans("ACGT", "TGCA")
+    for r, (s, start, d, n) in arms:
+        q, places = seqs[r, s], [start + d * i for i in range(n)]
+        want = "".join(q[(p - 1) % len(q)] if s == "c" else q[p - 1] for p in places if s == "c" or 1 <= p <= len(q))
+        assert got.get((r, (s, start, d, n)), "") == (want if d == 1 else want.translate(flip)), (r, s, start, d, n)
+
+
+def test_repetitive_seeds_are_salted(spark):
+    """Poly-A reads and targets: the same matches with seeds dealt over salts as by brute force."""
+    targets = [(f"t{i}", "A" * (100 + i) + "C" * i) for i in range(6)]
+    given = [(i, "A" * 90 if i % 3 else "A" * 89 + "C") for i in range(12)] + [(100, "T" * 91)]
+    q = spark.createDataFrame(given, "read_id long, seq string")
+    t = spark.createDataFrame(targets, "target string, seq string")
+    got = {tuple(r) for r in reads.match_reads(q, t, 99, 3, 10_000, block=32, seed_rows=5).collect()}
+    flip = str.maketrans("ACGT", "TGCA")
+    want = set()
+    for i, s in given:
+        for rev, x in ((False, s), (True, s.translate(flip)[::-1])):
+            for name, text in targets:
+                for p in range(len(text) - len(x) + 1):
+                    n = sum(a != b for a, b in zip(x, text[p : p + len(x)], strict=True))
+                    if n <= 3:
+                        want.add((i, name, rev, p, n))
+    assert got == want
+    seeds = q.select(F.lit(1).alias("seed"), "read_id")
+    words = spark.range(100).select(F.lit(1).alias("seed"), F.col("id").alias("p"))
+    a, b = reads.salted_seeds(seeds, words, 5)
+    assert a.join(b, ["seed", "salt"]).count() == 13 * 100 and b.groupBy("salt").count().agg(F.max("count")).head()[0] < 20
