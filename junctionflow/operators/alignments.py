@@ -139,24 +139,51 @@ def warn_paired_without_span(counts: DataFrame) -> DataFrame:
 
 
 def alignment_stats(hits: DataFrame, passed: Column) -> DataFrame:
-    return hits.groupBy("sample", "candidate").agg(F.count("*").alias("n_hits"), F.count_if(passed).alias("n_passed"), F.count_if(passed & ~F.col("is_reverse")).alias("n_forward"), F.count_if(passed & F.col("is_reverse")).alias("n_reverse"))
+    """A row per sample and candidate: hits, those that pass by strand, reads' strands with any and with several of them (a strand
+    is a read on a junction in one direction), reads and those with both mates, normal and swapped, and the mean overlap of
+    mates, by their best hits. Levels are hit, strand, read and candidate, each an aggregate of the one before."""
+    where = F.struct(F.col("start").alias("start"), F.col("end").alias("end"))
+    best = F.min_by(F.when(passed, where), F.when(passed, F.struct((-F.col("score")).alias("s"), F.col("aln_index").alias("i"))))
+    strands = hits.groupBy(*GROUP, "read_id", "is_reverse").agg(F.count("*").alias("hits"), F.count_if(passed).alias("n"), best.alias("best"))
+    of = lambda reverse, value: F.max(F.when(F.col("is_reverse") == reverse, value))
+    each = [x for r, d in ((False, "f"), (True, "r")) for x in (F.coalesce(of(r, F.col("n")), F.lit(0)).alias(f"n_{d}"), of(r, F.col("best")).alias(f"best_{d}"))]
+    reads = strands.groupBy(*GROUP, "read_id").agg(F.sum("hits").alias("hits"), *each)
+    pair, forward, reverse = (F.col("n_f") > 0) & (F.col("n_r") > 0), F.col("best_f"), F.col("best_r")
+    normal = pair & (forward["start"] < reverse["end"])
+    swapped = pair & ~(forward["start"] < reverse["end"])
+    total = lambda c: F.sum(c).cast("long")
+    return reads.groupBy("sample", "candidate").agg(
+        total("hits").alias("n_hits"), total(F.col("n_f") + F.col("n_r")).alias("n_passed"), total("n_f").alias("n_forward"), total("n_r").alias("n_reverse"),
+        F.count_if(F.col("n_f") > 0).alias("n_forward_strands"), F.count_if(F.col("n_f") > 1).alias("n_forward_multi"), F.count_if(F.col("n_r") > 0).alias("n_reverse_strands"), F.count_if(F.col("n_r") > 1).alias("n_reverse_multi"),
+        F.count_if((F.col("n_f") > 0) | (F.col("n_r") > 0)).alias("n_reads"), F.count_if(normal).alias("n_normal_pairs"), F.count_if(swapped).alias("n_swapped_pairs"),
+        F.avg(F.when(normal, forward["end"] - reverse["start"])).alias("normal_overlap"), F.avg(F.when(swapped, reverse["end"] - forward["start"])).alias("swapped_overlap"),
+    )
 
 
-def count_arithmetic(counts: DataFrame, other: DataFrame, how: str) -> DataFrame:
-    """Element-wise + - * // max of two count tables with the same keys, and the total."""
-    ops = {"+": lambda a, b: a + b, "-": lambda a, b: a - b, "*": lambda a, b: a * b, "//": lambda a, b: F.floor(F.try_divide(a, b)), "max": F.greatest}
-    a, b = counts.alias("a"), other.alias("b")
-    each = [ops[how](F.col(f"a.{t}"), F.col(f"b.{t}")).alias(t) for t in READ_TYPES]
-    out = a.join(b, GROUP).select(*GROUP, *each)
+def count_arithmetic(counts: DataFrame, other: DataFrame | float, how: str) -> DataFrame:
+    """Element-wise + - * / // max of two count tables with the same keys, or of one with a number, and the total. A junction
+    that one table lacks counts as zeros there; division by zero gives null."""
+    ops = {"+": lambda a, b: a + b, "-": lambda a, b: a - b, "*": lambda a, b: a * b, "/": F.try_divide, "//": lambda a, b: F.floor(F.try_divide(a, b)), "max": F.greatest}
+    if isinstance(other, DataFrame):
+        both = counts.alias("a").join(other.alias("b"), GROUP, "full_outer")
+        each = [ops[how](F.coalesce(f"a.{t}", F.lit(0)), F.coalesce(f"b.{t}", F.lit(0))).alias(t) for t in READ_TYPES]
+    else:
+        both, each = counts, [ops[how](F.col(t), F.lit(other)).alias(t) for t in READ_TYPES]
+    out = both.select(*GROUP, *each)
     return out.withColumn("total", sum((F.col(t) for t in READ_TYPES[1:]), F.col(READ_TYPES[0])))
 
 
 def alignment_segments(hits: DataFrame, arm: Column) -> DataFrame:
-    """Rows to plot: one per operation, in coordinates around the junction."""
+    """Rows to plot, in coordinates around the junction: kind, from, to of each operation (match, mismatch, deletion; insertion
+    at one place), and a snp in the middle of each mismatched base."""
     names = F.create_map(*[F.lit(x) for x in ("M", "match", "=", "match", "X", "mismatch", "D", "deletion", "I", "insertion")])
     ops = hits.select(*GROUP, "read_id", "start", arm.alias("_arm"), F.explode(cigar_ops(F.col("cigar"))).alias("o"))
-    at = F.col("start") + F.col("o.ref") - F.col("_arm")
-    return ops.select(*GROUP, "read_id", names[F.col("o.op")].alias("kind"), at.alias("from"), F.when(F.col("o.op") == "I", at).otherwise(at + F.col("o.len")).alias("to"))
+    at = (F.col("start") + F.col("o.ref") - F.col("_arm")).cast("double")
+    segment = lambda kind, a, b: F.struct(kind.alias("kind"), a.alias("from"), b.alias("to"))
+    own = F.array(segment(names[F.col("o.op")], at, F.when(F.col("o.op") == "I", at).otherwise(at + F.col("o.len"))))
+    bases = F.transform(F.sequence(F.lit(0), F.col("o.len") - 1), lambda i: segment(F.lit("snp"), at + i + 0.5, at + i + 0.5))
+    each = F.when(F.col("o.op") == "X", F.concat(own, bases)).otherwise(own)
+    return ops.select(*GROUP, "read_id", F.explode(each).alias("s")).select(*GROUP, "read_id", "s.*")
 
 
 def downsample_hits(typed: DataFrame, expected: dict[str, Column], max_reads: int = 200) -> DataFrame:

@@ -63,12 +63,17 @@ def record_type_counts(rows: DataFrame) -> DataFrame:
 
 
 def summary_amplicons(rows: DataFrame) -> DataFrame:
-    cn = F.round("copy_number", 1).alias("copy_number")
-    return rows.select("sample", "pair_id", "scaf", "left", "right", "length", cn, "architecture", "anc_architecture", "descriptors", "tn_names")
+    """A row for each classified candidate, as the summary has it (of junctions.multi_tn_names)."""
+    return rows.select(
+        "sample", "pair_id", F.concat_ws("-", "left", "right").alias("positions"), "span_origin", "length", F.col("tn_names").alias("possible_ISs"), F.col("chosen_name").alias("chosen_IS"),
+        F.round("copy_number", 1).alias("copy_number"), "architecture", F.col("anc_architecture").alias("ancestor_architecture"), "descriptors",
+        F.col("left_own").isNotNull().alias("left_is_ref_tn"), F.col("right_own").isNotNull().alias("right_is_ref_tn"),
+    )
 
 
 def summary_transpositions(linked: DataFrame) -> DataFrame:
-    return linked.filter("base_event = 'transposition'").select("sample", "pair_id", "scaf", "left", "right", (F.col("right") - F.col("left")).alias("length"))
+    """The transpositions of the unfiltered pairs; their lengths may be negative."""
+    return linked.filter("base_event = 'transposition'").select("sample", "pair_id", F.concat_ws("-", "left", "right").alias("positions"), (F.col("right") - F.col("left")).alias("length"), F.col("tn_names").alias("possible_ISs"))
 
 
 def compare_call_sets(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -87,6 +92,12 @@ def read_label_confusion(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.groupBy("label_a", "label_b").agg(F.count("*").alias("n"))
 
 
+def read_label_disagreements(a: DataFrame, b: DataFrame) -> DataFrame:
+    """read_id, junction, label_a, label_b of the reads that two labellings tell apart; none where one lacks the read."""
+    both = a.select("read_id", "junction", F.col("label").alias("label_a")).join(b.select("read_id", "junction", F.col("label").alias("label_b")), ["read_id", "junction"], "full_outer")
+    return both.fillna("none", ["label_a", "label_b"]).filter("label_a <> label_b")
+
+
 def count_tolerance_check(a: DataFrame, b: DataFrame, keys: list[str], share: float = 0.1) -> DataFrame:
     """Junctions whose left, right or spanning counts differ by more than a share of the larger."""
     both = a.alias("a").join(b.alias("b"), keys, "full_outer")
@@ -95,15 +106,31 @@ def count_tolerance_check(a: DataFrame, b: DataFrame, keys: list[str], share: fl
     return both.filter(off[0] | off[1] | off[2]).select(*keys)
 
 
-def nearest_position_gap(a: DataFrame, b: DataFrame) -> DataFrame:
-    """scaf, pos, gap: the distance from each position of a to the nearest of b on its scaffold; null if there is none."""
-    every = a.select("scaf", "pos", F.lit(True).alias("mine")).unionByName(b.select("scaf", "pos", F.lit(False).alias("mine")))
-    order = Window.partitionBy("scaf").orderBy("pos")
-    other = F.when(~F.col("mine"), F.col("pos"))
-    before = F.last(other, True).over(order.rangeBetween(Window.unboundedPreceding, 0))
-    after = F.first(other, True).over(order.rangeBetween(0, Window.unboundedFollowing))
-    gaps = every.withColumns({"_before": before, "_after": after}).filter("mine")
-    return gaps.select("scaf", "pos", F.least(F.col("pos") - F.col("_before"), F.col("_after") - F.col("pos")).alias("gap"))
+def nearest_position_gap(a: DataFrame, b: DataFrame, width: int = 4096, group: int = 4096) -> DataFrame:
+    """scaf, pos, gap: the distance from each position of a to the nearest of b on its scaffold; null if there is none.
+
+    Positions are told apart by bins of ``width``; a bin gets the last position of b before it and the first after it by a
+    scan on two levels, within groups of bins and over the groups, so no window holds a scaffold."""
+    number = F.floor(F.col("pos") / width)
+    mine, theirs = (x.groupBy("scaf", "pos").agg(F.lit(True).alias(n)) for x, n in ((a, "mine"), (b, "theirs")))
+    every = mine.join(theirs, ["scaf", "pos"], "full_outer").withColumn("_bin", number)
+    other = F.when(F.col("theirs"), F.col("pos"))
+    bins = every.groupBy("scaf", "_bin").agg(F.min(other).alias("first"), F.max(other).alias("last")).withColumn("_group", F.floor(F.col("_bin") / group))
+    groups = bins.groupBy("scaf", "_group").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+    def carried(rows: DataFrame, key: list[str], by: str, name: str) -> DataFrame:
+        w = Window.partitionBy(*key).orderBy(by)
+        before = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return rows.withColumns({f"_before_{name}": before, f"_after_{name}": F.min("first").over(w.rowsBetween(1, Window.unboundedFollowing))})
+
+    outer = carried(groups, ["scaf"], "_group", "group").drop("first", "last")
+    inner = carried(bins, ["scaf", "_group"], "_bin", "bin").join(outer, ["scaf", "_group"])
+    inner = inner.select("scaf", "_bin", F.coalesce("_before_bin", "_before_group").alias("_before_all"), F.coalesce("_after_bin", "_after_group").alias("_after_all"))
+    order = Window.partitionBy("scaf", "_bin").orderBy("pos")
+    rows = every.withColumns({"_before": F.last(other, True).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_after": F.first(other, True).over(order.rowsBetween(0, Window.unboundedFollowing))}).filter("mine").join(inner, ["scaf", "_bin"])
+    gap = F.least(F.col("pos") - F.coalesce("_before", "_before_all"), F.coalesce("_after", "_after_all") - F.col("pos"))
+    gaps = rows.select("scaf", "pos", gap.alias("gap"))
+    return a.select("scaf", "pos").join(gaps, ["scaf", "pos"])  # a position that many rows have is one row of gaps
 
 
 def alignment_set_diff(a: DataFrame, b: DataFrame) -> DataFrame:

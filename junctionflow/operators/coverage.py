@@ -37,7 +37,7 @@ def scaffold_average(coverage: DataFrame, value: str, method: str = "median") ->
 
 def distribution_mode(counts: DataFrame, keys: list[str]) -> DataFrame:
     """keys, average: the mode of positive values x (n times each): log scale, edges by the Freedman-Diaconis rule (without
-    spread by the square root rule, 50 at most), ten at least, the middle of the fullest bin, the first on a tie."""
+    spread by the square root rule, 50 at most), ten at least, the middle of the fullest bin, the first on a tie. A value at an edge, by nine digits, is in the bin above."""
     logs = counts.filter("x > 0").withColumn("y", F.log("x"))
     stats = logs.groupBy(*keys).agg(
         F.expr("percentile(y, 0.25, n)").alias("q1"), F.expr("percentile(y, 0.75, n)").alias("q3"), F.min("y").alias("low"), F.max("y").alias("high"), F.sum("n").alias("total")
@@ -46,14 +46,26 @@ def distribution_mode(counts: DataFrame, keys: list[str]) -> DataFrame:
     edges = F.when(width > 0, F.floor((F.col("high") - F.col("low")) / width)).otherwise(F.least(F.lit(50), F.floor(F.sqrt("total"))))
     bins = F.greatest(edges, F.lit(10)) - 1  # that many edges make one bin less
     placed = logs.join(stats, keys).withColumn("bins", bins).withColumn("step", (F.col("high") - F.col("low")) / F.col("bins"))
-    number = F.when(F.col("step") > 0, F.least(F.floor((F.col("y") - F.col("low")) / F.col("step")), F.col("bins") - 1)).otherwise(0)
+    number = F.when(F.col("step") > 0, F.least(F.floor(F.round((F.col("y") - F.col("low")) / F.col("step"), 9)), F.col("bins") - 1)).otherwise(0)
     filled = placed.withColumn("bin", number).groupBy(*keys, "bin", "low", "step").agg(F.sum("n").alias("filled"))
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("filled"), "bin"))
     return filled.withColumn("_k", first).filter("_k = 1").select(*keys, F.exp(F.col("low") + (F.col("bin") + 0.5) * F.col("step")).alias("average"))
 
 
+def length_reason(low: int = 100, high: int = 1_000_000) -> Column:
+    """Why a candidate (base_event, length) has no coverage averages: not locus-joining, too long, too short; null if it has."""
+    return F.when(F.col("base_event") != "locus-joining", "not locus-joining").when(F.col("length") > high, "too long").when(F.col("length") < low, "too short")
+
+
 def length_gate(candidates: DataFrame, low: int = 100, high: int = 1_000_000) -> DataFrame:
-    return candidates.filter((F.col("base_event") == "locus-joining") & F.col("length").between(low, high))
+    return candidates.filter(length_reason(low, high).isNull())
+
+
+def length_gate_counts(candidates: DataFrame, low: int = 100, high: int = 1_000_000) -> DataFrame:
+    """sample, n_locus_joining, n_too_long, n_too_short, n_kept."""
+    reason = length_reason(low, high)
+    counted = {"n_locus_joining": F.col("base_event") == "locus-joining", "n_too_long": reason == "too long", "n_too_short": reason == "too short", "n_kept": reason.isNull()}
+    return candidates.groupBy("sample").agg(*[F.count_if(c).alias(n) for n, c in counted.items()])
 
 
 def amplicon_histogram(candidates: DataFrame, coverage: DataFrame, block: int = 4096) -> DataFrame:
@@ -62,7 +74,11 @@ def amplicon_histogram(candidates: DataFrame, coverage: DataFrame, block: int =
     candidates: sample, scaf, cand_id, start, end, length (of the scaffold); a segment may wrap around the origin.
     """
     piece = F.explode(coords.linear_pieces(F.col("start"), F.col("end"), F.col("length")))
-    pieces = candidates.select(*KEYS, "cand_id", piece.alias("p")).select(*KEYS, "cand_id", "p.first", "p.last")
+    return piece_histogram(candidates.select(*KEYS, "cand_id", piece.alias("p")).select(*KEYS, "cand_id", "p.first", "p.last"), coverage, block)
+
+
+def piece_histogram(pieces: DataFrame, coverage: DataFrame, block: int) -> DataFrame:
+    """The same over linear pieces (sample, scaf, cand_id, first, last)."""
     number = lambda c: F.floor((F.col(c) - 1) / block)
     touched = pieces.withColumn("block", F.explode(F.sequence(number("first"), number("last"))))
     inside = (F.col("first") <= F.col("block") * block + 1) & (F.col("last") >= (F.col("block") + 1) * block)
@@ -79,14 +95,25 @@ def mask_zero(histogram: DataFrame) -> DataFrame:
     return histogram.filter(F.coalesce("anc", "iso") > 0)
 
 
-def amplicon_averages(histogram: DataFrame, scaffolds: DataFrame) -> DataFrame:
-    """sample, cand_id, iso_scaf_avg, anc_scaf_avg, iso_amplicon_avg, anc_amplicon_avg, avg_norm_cov (medians).
-    scaffolds: sample, cand_id, iso_scaf_avg, anc_scaf_avg. A candidate without a position that counts has nulls."""
-    rows = mask_zero(histogram).join(scaffolds, ["sample", "cand_id"])
+def amplicon_averages(histogram: DataFrame, scaffolds: DataFrame, method: str = "median") -> DataFrame:
+    """sample, cand_id, iso_scaf_avg, anc_scaf_avg, iso_amplicon_avg, anc_amplicon_avg, avg_norm_cov, by ``method`` (median, mean
+    or mode) over the positions that count. scaffolds: sample, cand_id, iso_scaf_avg, anc_scaf_avg. A candidate without such a
+    position has nulls. Modes are those of distribution_mode, over positive values."""
+    keys = ["sample", "cand_id"]
+    rows = mask_zero(histogram).join(scaffolds, keys)
     scale = F.try_divide(F.col("iso_scaf_avg"), F.col("anc_scaf_avg"))
     rows = rows.withColumn("ratio", F.try_divide(F.try_divide(F.col("iso").cast("double"), F.col("anc")), scale))
-    found = rows.groupBy("sample", "cand_id").agg(median_of("iso").alias("iso_amplicon_avg"), median_of("anc").alias("anc_amplicon_avg"), F.expr("percentile(ratio, 0.5, n)").alias("avg_norm_cov"))
-    return scaffolds.join(found, ["sample", "cand_id"], "left")
+    values = {"iso": "iso_amplicon_avg", "anc": "anc_amplicon_avg", "ratio": "avg_norm_cov"}
+    if method == "mode":
+        out = scaffolds
+        for value, name in values.items():
+            counts = rows.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("x")).agg(F.sum("n").alias("n"))
+            out = out.join(distribution_mode(counts, keys).withColumnRenamed("average", name), keys, "left")
+        return out
+    # a mean over the positions that have the value: ratios may be null
+    one = median_of if method == "median" else lambda v: F.try_divide(F.sum(F.col(v) * F.col("n")), F.sum(F.when(F.col(v).isNotNull(), F.col("n"))).cast("double"))
+    found = rows.groupBy(*keys).agg(*[one(v).alias(n) for v, n in values.items()])
+    return scaffolds.join(found, keys, "left")
 
 
 def copy_numbers(rows: DataFrame) -> DataFrame:
@@ -133,3 +160,14 @@ def coverage_profile(candidates: DataFrame, coverage: DataFrame, scaffolds: Data
     rows = touched.join(coverage.withColumn("block", number("pos")), [*KEYS, "block"]).filter("pos BETWEEN first AND last").join(scaffolds, ["sample", "cand_id"])
     iso, anc = F.try_divide("iso", "iso_scaf_avg"), F.try_divide("anc", "anc_scaf_avg")
     return rows.select("sample", "cand_id", "pos", iso.alias("iso_norm"), anc.alias("anc_norm"), F.try_divide(iso, anc).alias("ratio"))
+
+
+def profile_limits(candidates: DataFrame, coverage: DataFrame, scaffolds: DataFrame, flank_fraction: float = 0.2, block: int = 4096) -> DataFrame:
+    """sample, cand_id, low, high: limits for both samples' values over their scaffold averages in the candidate's window, the
+    least first and the greatest 99th percentile with a margin of a tenth, low at least 0.1. From value histograms of blocks;
+    positions are looked at in the blocks at the window's ends alone."""
+    ends = lambda c: F.expr(f"percentile({c}, array(0.01, 0.99), n)")
+    found = piece_histogram(profile_pieces(candidates, flank_fraction), coverage, block).groupBy("sample", "cand_id").agg(ends("iso").alias("_iso"), ends("anc").alias("_anc")).join(scaffolds, ["sample", "cand_id"])
+    over = lambda c, i: F.try_divide(F.get(f"_{c}", F.lit(i)), f"{c}_scaf_avg")
+    low, high = F.least(over("iso", 0), over("anc", 0)), F.greatest(over("iso", 1), over("anc", 1))  # nulls are left out
+    return found.select("sample", "cand_id", F.greatest(low / 1.1, F.lit(0.1)).alias("low"), (high * 1.1).alias("high"))

@@ -153,6 +153,11 @@ def chosen_tn_sides(chosen: str = "chosen_tn") -> Column:
 
 
 def multi_tn_names(pairs: DataFrame, names: DataFrame) -> DataFrame:
-    """pairs with tn_names, from names (tn_id, tn_name), joined by element."""
-    each = pairs.select("sample", "pair_id", F.explode("tn_ids").alias("tn_id")).join(names, "tn_id")
-    return pairs.join(each.groupBy("sample", "pair_id").agg(F.array_sort(F.collect_set("tn_name")).alias("tn_names")), ["sample", "pair_id"], "left")
+    """pairs with tn_names, of all their elements, and chosen_name, of the chosen one where the table has chosen_tn; names are
+    (tn_id, tn_name), and ref where elements are numbered by reference."""
+    apart = [c for c in ("sample", "ref") if c in names.columns and c in pairs.columns]
+    each = pairs.select("sample", "pair_id", *[c for c in apart if c != "sample"], F.explode("tn_ids").alias("tn_id")).join(names, [*apart, "tn_id"])
+    out = pairs.join(each.groupBy("sample", "pair_id").agg(F.array_sort(F.collect_set("tn_name")).alias("tn_names")), ["sample", "pair_id"], "left")
+    if "chosen_tn" in pairs.columns:
+        out = out.join(names.select(*apart, F.col("tn_id").alias("chosen_tn"), F.col("tn_name").alias("chosen_name")), [*apart, "chosen_tn"], "left")
+    return out

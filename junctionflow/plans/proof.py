@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from junctionflow.functions import coords
 from junctionflow.operators import alignments, classify, coverage, islocate, junctions, reads
+from junctionflow.plans import cohort
 from junctionflow.sources import readers
 from junctionflow.streaming import status
 
@@ -78,6 +79,12 @@ candidate AS (SELECT sample, scaf, o_orderkey AS cand_id, (o_orderkey * 7919) %
   FROM orders JOIN sizes ON scaf = 's' || o_custkey)"""
 
 
+EVERY_CANDIDATE = """sizes AS (SELECT sample, scaf, max(pos) AS length FROM cov GROUP BY sample, scaf),
+places AS (SELECT *, row_number() OVER (ORDER BY scaf, sample) - 1 AS k, count(*) OVER () AS n FROM sizes),
+candidate AS (SELECT sample, scaf, o_orderkey AS cand_id, (o_orderkey * 7919) % length + 1 AS start, ((o_orderkey * 7919) % length + (o_orderkey * 13) % length) % length + 1 AS "end", length
+  FROM orders JOIN places ON coalesce(o_custkey, 0) % n = k)"""
+
+
 @query(f"""WITH {SCAFFOLD}
 SELECT scaf, s, e, CASE WHEN is_circular OR s <= e THEN s > e END AS span_origin, CASE WHEN s <= e THEN e - s + 1 WHEN is_circular THEN e - s + length + 1 ELSE -1 END AS seg_len
 FROM (SELECT *, CASE WHEN is_circular THEN (doc_id * 37 + 150) % length + 1 ELSE doc_id * 37 % 150 + 1 END AS s, CASE WHEN is_circular THEN (doc_id * 91 + 40) % length + 1 ELSE doc_id * 91 % 150 + 1 END AS e FROM scaffold)""")
@@ -150,6 +157,25 @@ def l10_compare_locations(spark, d):
     return islocate.compare_locations(_elements(spark, d, 0), _elements(spark, d, 3))
 
 
+@query("""WITH m AS (SELECT p_partkey AS k, 'r' || p_size % 3 AS ref, unnest([{'m': 'genbank', 'x': 0}, {'m': 'isfinder', 'x': 3}, {'m': 'isescan', 'x': 5}]) AS v, p_size FROM part),
+f AS (SELECT CAST(k AS BIGINT) AS id, ref, v.m AS method, 'IS' || (k * (1 + v.x) % 9) AS name, (k * 7919) % 50000000 + k * v.x % 83 AS s, (k * 7919) % 50000000 + k * v.x % 83 + 700 + k % 500 + k * v.x % 29 AS e FROM m WHERE v.x = 0 OR p_size <> 7),
+a AS (SELECT id, ref, name, s, e, unnest(['isescan', 'isfinder']) AS method FROM f WHERE method = 'genbank'), b AS (SELECT * FROM f WHERE method <> 'genbank'),
+p AS (SELECT a.ref, a.method, a.id AS x, b.id AS y, a.name = b.name AS same, b.s - a.s AS ds, b.e - a.e AS de, count(*) OVER (PARTITION BY a.ref, a.method, a.id) AS n
+  FROM a JOIN b ON a.ref = b.ref AND a.method = b.method AND b.s BETWEEN a.s - 50 AND a.s + 50 AND b.e BETWEEN a.e - 50 AND a.e + 50),
+best AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY ref, method, x ORDER BY same DESC, y) = 1)
+SELECT ref, method, kind, 'c' AS scaf, tn_id, other_id, CAST(ds AS BIGINT) AS start_delta, CAST(de AS BIGINT) AS end_delta FROM (
+SELECT ref, method, 'not found' AS kind, id AS tn_id, NULL AS other_id, NULL AS ds, NULL AS de FROM a WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.ref = a.ref AND p.method = a.method AND x = id)
+UNION ALL SELECT ref, method, 'not found in first', NULL, id, NULL, NULL FROM b WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.ref = b.ref AND p.method = b.method AND y = id)
+UNION ALL SELECT ref, method, 'multiple', x, y, ds, de FROM best WHERE n > 1 UNION ALL SELECT ref, method, 'name', x, y, ds, de FROM best WHERE NOT same UNION ALL SELECT ref, method, 'ends', x, y, ds, de FROM best WHERE ds <> 0 OR de <> 0)""")
+def l11_compare_methods(spark, d):
+    sizes = table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("tn_id"), F.concat(F.lit("r"), F.col("p_size") % 3).alias("ref"))
+    found = None
+    for method, shift in (("genbank", 0), ("isfinder", 3), ("isescan", 5)):
+        rows = _elements(spark, d, shift).withColumn("method", F.lit(method))
+        found = rows if found is None else found.unionByName(rows)
+    return islocate.select_method_result(found.join(sizes, "tn_id"), "genbank", ["isfinder", "isescan"])[1]
+
+
 @query("""SELECT CAST(tn AS BIGINT) AS tn_id, CAST(-2 * tn - (CASE WHEN side = 1 THEN 1 ELSE 0 END) AS BIGINT) AS num, side, CASE WHEN side = 1 THEN e ELSE s END AS pos1, -side AS dir1,
   CASE WHEN side = 1 THEN e + 1 ELSE s - 1 END AS pos2, side AS dir2, CAST(e - s + 1 AS INT) AS flanking1
 FROM (SELECT p_partkey AS tn, (p_partkey * 7919) % 50000000 AS s, (p_partkey * 7919) % 50000000 + 700 + p_partkey % 500 AS e, unnest([-1, 1]) AS side FROM part)""")
@@ -264,11 +290,11 @@ def v8_scaffold_mode(spark, d):
     return coverage.scaffold_average(v_cov(spark, d), "iso", "mode").withColumn("average", F.round("average", 6))
 
 
-def copy_number_rows(spark: SparkSession, d: str) -> DataFrame:
-    cov, cands = v_cov(spark, d), v_candidate(spark, d)
-    iso, anc = (coverage.scaffold_average(cov, c).withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
+def copy_number_rows(spark: SparkSession, d: str, cands: DataFrame | None = None, method: str = "median") -> DataFrame:
+    cov, cands = v_cov(spark, d), v_candidate(spark, d) if cands is None else cands
+    iso, anc = (coverage.scaffold_average(cov, c, method).withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
     scaf = cands.select("sample", "scaf", "cand_id").join(iso, ["sample", "scaf"]).join(anc, ["sample", "scaf"]).drop("scaf")
-    return coverage.copy_numbers(coverage.amplicon_averages(coverage.amplicon_histogram(cands, cov, 64), scaf))
+    return coverage.copy_numbers(coverage.amplicon_averages(coverage.amplicon_histogram(cands, cov, 64), scaf, method))
 
 
 AVERAGES = f"""WITH {COV}, {CANDIDATE}, scafs AS (SELECT sample, scaf, median(iso) AS si, median(anc) AS sa FROM cov GROUP BY sample, scaf),
@@ -289,6 +315,50 @@ def v10_filter_copy_number(spark, d):
     return coverage.filter_copy_number(rows).select("sample", "cand_id", "copy_number")
 
 
+POSITIONS = f"""WITH {COV}, {EVERY_CANDIDATE}, scafs AS (SELECT sample, scaf, avg(iso) AS si, avg(anc) AS sa FROM cov GROUP BY sample, scaf),
+rows AS (SELECT c.sample, cand_id, iso, anc, si, sa FROM candidate c JOIN cov v ON c.scaf = v.scaf AND c.sample = v.sample AND (CASE WHEN start <= "end" THEN pos BETWEEN start AND "end" ELSE pos >= start OR pos <= "end" END)
+  JOIN scafs s ON s.scaf = c.scaf AND s.sample = c.sample WHERE anc > 0)"""
+
+
+@query(f"""{POSITIONS}, found AS (SELECT sample, cand_id, avg(iso) AS ai, avg(anc) AS aa, avg((iso / anc) / (si / sa)) AS cn FROM rows GROUP BY ALL)
+SELECT c.sample, c.cand_id, round(ai, 6) AS iso_amplicon_avg, round(aa, 6) AS anc_amplicon_avg, round(cn, 6) AS copy_number
+FROM candidate c LEFT JOIN found f ON f.sample = c.sample AND f.cand_id = c.cand_id""")
+def v6_v7_mean(spark, d):
+    rows = copy_number_rows(spark, d, v_candidate_of_every_order(spark, d), "mean")
+    return rows.select("sample", "cand_id", *[F.round(c, 6).alias(c) for c in ("iso_amplicon_avg", "anc_amplicon_avg")], F.round("avg_norm_cov", 6).alias("copy_number"))
+
+
+@query(f"""{POSITIONS}, logs AS (SELECT sample, cand_id, 'i' AS v, ln(iso) AS y FROM rows WHERE iso > 0 UNION ALL SELECT sample, cand_id, 'a', ln(anc) FROM rows
+  UNION ALL SELECT sample, cand_id, 'r', ln((iso / anc) / (si / sa)) FROM rows WHERE iso > 0),
+stats AS (SELECT sample, cand_id, v, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.75) AS q3, min(y) AS low, max(y) AS high, count(*) AS total FROM logs GROUP BY ALL),
+bins AS (SELECT *, greatest(10, CASE WHEN q3 > q1 THEN floor((high - low) / (2 * (q3 - q1) / pow(total, 1.0 / 3))) ELSE least(50, floor(sqrt(total))) END) - 1 AS n FROM stats),
+placed AS (SELECT sample, cand_id, v, low, (high - low) / n AS step, CASE WHEN high > low THEN least(floor(round((y - low) / ((high - low) / n), 9)), n - 1) ELSE 0 END AS bin FROM logs JOIN bins USING (sample, cand_id, v)),
+counts AS (SELECT sample, cand_id, v, low, step, bin, count(*) AS n FROM placed GROUP BY ALL),
+fullest AS (SELECT *, round(exp(low + (bin + 0.5) * step), 6) AS mode FROM counts QUALIFY row_number() OVER (PARTITION BY sample, cand_id, v ORDER BY n DESC, bin) = 1)
+SELECT c.sample, c.cand_id, max(mode) FILTER (v = 'i') AS iso_amplicon_avg, max(mode) FILTER (v = 'a') AS anc_amplicon_avg, max(mode) FILTER (v = 'r') AS copy_number
+FROM candidate c LEFT JOIN fullest f ON f.sample = c.sample AND f.cand_id = c.cand_id GROUP BY c.sample, c.cand_id""")
+def v6_v7_mode(spark, d):
+    cov, cands = v_cov(spark, d), v_candidate_of_every_order(spark, d)  # modes of segments over means of scaffolds
+    iso, anc = (coverage.scaffold_average(cov, c, "mean").withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
+    scaf = cands.select("sample", "scaf", "cand_id").join(iso, ["sample", "scaf"]).join(anc, ["sample", "scaf"]).drop("scaf")
+    rows = coverage.amplicon_averages(coverage.amplicon_histogram(cands, cov, 64), scaf, "mode")
+    return rows.select("sample", "cand_id", *[F.round(c, 6).alias(c) for c in ("iso_amplicon_avg", "anc_amplicon_avg")], F.round("avg_norm_cov", 6).alias("copy_number"))
+
+
+@query(f"""WITH {COV}, {EVERY_CANDIDATE}, scafs AS (SELECT sample, scaf, median(iso) AS si, median(anc) AS sa FROM cov GROUP BY sample, scaf),
+w AS (SELECT *, CASE WHEN start > "end" THEN "end" + length ELSE "end" END - start AS span FROM candidate),
+x AS (SELECT *, start - floor(span * 0.2) AS first, start + span + floor(span * 0.2) AS last FROM w),
+rows AS (SELECT x.sample, cand_id, iso, anc, si, sa FROM x JOIN cov v ON x.scaf = v.scaf AND x.sample = v.sample AND (last - first + 1 >= length OR ((pos - first) % length + length) % length <= last - first)
+  JOIN scafs s ON s.scaf = x.scaf AND s.sample = x.sample),
+e AS (SELECT sample, cand_id, quantile_cont(iso, 0.01) / si AS i1, quantile_cont(iso, 0.99) / si AS i99, quantile_cont(anc, 0.01) / sa AS a1, quantile_cont(anc, 0.99) / sa AS a99 FROM rows GROUP BY sample, cand_id, si, sa)
+SELECT sample, cand_id, round(greatest(least(i1, a1) / 1.1, 0.1), 6) AS low, round(greatest(i99, a99) * 1.1, 6) AS high FROM e""")
+def v11_profile_limits(spark, d):
+    cov, cands = v_cov(spark, d), v_candidate_of_every_order(spark, d)
+    iso, anc = (coverage.scaffold_average(cov, c).withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
+    scaf = cands.select("sample", "scaf", "cand_id").join(iso, ["sample", "scaf"]).join(anc, ["sample", "scaf"]).drop("scaf")
+    return coverage.profile_limits(cands, cov, scaf, block=64).select("sample", "cand_id", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
+
+
 @query()
 def v11_coverage_profile(spark, d):
     cov, cands = v_cov(spark, d), v_candidate_of_every_order(spark, d)
@@ -345,14 +415,14 @@ def y6_match_reads(spark, d):
 
 def v_aln(spark: SparkSession, d: str) -> DataFrame:
     e = F.col("event_id")
-    rows = table(spark, d, "events").filter("event_type <> 'error'")
+    rows = table(spark, d, "events")
     start = e * 37 % 500
-    return rows.select(F.lit("x").alias("sample"), F.floor(e / 3003).alias("candidate"), (F.floor(e / 3) % 7 + 1).alias("junction"), F.floor(e / 3).alias("read_id"), (e % 3 % 2 == 1).alias("is_reverse"), start.alias("start"), (start + 90 + e * 13 % 70).alias("end"), (-(e % 31)).alias("score"), (e % 5).alias("mismatches"), e.alias("aln_index"), F.lit(0).alias("flag"), F.lit("100M").alias("cigar"))
+    return rows.select(F.lit("x").alias("sample"), F.floor(e / 3003).alias("candidate"), (F.floor(e / 3) % 7 + 1).alias("junction"), F.floor(e / 3).alias("read_id"), (e % 3 % 2 == 1).alias("is_reverse"), start.alias("start"), (start + 90 + e * 13 % 70).alias("end"), (-(e % 31)).alias("score"), (e % 5).alias("mismatches"), e.alias("aln_index"), F.when(F.col("event_type") == "error", 4).otherwise(0).alias("flag"), F.lit("100M").alias("cigar"))
 
 
 ALN = """aln AS (SELECT event_id // 3003 AS candidate, event_id // 3 % 7 + 1 AS junction, event_id // 3 AS read_id, event_id % 3 % 2 = 1 AS is_reverse, event_id * 37 % 500 AS start,
-  event_id * 37 % 500 + 90 + event_id * 13 % 70 AS "end", -(event_id % 31) AS score, event_id % 5 AS mismatches, event_id AS aln_index FROM events WHERE event_type <> 'error'),
-passed AS (SELECT * FROM aln WHERE "end" - start >= 120 / 1.1 AND "end" - start <= 120 * 1.1 AND score >= -25 AND mismatches <= 3),
+  event_id * 37 % 500 + 90 + event_id * 13 % 70 AS "end", -(event_id % 31) AS score, event_id % 5 AS mismatches, event_id AS aln_index, event_type <> 'error' AS mapped FROM events),
+passed AS (SELECT * FROM aln WHERE mapped AND "end" - start >= 120 / 1.1 AND "end" - start <= 120 * 1.1 AND score >= -25 AND mismatches <= 3),
 best AS (SELECT * FROM passed QUALIFY row_number() OVER (PARTITION BY candidate, junction, read_id, is_reverse ORDER BY score DESC, aln_index) = 1)"""
 PAIRED = f"""{ALN}, two AS (SELECT candidate, junction, read_id, count(*) AS n, max(CASE WHEN NOT is_reverse THEN start END) AS fs, max(CASE WHEN NOT is_reverse THEN "end" END) AS fe, max(CASE WHEN is_reverse THEN start END) AS rs, max(CASE WHEN is_reverse THEN "end" END) AS re FROM best GROUP BY ALL),
 mates AS (SELECT candidate, junction, read_id, n, n = 2 AND NOT fs < re AS swapped, CASE WHEN (n = 2 AND NOT fs < re) OR fs IS NULL THEN rs ELSE fs END AS s1, CASE WHEN (n = 2 AND NOT fs < re) OR fe IS NULL THEN re ELSE fe END AS e1,
@@ -387,6 +457,33 @@ def n8_link_pairs(spark, d):
     return alignments.link_pairs(best_rows(spark, d)).drop("sample")
 
 
+@query(f"""WITH {ALN}, s AS (SELECT candidate, junction, read_id, count(*) AS hits FROM aln GROUP BY ALL),
+p AS (SELECT candidate, junction, read_id, is_reverse, count(*) AS n FROM passed GROUP BY ALL),
+b AS (SELECT b.*, p.n FROM best b JOIN p USING (candidate, junction, read_id, is_reverse)),
+r AS (SELECT s.*, coalesce(f.n, 0) AS nf, coalesce(v.n, 0) AS nr, f.start AS fs, f."end" AS fe, v.start AS rs, v."end" AS re FROM s
+  LEFT JOIN (SELECT * FROM b WHERE NOT is_reverse) f USING (candidate, junction, read_id) LEFT JOIN (SELECT * FROM b WHERE is_reverse) v USING (candidate, junction, read_id))
+SELECT candidate, CAST(sum(hits) AS BIGINT) AS n_hits, CAST(sum(nf + nr) AS BIGINT) AS n_passed, CAST(sum(nf) AS BIGINT) AS n_forward, CAST(sum(nr) AS BIGINT) AS n_reverse,
+  count(*) FILTER (nf > 0) AS n_forward_strands, count(*) FILTER (nf > 1) AS n_forward_multi, count(*) FILTER (nr > 0) AS n_reverse_strands, count(*) FILTER (nr > 1) AS n_reverse_multi,
+  count(*) FILTER (nf > 0 OR nr > 0) AS n_reads, count(*) FILTER (nf > 0 AND nr > 0 AND fs < re) AS n_normal_pairs, count(*) FILTER (nf > 0 AND nr > 0 AND NOT fs < re) AS n_swapped_pairs,
+  round(avg(fe - rs) FILTER (nf > 0 AND nr > 0 AND fs < re), 6) AS normal_overlap, round(avg(re - fs) FILTER (nf > 0 AND nr > 0 AND NOT fs < re), 6) AS swapped_overlap FROM r GROUP BY candidate""")
+def n15_alignment_stats(spark, d):
+    n = F.col("end") - F.col("start")
+    passed = (F.col("flag") == 0) & (n >= 120 / 1.1) & (n <= 120 * 1.1) & (F.col("score") >= -25) & (F.col("mismatches") <= 3)
+    return alignments.alignment_stats(v_aln(spark, d), passed).drop("sample").withColumns({c: F.round(c, 6) for c in ("normal_overlap", "swapped_overlap")})
+
+
+@query("""WITH e AS (SELECT event_id AS read_id, event_id * 37 % 500 AS start, 20 + event_id % 30 AS a, 1 + event_id % 3 AS b, 1 + event_id % 4 AS c FROM events),
+o AS (SELECT read_id, start + x.at - 300 AS f, x.kind AS kind, x.len AS len FROM (SELECT *, unnest([{'kind': 'match', 'at': 0, 'len': a}, {'kind': 'mismatch', 'at': a, 'len': b}, {'kind': 'match', 'at': a + b, 'len': 10},
+  {'kind': 'insertion', 'at': a + b + 10, 'len': 0}, {'kind': 'deletion', 'at': a + b + 10, 'len': c}, {'kind': 'match', 'at': a + b + 10 + c, 'len': 30}]) AS x FROM e))
+SELECT read_id, kind, CAST(f AS DOUBLE) AS "from", CAST(f + len AS DOUBLE) AS "to" FROM o
+UNION ALL SELECT read_id, 'snp', f + i + 0.5, f + i + 0.5 FROM (SELECT *, unnest(range(0, len)) AS i FROM o WHERE kind = 'mismatch')""")
+def n17_alignment_segments(spark, d):
+    e = F.col("event_id")
+    cigar = F.concat((20 + e % 30).cast("string"), F.lit("M"), (1 + e % 3).cast("string"), F.lit("X10=2I"), (1 + e % 4).cast("string"), F.lit("D30="))
+    hits = table(spark, d, "events").select(F.lit("x").alias("sample"), F.lit(0).alias("candidate"), F.lit(1).alias("junction"), e.alias("read_id"), (e * 37 % 500).alias("start"), cigar.alias("cigar"))
+    return alignments.alignment_segments(hits, F.lit(300)).select("read_id", "kind", "from", "to")
+
+
 def read_counts(spark, d):
     mates = alignments.link_pairs(best_rows(spark, d))
     kind = lambda p: F.when(F.col(f"{p}_start").isNotNull(), alignments.read_type(F.col(f"{p}_start") + 1, F.col(f"{p}_end"), F.lit(300), 13, F.lit(290)))
@@ -461,6 +558,17 @@ def a9_read_label_confusion(spark, d):
     return classify.read_label_confusion(rows("event_type <> 'error'", F.col("event_id") % 3), rows("event_type NOT IN ('view', 'click')", (F.col("event_id") * 7 + F.col("user_id")) % 3))
 
 
+@query("""WITH l AS (SELECT event_id AS r, ['left', 'span', 'right'][event_id % 3 + 1] AS x, ['left', 'span', 'right'][(event_id * 7 + user_id) % 3 + 1] AS y, event_type AS t FROM events),
+a AS (SELECT r, x FROM l WHERE t <> 'error'), b AS (SELECT r, y FROM l WHERE t <> 'view' AND t <> 'click')
+SELECT r AS read_id, coalesce(x, 'none') AS label_a, coalesce(y, 'none') AS label_b FROM a FULL JOIN b USING (r) WHERE coalesce(x, 'none') <> coalesce(y, 'none')""")
+def a9_disagreements(spark, d):
+    e = table(spark, d, "events")
+    pick = lambda i: F.get(F.array(F.lit("left"), F.lit("span"), F.lit("right")), i.cast("int"))
+    rows = lambda w, i: e.filter(w).select(F.col("event_id").alias("read_id"), F.lit(1).alias("junction"), pick(i).alias("label"))
+    out = classify.read_label_disagreements(rows("event_type <> 'error'", F.col("event_id") % 3), rows("event_type NOT IN ('view', 'click')", (F.col("event_id") * 7 + F.col("user_id")) % 3))
+    return out.select("read_id", "label_a", "label_b")
+
+
 @query("""WITH a AS (SELECT l_suppkey AS scaf, l_partkey * 31 % 100003 AS pos FROM lineitem), b AS (SELECT DISTINCT o_custkey % 100 + 1 AS scaf, o_orderkey * 7919 % 100003 AS pos FROM orders),
 n AS (SELECT a.scaf, a.pos, p.pos AS before FROM a ASOF LEFT JOIN b p ON a.scaf = p.scaf AND a.pos >= p.pos), m AS (SELECT n.*, q.pos AS after FROM n ASOF LEFT JOIN b q ON n.scaf = q.scaf AND n.pos <= q.pos)
 SELECT scaf, pos, least(pos - before, after - pos) AS gap FROM m""")
@@ -496,6 +604,24 @@ def a13_run_durations(spark, d):
     return status.run_durations(v_run(spark, d)).select("run_id", "duration_sec", "exit_code")
 
 
+@query("""WITH runs AS (SELECT 'o' || o_orderkey AS sample, CASE WHEN o_orderkey % 3 > 0 THEN 'o' || (o_orderkey - o_orderkey % 3) END AS anc, 'd' || o_custkey AS ref FROM orders),
+refs AS (SELECT DISTINCT 'd' || doc_id AS ref FROM documents), size AS (SELECT 'o' || l_orderkey AS sample, count(*) AS n FROM lineitem GROUP BY 1),
+cov AS (SELECT DISTINCT 'o' || l_orderkey AS sample FROM lineitem WHERE l_quantity > 10), rd AS (SELECT DISTINCT 'o' || l_orderkey AS sample FROM lineitem WHERE l_discount > 0.02),
+x AS (SELECT r.*, n, concat_ws('; ', CASE WHEN f.ref IS NULL THEN 'reference not found' END, CASE WHEN n IS NULL THEN 'no junction file' END, CASE WHEN c.sample IS NULL THEN 'no coverage' END, CASE WHEN d.sample IS NULL THEN 'no reads' END,
+  CASE WHEN anc IS NOT NULL AND ca.sample IS NULL THEN 'no coverage of the ancestor' END, CASE WHEN anc IS NOT NULL AND da.sample IS NULL THEN 'no reads of the ancestor' END) AS wrong
+  FROM runs r LEFT JOIN refs f ON f.ref = r.ref LEFT JOIN size s ON s.sample = r.sample LEFT JOIN cov c ON c.sample = r.sample LEFT JOIN rd d ON d.sample = r.sample LEFT JOIN cov ca ON ca.sample = r.anc LEFT JOIN rd da ON da.sample = r.anc)
+SELECT sample, anc, ref, CASE WHEN wrong <> '' THEN 'failed' WHEN n > 4 THEN 'terminated' ELSE 'started' END AS state, CASE WHEN wrong <> '' OR n > 4 THEN 1 END AS exit_code,
+  CASE WHEN wrong <> '' THEN wrong WHEN n > 4 THEN 'junction file of ' || n || ' lines' END AS error FROM x""")
+def a13_admit_runs(spark, d):
+    name = lambda c: F.concat(F.lit("o"), c).alias("sample")
+    k = F.col("o_orderkey")
+    runs = table(spark, d, "orders").select(name(k), F.when(k % 3 > 0, F.concat(F.lit("o"), k - k % 3)).alias("anc"), F.concat(F.lit("d"), "o_custkey").alias("ref"))
+    refs = table(spark, d, "documents").select(F.concat(F.lit("d"), "doc_id").alias("ref"))
+    lines = table(spark, d, "lineitem")
+    key = name(F.col("l_orderkey"))
+    return cohort.admit_runs(runs, refs, lines.select(key), lines.filter("l_quantity > 10").select(key), lines.filter("l_discount > 0.02").select(key), 4).select("sample", "anc", "ref", "state", "exit_code", "error")
+
+
 @query("""WITH s AS (SELECT o_orderkey AS run, CASE WHEN o_orderkey % 9 <> 0 THEN 'r' || o_custkey END AS ref_name, CASE WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS path, o_custkey % 3 <> 0 AS ncbi,
   coalesce(CASE o_custkey % 5 WHEN 0 THEN 'isescan' WHEN 1 THEN 'blast' WHEN 2 THEN 'isfinder' END, 'genbank') AS method, CASE WHEN o_orderkey % 2 = 0 THEN 'isescan' ELSE 'isfinder' END AS compared,
   coalesce(CASE o_orderkey % 4 WHEN 0 THEN 'mean' WHEN 1 THEN 'best' END, 'median') AS average FROM orders)

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import gzip
+import io
+import re
+from collections.abc import Callable, Iterator
+from itertools import batched, islice
+from urllib.parse import unquote
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 BLAST = "query string, subject string, percent_identical double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, evalue double, bitscore double"
 #: Positional fields of the record types that are kept (fixed values).
@@ -28,35 +36,67 @@ def sample_of() -> Column:
     return F.regexp_extract(F.input_file_name(), r"([^/]+)/(?:(?:output|data|08_mutation_identification)/)?[^/]+$", 1)
 
 
-def scan_fastq(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """file, id, seq, qual. Records are four lines, so a file is one split, read as a stream up to ``limit`` reads; an
-    unfinished last record is left out. Files of 2 GB or more cannot be read."""
+class FastqSource(DataSource):
+    """Reads of FASTQ files (paths, one a line; limit; conf), a partition for each file, decompressed from the file system as a
+    stream: no file is held whole, and with a limit only its head is read."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "fastq_reads"
+
+    def schema(self) -> str:
+        return "file string, id string, seq string, qual string"
 
-    def records(pdfs):
-        import gzip
-        import io
-        from itertools import batched, islice
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return FastqReader(self.options)
 
-        import pandas as pd
 
-        for pdf in pdfs:
-            for file, content in zip(pdf["file"], pdf["content"], strict=True):
-                raw = io.BytesIO(content)
-                lines = (x.rstrip("\r\n") for x in io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw))
-                found = (r for r in islice(batched(lines, 4), limit) if len(r) == 4)
-                for some in batched(found, FASTQ_BATCH):
-                    ids, seqs, _, quals = zip(*some, strict=True)
-                    yield pd.DataFrame({"file": file, "id": [x[1:].split(" ")[0] for x in ids], "seq": seqs, "qual": quals})
+class FastqReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.files, limit = options["files"].split("\n"), options.get("limit")
+        self.limit = int(limit) if limit else None
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.fastq*").load(path).select(F.col("path").alias("file"), "content")
-    return files.mapInPandas(records, "file string, id string, seq string, qual string")
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(f) for f in self.files]
 
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        kinds = pa.schema([(c, pa.string()) for c in ("file", "id", "seq", "qual")])
+        with open_stream(partition.value) as raw:
+            head = raw.peek(2)[:2]
+            lines = (x.rstrip("\r\n") for x in io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if head == b"\x1f\x8b" else raw))
+            found = (r for r in islice(batched(lines, 4), self.limit) if len(r) == 4)
+            for some in batched(found, FASTQ_BATCH):
+                ids, seqs, _, quals = zip(*some, strict=True)
+                yield pa.RecordBatch.from_pydict({"file": [partition.value] * len(ids), "id": [x[1:].split(" ")[0] for x in ids], "seq": seqs, "qual": quals}, schema=kinds)
 
-def scan_genbank(spark: SparkSession, path: str) -> DataFrame:
+
+def open_stream(path: str) -> io.BufferedReader:
+    """A file as a buffered stream: local ones by Python, others by Arrow's file systems (HDFS, S3, GCS)."""
+    scheme, _, rest = path.partition(":")
+    if not rest or scheme == "file":
+        return open(unquote(re.sub(r"^file:/+", "/", path)), "rb")  # noqa: SIM115
+    system, place = pa.fs.FileSystem.from_uri(path)
+    return io.BufferedReader(system.open_input_stream(place, compression=None))
+
+
+def scan_fastq(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """file, id, seq, qual, up to ``limit`` reads a file. Records are four lines, so a file is one partition; an unfinished last
+    record is left out. Files may be of any size."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.fastq*").load(path).select("path")
+    files = [r.path for r in found.collect()]  # names alone, one for each partition
+    if not files:
+        return spark.createDataFrame([], "file string, id string, seq string, qual string")
+    spark.dataSource.register(FastqSource)
+    rows = spark.read.format("fastq_reads").option("files", "\n".join(sorted(files)))
+    return (rows.option("limit", limit) if limit is not None else rows).load()
+
+
+def scan_genbank(spark: SparkSession, path: str, with_ref: bool = False) -> DataFrame:
     """scaf (LOCUS name), topology, seq in capitals, length, and features: array of struct(type, start0, end, strand,
-    qualifiers map<string, array<string>>), with the outer ends of joined locations. A row for each record."""
+    qualifiers map<string, array<string>>), with the outer ends of joined locations. A row for each record. ``with_ref``: and ref, the name of its file."""
     text = F.regexp_replace("value", "\r", "")
-    rows = spark.read.option("lineSep", "\n//").text(path).select(text.alias("t")).filter(F.col("t").rlike(r"(?m)^LOCUS\s"))
+    ref = [F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]*)?$", 1).alias("ref")] if with_ref else []
+    rows = spark.read.option("lineSep", "\n//").text(path).select(*ref, text.alias("t")).filter(F.col("t").rlike(r"(?m)^LOCUS\s"))
     locus = F.regexp_extract("t", r"(?m)^LOCUS\s+(.*)$", 1)
     has_seq = F.col("t").contains("\nORIGIN")
     seq = F.when(has_seq, F.upper(F.regexp_replace(F.regexp_replace(F.substring_index("t", "\nORIGIN", -1), r"^[^\n]*", ""), "[^A-Za-z]", ""))).otherwise("")
@@ -72,7 +112,7 @@ def scan_genbank(spark: SparkSession, path: str) -> DataFrame:
         values = F.transform(names, lambda n: F.transform(F.filter(pairs, lambda q: q["k"] == n), lambda q: q["v"]))
         return F.struct(F.regexp_extract(parts[0], r"^(\S+)", 1).alias("type"), (F.array_min(ends) - 1).alias("start0"), F.array_max(ends).alias("end"), F.when(place.startswith("complement"), -1).otherwise(1).alias("strand"), F.map_from_arrays(names, values).alias("qualifiers"))
 
-    return rows.select(F.split(locus, r"\s+")[0].alias("scaf"), F.nullif(F.regexp_extract(locus, r"\b(circular|linear)\b", 1), F.lit("")).alias("topology"), seq.alias("seq"), F.length(seq).alias("length"), F.transform(blocks, feature).alias("features"))
+    return rows.select(*["ref"] * with_ref, F.split(locus, r"\s+")[0].alias("scaf"), F.nullif(F.regexp_extract(locus, r"\b(circular|linear)\b", 1), F.lit("")).alias("topology"), seq.alias("seq"), F.length(seq).alias("length"), F.transform(blocks, feature).alias("features"))
 
 
 def genbank_features(records: DataFrame) -> DataFrame:

@@ -37,11 +37,24 @@ def write_read_buckets(hits: DataFrame, path: str) -> None:
     rows.write.partitionBy("junction", "read_type").option("header", True).csv(path)
 
 
-def write_summary(amplicons: DataFrame, transpositions: DataFrame, path: str) -> None:
-    """One JSON text per sample with its amplicons and transpositions."""
-    lists = lambda df, name: df.groupBy("sample").agg(F.array_sort(F.collect_list(F.struct(*[c for c in df.columns if c != "sample"]))).alias(name))
+def write_summary(amplicons: DataFrame, transpositions: DataFrame, path: str, runs: DataFrame | None = None) -> None:
+    """One JSON text per sample with its amplicons and transpositions, in the order of their pairs. ``runs`` (sample, anc, ref,
+    read_length, anc_read_length) gives the block about the sample, and samples without either."""
+
+    def lists(df: DataFrame, name: str) -> DataFrame:
+        fields = [c for c in df.columns if c not in ("sample", "pair_id")]
+        first = ["pair_id"] if "pair_id" in df.columns else []
+        rows = df.groupBy("sample").agg(F.array_sort(F.collect_list(F.struct(*first, F.struct(*fields).alias("row")))).alias(name))
+        return rows.withColumn(name, F.transform(name, lambda x: x["row"]))
+
     both = lists(amplicons, "amplicons").join(lists(transpositions, "transpositions"), "sample", "full_outer")
-    both.select(F.to_json(F.struct("sample", "amplicons", "transpositions")).alias("value")).write.text(path)
+    told = F.col("sample")
+    if runs is not None:
+        both = runs.join(both, "sample", "left")
+        lengths = F.struct(F.col("read_length").alias("isolate"), F.col("anc_read_length").alias("ancestor"))
+        told = F.struct(F.col("sample").alias("isolate"), F.col("anc").alias("ancestor"), F.col("ref").alias("reference"), lengths.alias("read_lengths"))
+    lists_of = [F.coalesce(F.col(c), F.array().cast(both.schema[c].dataType)).alias(c) for c in ("amplicons", "transpositions")]
+    both.select(F.to_json(F.struct(told.alias("sample"), *lists_of)).alias("value")).write.text(path)
 
 
 def append_run_status(runs: DataFrame, path: str) -> None:

@@ -343,3 +343,55 @@ def test_repetitive_seeds_are_salted(spark):
     words = spark.range(100).select(F.lit(1).alias("seed"), F.col("id").alias("p"))
     a, b = reads.salted_seeds(seeds, words, 5)
     assert a.join(b, ["seed", "salt"]).count() == 13 * 100 and b.groupBy("salt").count().agg(F.max("count")).head()[0] < 20
+
+
+def test_length_gate_and_its_reasons(spark):
+    rows = spark.createDataFrame([("s", "locus-joining", n) for n in (99, 100, 500, 1_000_000, 1_000_001)] + [("s", "transposition", 50), ("t", "reference-tn", 500)], "sample string, base_event string, length long")
+    got = {r["sample"]: (r.n_locus_joining, r.n_too_long, r.n_too_short, r.n_kept) for r in coverage.length_gate_counts(rows).collect()}
+    assert got == {"s": (5, 1, 1, 3), "t": (0, 0, 0, 0)}
+    assert sorted(r.length for r in coverage.length_gate(rows).collect()) == [100, 500, 1_000_000]
+
+
+def test_count_arithmetic(spark):
+    fields = ", ".join(f"{t} long" for t in alignments.READ_TYPES)
+    a = spark.createDataFrame([("s", "c", 1, *range(1, 9)), ("s", "c", 2, *[5] * 8)], f"sample string, candidate string, junction int, {fields}")
+    b = spark.createDataFrame([("s", "c", 1, *[2] * 8), ("s", "c", 3, *[7] * 8)], f"sample string, candidate string, junction int, {fields}")
+    of = lambda df: {r["junction"]: ([r[t] for t in alignments.READ_TYPES], r["total"]) for r in df.collect()}
+    assert of(alignments.count_arithmetic(a, b, "+")) == {1: ([3, 4, 5, 6, 7, 8, 9, 10], 52), 2: ([5] * 8, 40), 3: ([7] * 8, 56)}
+    assert of(alignments.count_arithmetic(a, b, "/"))[1][0] == [n / 2 for n in range(1, 9)] and of(alignments.count_arithmetic(a, b, "/"))[2] == ([None] * 8, None)
+    assert of(alignments.count_arithmetic(a, b, "//"))[1][0] == [n // 2 for n in range(1, 9)]
+    assert of(alignments.count_arithmetic(a, 3, "max"))[1][0] == [3, 3, 3, 4, 5, 6, 7, 8]
+    assert of(alignments.count_arithmetic(a, 2, "-"))[2] == ([3] * 8, 24)
+
+
+def test_nearest_gap_over_bins(spark):
+    """Bins and groups of bins of small sizes, repeated positions, negative ones, a scaffold that the other set lacks."""
+    rng = random.Random(4)
+    a, b = ([(rng.choice("xy"), rng.randint(-50, 400)) for _ in range(n)] for n in (120, 12))
+    a += [("x", 77)] * 40 + [("z", 5)]
+    frame = lambda rows: spark.createDataFrame(rows, "scaf string, pos long")
+    want = sorted((s, p, min((abs(p - q) for t, q in b if t == s), default=None)) for s, p in a if s != "z") + [("z", 5, None)]
+    for width, group in ((3, 2), (50, 3), (4096, 4096)):
+        assert sorted(map(tuple, classify.nearest_position_gap(frame(a), frame(b), width, group).collect())) == want
+
+
+def test_limits_of_a_profile(spark):
+    """Percentiles of the window's values over the scaffold averages, by numpy."""
+    import numpy as np
+
+    rng = random.Random(6)
+    iso, anc = [rng.randint(0, 60) for _ in range(500)], [rng.randint(5, 20) for _ in range(500)]
+    cov = spark.createDataFrame([("s", "c", i + 1, iso[i], anc[i]) for i in range(500)], "sample string, scaf string, pos long, iso int, anc int")
+    cands = spark.createDataFrame([("s", "c", 1, 100, 199, 500), ("s", "c", 2, 450, 49, 500), ("s", "c", 3, 1, 480, 500)], "sample string, scaf string, cand_id int, start long, end long, length long")
+    scaf = spark.createDataFrame([("s", i, 20.0, 10.0) for i in (1, 2, 3)], "sample string, cand_id int, iso_scaf_avg double, anc_scaf_avg double")
+    windows = {1: range(81, 219), 2: [(p - 1) % 500 + 1 for p in range(431, 569)], 3: range(1, 501)}
+    for r in coverage.profile_limits(cands, cov, scaf, block=32).collect():
+        x, y = ([v[p - 1] / avg for p in windows[r.cand_id]] for v, avg in ((iso, 20), (anc, 10)))
+        low, high = min(np.percentile(x, 1), np.percentile(y, 1)), max(np.percentile(x, 99), np.percentile(y, 99))
+        assert (r.low, r.high) == pytest.approx((max(low / 1.1, 0.1), high * 1.1))
+
+
+def test_names_after_colons_and_blanks(spark):
+    rows = [("mobile_element", {"mobile_element_type": [t]}, 0, 9, 1) for t in ("insertion sequence:IS1", "insertion sequence : IS2", "Insertion sequence IS3", "transposon:Tn1")]
+    df = spark.createDataFrame(rows, "type string, qualifiers map<string, array<string>>, start0 int, end int, strand int").selectExpr("*", "'r' AS ref", "'c' AS scaf")
+    assert sorted(r.tn_name for r in islocate.is_features(df).collect()) == ["IS1", "IS2", "IS3"]
