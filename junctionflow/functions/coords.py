@@ -116,6 +116,12 @@ def segment_sides(orientation: Column, start: Column, end: Column) -> Column:
     return F.struct(F.when(orientation >= 0, start).otherwise(end).alias("left"), F.when(orientation >= 0, end).otherwise(start).alias("right"))
 
 
+def segment_ends(orientation: Column, left: Column, right: Column) -> Column:
+    """struct(start, end) of the segment with these sides; the inverse of ``segment_sides``."""
+    sides = segment_sides(orientation, left, right)
+    return F.struct(sides["left"].alias("start"), sides["right"].alias("end"))
+
+
 def scaffold_ranges(scaffolds: DataFrame) -> DataFrame:
     """scaffolds (ref, scaf, length) with range_start, range_end: 0-based ranges on the concatenated genome."""
     before = F.sum("length").over(Window.partitionBy("ref").orderBy("scaf").rowsBetween(Window.unboundedPreceding, -1))

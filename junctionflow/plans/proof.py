@@ -36,13 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def v_scaffold(spark: SparkSession, d: str, least: int = 200) -> DataFrame:
-    seq = F.translate(F.regexp_replace("text", "[^A-Za-z]", ""), UPPER, BASE)
+    seq = F.translate(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", ""), UPPER, BASE)
     rows = table(spark, d, "documents").select("doc_id", F.concat(F.lit("d"), "doc_id").alias("scaf"), F.col("source").alias("ref"), seq.alias("seq"), (F.col("doc_id") % 2 == 0).alias("is_circular"))
-    return rows.withColumn("length", F.length("seq")).filter(F.coalesce("length", F.lit(0)) >= least)
+    return rows.withColumn("length", F.length("seq")).filter(F.col("length") >= least)
 
 
 SCAFFOLD = f"""scaffold AS (SELECT *, length(seq) AS length FROM (SELECT doc_id, 'd' || doc_id AS scaf, source AS ref,
-  translate(regexp_replace(text, '[^A-Za-z]', '', 'g'), '{UPPER}', '{BASE}') AS seq, doc_id % 2 = 0 AS is_circular FROM documents) WHERE length(seq) >= 200)"""
+  translate(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g'), '{UPPER}', '{BASE}') AS seq, doc_id % 2 = 0 AS is_circular FROM documents) WHERE length(seq) >= 200)"""
+EVERY_SCAFFOLD = SCAFFOLD.removesuffix(" WHERE length(seq) >= 200)") + ")"
 
 
 def v_cov(spark: SparkSession, d: str) -> DataFrame:
@@ -56,16 +57,8 @@ COV = """cov AS (SELECT l_suppkey % 5 AS sample, 's' || l_suppkey AS scaf,
   CAST(l_quantity AS INT) % 50 AS iso, CAST(round(l_discount * 100) AS INT) AS anc FROM lineitem)"""
 
 
-def v_candidate(spark: SparkSession, d: str) -> DataFrame:
-    """Segments on the suppliers' scaffolds, one for each order of a customer number that is a supplier; some wrap."""
-    sizes = v_cov(spark, d).groupBy("sample", "scaf").agg(F.max("pos").alias("length"))
-    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("cand_id"), F.concat(F.lit("s"), F.col("o_custkey")).alias("scaf"))
-    start = (F.col("cand_id") * 7919) % F.col("length") + 1
-    return orders.join(sizes, "scaf").select("sample", "scaf", "cand_id", start.alias("start"), ((start - 1 + (F.col("cand_id") * 13) % F.col("length")) % F.col("length") + 1).alias("end"), "length")
-
-
 def v_candidate_of_every_order(spark: SparkSession, d: str) -> DataFrame:
-    """As v_candidate, with a segment for every order: customer numbers are dealt over the suppliers' scaffolds in turn."""
+    """Segments on the suppliers' scaffolds, one for each order, whose customer number deals it out; some wrap."""
     sizes = v_cov(spark, d).groupBy("sample", "scaf").agg(F.max("pos").alias("length"))
     places = sizes.selectExpr("*", "row_number() OVER (ORDER BY scaf, sample) - 1 AS k", "count(*) OVER () AS n")  # a row for each scaffold
     orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("cand_id"), "o_custkey").join(F.broadcast(places.agg(F.max("n").alias("n"))))
@@ -74,11 +67,6 @@ def v_candidate_of_every_order(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("sample", "scaf", "cand_id", start.alias("start"), ((start - 1 + (F.col("cand_id") * 13) % F.col("length")) % F.col("length") + 1).alias("end"), "length")
 
 
-CANDIDATE = """sizes AS (SELECT sample, scaf, max(pos) AS length FROM cov GROUP BY sample, scaf),
-candidate AS (SELECT sample, scaf, o_orderkey AS cand_id, (o_orderkey * 7919) % length + 1 AS start, ((o_orderkey * 7919) % length + (o_orderkey * 13) % length) % length + 1 AS "end", length
-  FROM orders JOIN sizes ON scaf = 's' || o_custkey)"""
-
-
 EVERY_CANDIDATE = """sizes AS (SELECT sample, scaf, max(pos) AS length FROM cov GROUP BY sample, scaf),
 places AS (SELECT *, row_number() OVER (ORDER BY scaf, sample) - 1 AS k, count(*) OVER () AS n FROM sizes),
 candidate AS (SELECT sample, scaf, o_orderkey AS cand_id, (o_orderkey * 7919) % length + 1 AS start, ((o_orderkey * 7919) % length + (o_orderkey * 13) % length) % length + 1 AS "end", length
@@ -110,15 +98,15 @@ def c10_junction_sequences(spark, d):
     return v_scaffold(spark, d).select("scaf", coords.junction_seq_1to2(seq, a, circ, seq, b, circ).alias("seq12"), coords.junction_seq_2to1(seq, a, circ, seq, b, circ).alias("seq21"))
 
 
-@query(f"""WITH {SCAFFOLD} SELECT ref, scaf, CAST(coalesce(sum(length) OVER (PARTITION BY ref ORDER BY scaf ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS range_start,
+@query(f"""WITH {EVERY_SCAFFOLD} SELECT ref, scaf, CAST(coalesce(sum(length) OVER (PARTITION BY ref ORDER BY scaf ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS range_start,
   CAST(sum(length) OVER (PARTITION BY ref ORDER BY scaf) AS BIGINT) AS range_end FROM scaffold""")
 def c11_scaffold_ranges(spark, d):
-    return coords.scaffold_ranges(v_scaffold(spark, d).select("ref", "scaf", "length")).select("ref", "scaf", F.col("range_start").cast("long"), F.col("range_end").cast("long"))
+    return coords.scaffold_ranges(v_scaffold(spark, d, 0).select("ref", "scaf", "length")).select("ref", "scaf", F.col("range_start").cast("long"), F.col("range_end").cast("long"))
 
 
-@query(f"WITH {SCAFFOLD} SELECT ref, CAST(sum(length) AS BIGINT) AS genome_length FROM scaffold GROUP BY ref")
+@query(f"WITH {EVERY_SCAFFOLD} SELECT ref, CAST(sum(length) AS BIGINT) AS genome_length FROM scaffold GROUP BY ref")
 def c12_genome_length(spark, d):
-    return coords.genome_length(v_scaffold(spark, d))
+    return coords.genome_length(v_scaffold(spark, d, 0))
 
 
 @query("""WITH h AS (SELECT l_orderkey AS query, 't' || l_partkey AS subject, l_linenumber * 100 + l_partkey % 130 AS qstart, l_linenumber * 100 + l_partkey % 130 + 40 + l_suppkey % 60 AS qend,
@@ -291,13 +279,13 @@ def v8_scaffold_mode(spark, d):
 
 
 def copy_number_rows(spark: SparkSession, d: str, cands: DataFrame | None = None, method: str = "median") -> DataFrame:
-    cov, cands = v_cov(spark, d), v_candidate(spark, d) if cands is None else cands
+    cov, cands = v_cov(spark, d), v_candidate_of_every_order(spark, d) if cands is None else cands
     iso, anc = (coverage.scaffold_average(cov, c, method).withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
     scaf = cands.select("sample", "scaf", "cand_id").join(iso, ["sample", "scaf"]).join(anc, ["sample", "scaf"]).drop("scaf")
     return coverage.copy_numbers(coverage.amplicon_averages(coverage.amplicon_histogram(cands, cov, 64), scaf, method))
 
 
-AVERAGES = f"""WITH {COV}, {CANDIDATE}, scafs AS (SELECT sample, scaf, median(iso) AS si, median(anc) AS sa FROM cov GROUP BY sample, scaf),
+AVERAGES = f"""WITH {COV}, {EVERY_CANDIDATE}, scafs AS (SELECT sample, scaf, median(iso) AS si, median(anc) AS sa FROM cov GROUP BY sample, scaf),
 rows AS (SELECT c.sample, cand_id, iso, anc, si, sa FROM candidate c JOIN cov v ON c.scaf = v.scaf AND c.sample = v.sample AND (CASE WHEN start <= "end" THEN pos BETWEEN start AND "end" ELSE pos >= start OR pos <= "end" END)
   JOIN scafs s ON s.scaf = c.scaf AND s.sample = c.sample WHERE anc > 0),
 found AS (SELECT sample, cand_id, median(iso) AS ai, median(anc) AS aa, median((iso / anc) / (si / sa)) AS cn FROM rows GROUP BY ALL),

@@ -11,6 +11,7 @@ from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,14 +135,40 @@ def resolve_reference(names: DataFrame, mapping: DataFrame, files: DataFrame) ->
     return asked.join(best, "locus").select("ref_name", "locus", "format", "path"), asked.join(best, "locus", "left_anti").select("ref_name", "locus")
 
 
-def scan_read_buckets(spark: SparkSession, path: str) -> DataFrame:
+def scan_read_buckets(spark: SparkSession, path: str, written: bool = False) -> DataFrame:
     """junction, read_type, read_id, start, end, is_reverse, index of files reads_jct_{junction}_{type}.bam_indices: tabbed
-    lines; blank ones are skipped. sinks.write_read_buckets' own folders are read by spark.read.csv."""
+    lines; blank ones are skipped. ``written``: of the folders that sinks.write_read_buckets makes."""
+    names = ["junction", "read_type", "read_id", "start", "end", "is_reverse", "index"]
+    if written:
+        return spark.read.schema("read_id string, start long, end long, is_reverse boolean, index long, junction int, read_type string").option("sep", "\t").csv(path).select(names)
     name, p = F.regexp_extract(F.input_file_name(), r"reads_jct_(\d+_\w+)\.bam_indices$", 1), F.split(F.trim("value"), "\t")
     rows = spark.read.option("pathGlobFilter", "reads_jct_*.bam_indices").option("recursiveFileLookup", True).text(path).filter("trim(value) <> ''")
     return rows.select(F.substring_index(name, "_", 1).cast("int").alias("junction"), F.regexp_replace(name, r"^\d+_", "").alias("read_type"), p[0].alias("read_id"), p[1].cast("long").alias("start"), p[2].cast("long").alias("end"), F.lower(p[3]).isin("true", "1").alias("is_reverse"), p[4].cast("long").alias("index"))
 
 
+#: The side of the junction that each read type and each older file name stands for (fixed values).
+LABELS = {"left": "left", "left_marginal": "left", "right": "right", "right_marginal": "right", "spanning": "span", "paired": "span", "green": "span"}
+
+
+def read_labels(buckets: DataFrame) -> DataFrame:
+    """read_id (name/index), junction, label of scan_read_buckets, as classify.read_label_confusion takes them; far types have none."""
+    label = F.create_map(*[F.lit(x) for pair in LABELS.items() for x in pair])[F.col("read_type")]
+    return buckets.select(F.concat_ws("/", "read_id", "index").alias("read_id"), "junction", label.alias("label")).filter("label IS NOT NULL").distinct()
+
+
+def scan_read_labels(spark: SparkSession, path: str, kind: str = "fastq") -> DataFrame:
+    """The same of the headers of files reads_jct_{junction}_{left, right or green} in FASTA or FASTQ form. A FASTQ header is the
+    first line of its record, so a quality line that begins like one is none."""
+    if kind == "fastq":
+        rows = scan_fastq(spark, path).select("file", F.col("id").alias("read_id"))
+    else:
+        lines = spark.read.option("pathGlobFilter", "reads_jct_*.fasta").text(path).filter(F.col("value").startswith(">"))
+        rows = lines.select(F.input_file_name().alias("file"), F.trim(F.substring("value", 2, 1 << 30)).alias("read_id"))
+    part = lambda i: F.regexp_extract("file", r"reads_jct_(\d+)_(left|right|green)\.[^/]*$", i)
+    label = F.create_map(*[F.lit(x) for pair in LABELS.items() for x in pair])[part(2)]
+    return rows.select("read_id", part(1).try_cast("int").alias("junction"), label.alias("label")).filter("label IS NOT NULL").distinct()
+
+
 def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
     record = F.regexp_replace("value", "^>", "")
     lines = F.split(F.regexp_replace(record, "\r", ""), "\n", 2)
@@ -176,7 +203,11 @@ def junction_table(gd: DataFrame) -> DataFrame:
 
 
 def scan_coverage_tab(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.option("sep", "\t").option("header", True).option("pathGlobFilter", "*.coverage.tab").option("recursiveFileLookup", True).csv(path)
+    """sample, scaf (the file's name), pos, cov of *.coverage.tab files at any depth; fails where there is none."""
+    try:
+        rows = spark.read.option("sep", "\t").option("header", True).option("pathGlobFilter", "*.coverage.tab").option("recursiveFileLookup", True).csv(path)
+    except AnalysisException as e:  # no file, no columns
+        raise FileNotFoundError(f"no coverage files in {path}") from e
     cov = (F.col("unique_top_cov").try_cast("double") + F.col("unique_bot_cov").try_cast("double")).cast("int")
     return rows.select(sample_of().alias("sample"), F.regexp_extract(F.input_file_name(), r"([^/]+)\.coverage\.tab$", 1).alias("scaf"), F.col("position").try_cast("long").alias("pos"), cov.alias("cov"))
 
@@ -193,6 +224,15 @@ def scan_isescan(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     return rows.withColumns({c: F.col(c).try_cast("int") for c in ("isBegin", "isEnd")})
 
 
+def find_isescan(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The results for the sequence file ``name`` at any depth below a folder, from its .tsv, else its .csv; fails on none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"{name}.{{tsv,csv}}").load(folder).select("path")
+    found = files.agg(F.min_by("path", F.struct(F.col("path").endswith(".csv"), "path"))).head()[0]
+    if found is None:
+        raise FileNotFoundError(f"no results for {name} in {folder}")
+    return scan_isescan(spark, found, "\t" if found.endswith(".tsv") else ",")
+
+
 def scan_alignments(spark: SparkSession, path: str) -> DataFrame:
     """Alignment lines (SAM text): 0-based half-open places, AS and NM tags, order index by (ref, start, read, flag)."""
     from junctionflow.operators.alignments import cigar_ref_length
@@ -220,6 +260,14 @@ def scan_mapping_summary(spark: SparkSession, path: str) -> DataFrame:
     return each.select("sample", "ref", F.col("v.bases_mapped_to_reference").alias("bases"))
 
 
+def mapping_totals(summaries: DataFrame, samples: DataFrame) -> DataFrame:
+    """sample, mapped_bases (of its references in order), total_mapped_bases of all samples; those without a file have an empty
+    list and no total. References that tell no number are left out."""
+    told = summaries.filter("bases IS NOT NULL").groupBy("sample").agg(F.array_sort(F.collect_list(F.struct("ref", "bases"))).alias("x"), F.sum("bases").alias("total_mapped_bases"))
+    rows = samples.select("sample").distinct().join(told, "sample", "left")
+    return rows.select("sample", F.coalesce(F.transform("x", lambda v: v["bases"]), F.array().cast("array<bigint>")).alias("mapped_bases"), "total_mapped_bases")
+
+
 def schema_from_spec(spark: SparkSession, path: str) -> T.StructType:
     """A schema from a field table (fields, types, optional)."""
     kinds = {"string": "string", "double": "double", "int32": "int", "bool": "boolean", "cell": "string"}
@@ -264,6 +312,16 @@ def parse_compound(text: Column, kind: str, optional: bool = False) -> Column:
     return F.when(bad, F.raise_error(F.concat(F.lit(f"not {kind}: "), F.coalesce(text, F.lit("null")))).cast(kind)).otherwise(read["v"])
 
 
+def parse_tuple(text: Column, kinds: list[str], optional: bool = False) -> Column:
+    """A tuple of values of several types as struct(_1, _2, ...); fails on another number of values, on values of another type,
+    and on nulls unless optional."""
+    values = parse_compound(text, "array<string>", optional)
+    wrong = (F.size(values) != len(kinds)) | F.array_contains(F.array(*[F.get(values, F.lit(i)).isNotNull() & F.get(values, F.lit(i)).try_cast(k).isNull() for i, k in enumerate(kinds)]), True)
+    made = F.struct(*[F.get(values, F.lit(i)).try_cast(k).alias(f"_{i + 1}") for i, k in enumerate(kinds)])
+    kind = "struct<" + ", ".join(f"_{i + 1}: {k}" for i, k in enumerate(kinds)) + ">"
+    return F.when(values.isNull(), F.lit(None).cast(kind)).when(wrong, F.raise_error(F.concat(F.lit(f"not {kind}: "), text)).cast(kind)).otherwise(made)
+
+
 def carry(df: DataFrame, schema: T.StructType, **new: Column) -> DataFrame:
     """The fields of a schema: of ``new`` where given, else of df; optional ones that neither has are null."""
     missing = [f.name for f in schema if f.name not in new and f.name not in df.columns and not f.nullable]

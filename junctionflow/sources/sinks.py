@@ -32,9 +32,10 @@ def write_jc_read_counts(counts: DataFrame, path: str) -> None:
 
 
 def write_read_buckets(hits: DataFrame, path: str) -> None:
-    """Hits (arrays of a read's alignments are flattened) by junction and read type."""
-    rows = hits.withColumn("hit", F.explode("hits")).select("junction", "read_type", "read_id", "hit.*") if "hits" in hits.columns else hits
-    rows.write.partitionBy("junction", "read_type").option("header", True).csv(path)
+    """Hits (arrays of a read's alignments are flattened) by junction and read type, as tabbed lines that
+    readers.scan_read_buckets(written=True) reads."""
+    rows = hits.withColumn("hit", F.explode("hits")).select("junction", "read_type", "read_id", "is_reverse", "hit.*") if "hits" in hits.columns else hits
+    rows.select("junction", "read_type", "read_id", "start", "end", "is_reverse", "aln_index").write.partitionBy("junction", "read_type").option("sep", "\t").csv(path)
 
 
 def write_summary(amplicons: DataFrame, transpositions: DataFrame, path: str, runs: DataFrame | None = None) -> None:

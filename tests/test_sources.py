@@ -138,3 +138,54 @@ def test_parameters_of_runs(spark):
     runs = [("r", "p", "x", True, "genbank", ["isescan"], "median"), (None, None, "a/genomesDB", False, "genbank", ["genbank"], "best"), ("r", "p", "x", False, "blast", [], "mode"), ("r", "p", "x", None, "genbank", None, None)]
     checked = readers.validate_params(spark.createDataFrame(runs, "ref_name string, iso_fastq_path string, ref_path string, ncbi boolean, is_detection_method string, run_comparison_methods array<string>, average_method string"))
     assert [len(r.errors) for r in checked.collect()] == [0, 6, 1, 0]
+
+
+def test_labels_of_reads(spark, tmp_path):
+    """From bucket files, from FASTA and FASTQ headers (a quality line may begin with @), and from what the sink wrote."""
+    (tmp_path / "reads_jct_2_left_marginal.bam_indices").write_text("r1\t5\t90\tTrue\t17\n")
+    (tmp_path / "reads_jct_2_right_far.bam_indices").write_text("r2\t5\t90\tTrue\t18\n")
+    (tmp_path / "reads_jct_2_left.fasta").write_text(">r1/17\nACGT\n>r3/4\nAC\n")
+    (tmp_path / "reads_jct_5_green.fastq").write_text("@r4/9 x\nACGT\n+\n@III\n")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(readers.read_labels(readers.scan_read_buckets(spark, str(tmp_path)))) == [("r1/17", 2, "left")]
+    assert rows(readers.scan_read_labels(spark, str(tmp_path), "fasta")) == [("r1/17", 2, "left"), ("r3/4", 2, "left")]
+    assert rows(readers.scan_read_labels(spark, str(tmp_path))) == [("r4/9", 5, "span")]
+    hits = spark.createDataFrame([(3, "left", "r", False, [(5, 9, -1, 7), (6, 8, -2, 8)])], "junction int, read_type string, read_id string, is_reverse boolean, hits array<struct<start: long, end: long, score: int, aln_index: long>>")
+    sinks.write_read_buckets(hits, str(tmp_path / "out"))
+    assert rows(readers.scan_read_buckets(spark, str(tmp_path / "out"), written=True)) == [(3, "left", "r", 5, 9, False, 7), (3, "left", "r", 6, 8, False, 8)]
+
+
+def test_files_that_are_missing(spark, tmp_path):
+    (tmp_path / "s1" / "deep").mkdir(parents=True)
+    head, row = ["seqID", "isBegin", "isEnd", "strand", "family", "cluster"], ["c", "5", "90", "+", "IS3", "IS3_1"]
+    (tmp_path / "s1" / "deep" / "g.fasta.csv").write_text(",".join(head) + "\n" + ",".join(row) + "\n")
+    assert readers.find_isescan(spark, str(tmp_path), "g.fasta").head().isBegin == 5
+    (tmp_path / "s1" / "g.fasta.tsv").write_text("\t".join(head) + "\n" + "\t".join(["c", "7", *row[2:]]) + "\n")
+    assert readers.find_isescan(spark, str(tmp_path), "g.fasta").head().isBegin == 7
+    with pytest.raises(FileNotFoundError):
+        readers.find_isescan(spark, str(tmp_path), "h.fasta")
+    with pytest.raises(FileNotFoundError):
+        readers.scan_coverage_tab(spark, str(tmp_path))
+    found = spark.createDataFrame([("s1", "b", 4), ("s1", "a", 3), ("s1", "x", None)], "sample string, ref string, bases long")
+    totals = readers.mapping_totals(found, spark.createDataFrame([("s1",), ("s2",)], "sample string"))
+    assert {r["sample"]: (r.mapped_bases, r.total_mapped_bases) for r in totals.collect()} == {"s1": ([3, 4], 7), "s2": ([], None)}
+
+
+def test_tuples_of_several_types(value):
+    got = value(readers.parse_tuple(F.lit("(1, 'a, b', 2.5, None)"), ["int", "string", "double", "int"]))
+    assert tuple(got) == (1, "a, b", 2.5, None)
+    assert value(readers.parse_tuple(F.lit(None).cast("string"), ["int"], optional=True)) is None
+    for text, kinds in (("(1, 2)", ["int"]), ("('x',)", ["int"]), (None, ["int"])):
+        with pytest.raises(Exception, match="not "):
+            value(readers.parse_tuple(F.lit(text).cast("string"), kinds))
+
+
+def test_counts_of_whole_files(spark):
+    from junctionflow.functions import coords
+    from junctionflow.operators import reads
+
+    rows = spark.createDataFrame([("s", "ACGT")] * 5 + [("t", "AC")], "sample string, seq string")
+    stats = reads.total_bases(reads.read_length_stats(rows.limit(6).distinct()), 20, reads.count_reads(rows))
+    assert {r["sample"]: (r.total_bases, r.low_depth) for r in stats.collect()} == {"s": (20, False), "t": (2, True)}
+    for o in (1, -1):
+        assert tuple(spark.range(1).select(coords.segment_ends(F.lit(o), F.lit(3), F.lit(9)).alias("x")).head().x) == ((3, 9) if o > 0 else (9, 3))
