@@ -47,6 +47,8 @@ PERCENT, PERCENT_OF = 80, 100
 FREQUENT, BITMAP_BITS = 12, (20, 27)
 #: Sets up to which a list pairs them directly, not by their differences from its head.
 SHORT = 16
+#: Differences right before one that a set's entry in a list of differences carries.
+BEFORE = 24
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -275,9 +277,11 @@ def listed_differences(compared: DataFrame, open_: DataFrame, classes: DataFrame
     listed = compared.select("a", "b", "skipped", F.size("differs").alias("differ"), F.explode("differs").alias("shingle")).join(often, ["b", "shingle"])
     of_set = Window.partitionBy("a", "b")  # a set's difference from one head; what is found nowhere else stands first
     listed = listed.withColumn("place", F.col("differ") - F.count("*").over(of_set) + F.row_number().over(of_set.orderBy("n", "shingle")))
+    # those right before it: two sets that share one of these too have met there or earlier
+    listed = listed.withColumn("before", F.collect_list("shingle").over(of_set.orderBy("n", "shingle").rowsBetween(-BEFORE, -1)))
     heads = open_.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("heads"))
     known = open_.join(compared.select("a", "b", "common"), ["a", "b"]).join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "of_head"), "b").join(heads, "a")
-    return tables.write(listed.select("a", "b", "shingle", "skipped", "differ", "place").join(known, ["a", "b"]))
+    return tables.write(listed.select("a", "b", "shingle", "skipped", "differ", "place", "before").join(known, ["a", "b"]))
 
 
 def first_pairs(listed: DataFrame) -> DataFrame:
@@ -290,13 +294,14 @@ def first_pairs(listed: DataFrame) -> DataFrame:
 
 def long_pairs(listed: DataFrame) -> DataFrame:
     """a, b: sets of one long list that may still link, from their differences from the least head that both have."""
-    columns = ("a", "label", "size", "of_head", "common", "skipped", "differ", "place", "heads")
+    columns = ("a", "label", "size", "of_head", "common", "skipped", "differ", "place", "heads", "before")
     left, right = (listed.select("b", "shingle", *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in "ab")
     must = _need("a_size", "b_size") + F.col("a_of_head") - F.col("a_common") - F.col("b_common")
     listed_too = F.greatest(must - F.greatest("a_skipped", "b_skipped"), F.lit(1))  # of these so many are listed in both
     reach = (F.col("a_place") + listed_too <= F.col("a_differ") + 1) & (F.col("b_place") + listed_too <= F.col("b_differ") + 1)
     one = F.col("b") == F.array_min(F.array_intersect("a_heads", "b_heads"))
-    pairs = left.join(right, ["b", "shingle"]).filter((F.col("a_a") < F.col("b_a")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size") & reach & one)
+    anew = ~F.arrays_overlap("a_before", "b_before")  # never false where two sets first meet
+    pairs = left.join(right, ["b", "shingle"]).filter(anew & (F.col("a_a") < F.col("b_a")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size") & reach & one)
     return pairs.select(F.col("a_a").alias("a"), F.col("b_a").alias("b")).distinct()
 
 
