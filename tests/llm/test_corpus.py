@@ -3,11 +3,13 @@ empty tables, columns with clashing names."""
 
 import collections
 import hashlib
+import math
 import os
 import random
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -312,6 +314,62 @@ def test_classifiers_on_held_out_rows(spark, empty, module, target, marks):
     assert linear.train(linear.training_rows(docs, labels.limit(0), target), quality_classifier.features, 1 << 18).sum() == 0
 
 
+def test_ftrl_is_the_plain_loop():
+    rng = np.random.default_rng(3)
+    rows = [(np.r_[0, 1 + rng.choice(19, 4, replace=False)], rng.normal(size=5), int(rng.integers(2))) for _ in range(60)]
+    alpha, beta, l1, l2 = 0.3, 1.0, 0.05, 0.7
+    z, n = [0.0] * 20, [0.0] * 20
+    weight = lambda i: 0.0 if abs(z[i]) <= l1 else ((1 if z[i] > 0 else -1) * l1 - z[i]) / ((beta + n[i] ** 0.5) / alpha + l2)
+    for _ in range(2):
+        for places, values, label in rows:
+            w = [weight(i) for i in places]
+            p = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, values, strict=True))))
+            for i, x, wi in zip(places, values, w, strict=True):
+                g = (p - label) * x
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * wi
+                n[i] += g * g
+    assert np.allclose(linear.ftrl(rows, 20, 2, alpha, beta, l1, l2), [weight(i) for i in range(20)])
+
+
+def test_ratios_and_scaled_counts_are_counted_one_by_one(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["aab", "bba", "Ünd", "cc\tdd", "vile"], k=rng.randint(0, 9))) for _ in range(150)]
+    rows = [(i, t, int("vile" in t) if i % 9 else 1 - int("vile" in t)) for i, t in enumerate(texts)] + [(900, "", 0), (901, texts[3], 1), (901, texts[3], 1)]
+    whole = [np.concatenate([np.empty(0, np.int64), *toxicity.grams(t.encode())]) for _, t, _ in rows]
+    for t, at in zip(texts, whole, strict=False):
+        folded = f" {' '.join(t.lower().split())} "
+        assert len(at) == sum(max(0, len(folded) - n + 1) for n in toxicity.SIZES)
+        distinct = len({folded[i : i + n] for n in toxicity.SIZES for i in range(len(folded) - n + 1)})
+        assert 0 <= distinct - len(set(at)) <= 2  # of 2^20 places few are shared
+    monkeypatch.setattr(toxicity, "PART", 5)  # parts give the same n-grams
+    for (_, t, _), at in zip(rows, whole, strict=True):
+        assert sorted(np.concatenate([np.empty(0, np.int64), *toxicity.grams(t.encode())])) == sorted(at)
+    got = toxicity.ratios(spark.createDataFrame(rows, "doc_id long, text string, label int").withColumn("text", F.col("text").cast("binary")).repartition(3))
+    held, n = (collections.Counter(), collections.Counter()), [0, 0]
+    for (_, _, label), at in zip(rows, whole, strict=True):
+        held[label].update(set(at.tolist()))
+        n[label] += 1
+    for at in set(held[0]) | set(held[1]):
+        prior = [toxicity.PRIOR_ROWS * k / sum(n) for k in n]
+        want = math.log((held[1][at] + prior[1]) / n[1] / ((held[0][at] + prior[0]) / n[0]))
+        assert abs(got[at] - (want if abs(want) >= toxicity.LEAST_RATIO and at else 0)) < 1e-9
+    assert np.count_nonzero(got) <= len(set(held[0]) | set(held[1]))
+    at, x = toxicity.scaled(got)(b"vile vile aab")
+    n = collections.Counter(np.concatenate(list(toxicity.grams(b"vile vile aab"))).tolist())
+    assert at[0] == 0 and x[0] == 1 and {int(a): round(float(v), 9) for a, v in zip(at[1:], x[1:], strict=True)} == {a: round(float(got[a] * math.log2(1 + c)), 9) for a, c in n.items() if got[a]}
+
+
+@pytest.mark.parametrize("module,target,marks", [(quality_classifier, "quality", ("fine prose of words", "SPAM!! BUY!!")), (toxicity, "toxic", ("you vile clown", "a calm day in may"))])
+def test_classifiers_on_repeats_nulls_and_other_columns(spark, module, target, marks):
+    rows = [(i % 90, marks[i % 2], 5, "x", 1) for i in range(180)] + [(None, marks[0], 5, "x", 1), (None, None, 5, "x", 1), (7, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int, part string, score int")
+    labels = spark.createDataFrame([(i, 1 - i % 2, 3) for i in range(90)] + [(None, 1, 3), (2, None, 3), (4, 1, 3), (4, 1, 3)], f"doc_id long, {target} int, text int")
+    out = module.score_documents(docs, labels, threshold=0.5).collect()
+    assert collections.Counter(r.doc_id for r in out) == collections.Counter(r[0] for r in rows) and all(0 <= r.score <= 1 for r in out)
+    assert len({r.score for r in out}) <= 3 and all(not r.held_out for r in out if r.doc_id is None)
+    assert all(len({r.score for r in out if r.doc_id == i}) == 1 for i in range(90) if i != 7)
+
+
 def test_pipeline_stages(spark, docs, rows):
     import corpus_pipeline
 
