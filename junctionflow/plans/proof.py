@@ -472,11 +472,14 @@ def n17_alignment_segments(spark, d):
     return alignments.alignment_segments(hits, F.lit(300)).select("read_id", "kind", "from", "to")
 
 
-def read_counts(spark, d):
+def typed_rows(spark, d):
     mates = alignments.link_pairs(best_rows(spark, d))
     kind = lambda p: F.when(F.col(f"{p}_start").isNotNull(), alignments.read_type(F.col(f"{p}_start") + 1, F.col(f"{p}_end"), F.lit(300), 13, F.lit(290)))
-    typed = mates.select(*alignments.GROUP, "read_id", F.explode(alignments.pair_read_types(kind("first"), kind("second"))).alias("read_type"))
-    return alignments.count_read_types(typed)
+    return mates.select(*alignments.GROUP, "read_id", F.explode(alignments.pair_read_types(kind("first"), kind("second"))).alias("read_type"))
+
+
+def read_counts(spark, d):
+    return alignments.count_read_types(typed_rows(spark, d))
 
 
 @query(f"WITH {TYPED} SELECT * FROM counts")
