@@ -9,7 +9,7 @@ common ones over all of both, as sets) is their likeness.
 
 Null texts count as empty. An empty text has one empty paragraph and no leaf; it is like another empty text (1.0) and
 nothing else (0.0). Rows with equal doc_id are ordered by the hash of their text. An empty table gives no rows; the
-next document of a single row is the row itself. Other columns are not read.
+next document of a single row is the row itself. Rows with one doc_id share a range. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from junctionflow.llm.common import documents
 
 LEAF_WORDS, SECTION = 8, 8
 #: Rows that share a range of doc_id, and ranges at most, whose ends are sent to every task (1 MB). Of more rows a range
-#: holds more, in a window that spills.
-RANGE_ROWS, RANGES = 1000, 1 << 17
+#: holds more, in a window that spills. The ends are taken from so many sampled ids a range; they only deal the rows out.
+RANGE_ROWS, RANGES, SAMPLED = 1000, 1 << 17, 32
 
 
 def _hashed(value: Column) -> Column:
@@ -65,12 +65,17 @@ def likeness(left: Column, right: Column) -> Column:
 
 
 def differing_paragraphs(left: Column, right: Column) -> Column:
-    """0-based numbers of the paragraphs whose hashes differ between two fingerprints, found below differing sections."""
+    """0-based numbers of the paragraphs whose hashes differ between two fingerprints, found below differing sections; a
+    paragraph that only one text has differs."""
     part = lambda x, i: F.split(F.split(x, ";")[i], " ")
-    sections = F.zip_with(part(left, 1), part(right, 1), lambda a, b: ~a.eqNullSafe(b))
-    paragraphs = F.zip_with(part(left, 2), part(right, 2), lambda a, b: ~a.eqNullSafe(b))
-    numbers = F.sequence(F.lit(0), F.size(paragraphs) - 1)
-    return F.filter(numbers, lambda i: F.get(sections, F.floor(i / SECTION).cast("int")) & F.get(paragraphs, i))
+    differ = lambda i: F.zip_with(part(left, i), part(right, i), lambda a, b: ~a.eqNullSafe(b))
+
+    def below(branch: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.size(branch["paragraphs"]) - 1)
+        return F.filter(numbers, lambda i: F.get(branch["sections"], F.floor(i / SECTION).cast("int")) & F.get(branch["paragraphs"], i))
+
+    found = _let(F.struct(differ(1).alias("sections"), differ(2).alias("paragraphs")), below)
+    return F.when(left == right, F.array().cast("array<int>")).otherwise(found)
 
 
 def ends_below(ends: list[int], value: Column) -> Column:
@@ -89,7 +94,8 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     """
     n = docs.count()
     ranges = max(1, min(RANGES, n // RANGE_ROWS))
-    ends = docs.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5], 100 * ranges)).head()[0] if ranges > 1 else []
+    sampled = docs.select("doc_id").sample(min(1.0, SAMPLED * ranges / max(1, n)), seed=7)
+    ends = sampled.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10 * ranges)).head()[0] if ranges > 1 else []
     ends = sorted(set(ends or []))
     number = ends_below(ends, F.col("doc_id"))
     ranged = docs.withColumn("_range", F.when(F.col("doc_id").isNull(), 0).otherwise(number))
@@ -104,7 +110,8 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
 
 
 def edit_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, edited_paragraphs (the numbers
+    of those that the two trees tell apart)."""
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("fingerprint", fingerprint(F.col("text")))
     third = F.floor(F.col("n_chars") / 3).cast("int")
     rows = with_next(own, ["text", "fingerprint"]).withColumn("n_chars", F.char_length("text").cast("long"))
@@ -113,6 +120,7 @@ def edit_report(docs: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", "n_chars", F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        differing_paragraphs(F.col("fingerprint"), F.col("edited_fingerprint")).alias("edited_paragraphs"),
     )
 
 

@@ -12,6 +12,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from junctionflow.llm import bpe, common, jaccard_join, line_dedup, linear, merkle, packing, quality_classifier, quality_rules, sharding, suffix_dedup, toxicity
@@ -276,20 +277,35 @@ def test_line_dedup_takes_a_long_line_for_a_run(spark):
     assert {r.doc_id: r["__n_removed"] for r in line_dedup.dedup_lines(docs).collect()} == dict.fromkeys(range(1, 6), 0)
 
 
-def test_merkle(docs, empty, rows):
-    out = merkle.edit_report(docs.filter("doc_id <> 8")).collect()
+def tree(text):
+    """(fingerprint, paragraphs' hashes, leaves) by the definition."""
+    h = lambda t: f"{xxhash.xxh64(t.encode(), seed=42).intdigest():016x}"
+    leaves = [[h(m) for m in re.findall(r"(?:[^ ]+ *| +){1,8}", p)] for p in text.split("\n")]
+    paragraphs = [h(" ".join(x)) for x in leaves]
+    sections = [h(" ".join(paragraphs[i : i + 8])) for i in range(0, len(paragraphs), 8)]
+    root = hashlib.sha256(" ".join(sections).encode()).hexdigest()[:32]
+    flat = [x for p in leaves for x in p]
+    return ";".join([root, " ".join(sections), " ".join(paragraphs), " ".join(flat)]), paragraphs, set(flat)
+
+
+@pytest.mark.parametrize("range_rows", [1000, 4])
+def test_merkle(docs, empty, rows, monkeypatch, range_rows):
+    monkeypatch.setattr(merkle, "RANGE_ROWS", range_rows)
     assert merkle.edit_report(empty).count() == 0
-    plain = [r for r in rows if r[0] != 8]
-    ordered = sorted(plain, key=lambda r: -r[0])
-    want = {}
-    for i, r in enumerate(ordered):
-        t, nxt = r[1] or "", ordered[(i + 1) % len(ordered)][1] or ""
-        third = len(t) // 3
-        want[r[0]] = hashlib.sha256((t[: len(t) - third] + nxt[:third]).encode()).hexdigest()
-    assert {r.doc_id: r.edited_sha256 for r in out} == want
+    signed = lambda n: n - (1 << 64) if n >> 63 else n
+    ordered = sorted(((r[0], r[1] or "") for r in rows), key=lambda r: (-r[0], signed(xxhash.xxh64(r[1].encode(), seed=42).intdigest())))
+    like = lambda a, b: 1.0 if a[0] == b[0] else 2 * len(a[2] & b[2]) / max(1, len(a[2]) + len(b[2]))
+    want = collections.Counter()
+    for i, (k, t) in enumerate(ordered):
+        following = ordered[(i + 1) % len(ordered)][1]
+        edited = t[: len(t) - len(t) // 3] + following[: len(t) // 3]
+        own, other, after = tree(t), tree(edited), tree(following)
+        differ = tuple(n for n in range(max(len(own[1]), len(other[1]))) if own[1][n : n + 1] != other[1][n : n + 1])
+        want[k, len(t), hashlib.sha256(edited.encode()).hexdigest(), own[0], other[0], round(like(own, other), 12), round(like(own, after), 12), differ] += 1
+    out = merkle.edit_report(docs).collect()
+    assert collections.Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 12), round(r.near_next, 12), tuple(r.edited_paragraphs)) for r in out) == want
     prints = {r.doc_id: r.fingerprint for r in out}
-    assert prints[5] == prints[6] and len(set(prints.values())) == len({r[1] or "" for r in plain})
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in out)
+    assert prints[5] == prints[6] and len({r.fingerprint for r in out}) == len({r[1] or "" for r in rows})
 
 
 def test_differing_paragraphs(spark):
