@@ -42,8 +42,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [("quality", quality), ("lines", lines), ("near_copies", near_copies), ("repeats", repeats), ("packed", packed)]
 
-#: SQL has no subword tokenizer. The operators are tested against brute-force versions one by one; of the stages together
-#: only columns and rows are looked at so far.
+#: SQL has no subword tokenizer. The stages, one after another, and run() are tested against a plain Python version.
 ORACLE_SQL = None
 
 
