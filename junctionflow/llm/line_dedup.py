@@ -101,7 +101,8 @@ def cut_runs(text: bytes, places: list[int] | None, min_run: int, alone: list[in
 def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
     """The columns of docs with the repeated runs out of ``text``, and __n_lines, __n_removed, __n_runs."""
     with Tables(docs.sparkSession) as tables:
-        source = keyed(docs).join(later_runs(docs, tables, min_run, long_words), ["__id", "__tie"], "left")
+        # the places grow with the documents: a shuffle at any size
+        source = keyed(docs).join(later_runs(docs, tables, min_run, long_words).hint("merge"), ["__id", "__tie"], "left")
     source = source.withColumn("__text", F.col("text").cast("binary")).drop("text", "__id", "__tie")
 
     def per_batch(__text, __places, __alone):
