@@ -15,7 +15,6 @@ rows count as one and keep or lose the same lines. An empty table gives no rows.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,6 +26,8 @@ from junctionflow.llm.common import Tables, any_columns, documents, keyed, ngram
 MIN_RUN = 2
 #: Words from which the corpus stage takes one line for a run; op7_line_dedup has none, as its SQL knows runs of lines only.
 LONG_WORDS = 20
+#: The share of all rows, one in so many, above which a fingerprint or a run is not shuffled with the others.
+HOT = 1000
 
 
 def winnowed(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,17 +70,24 @@ def fingerprints(docs: DataFrame, min_run: int = MIN_RUN, long_words: int | None
     return over_batches(source, per_batch, "fingerprint long, id long, tie long, place int, lines int, shifts array<int>, runs array<long>")
 
 
+def hot_join(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """rows, a written table, joined with keys that have n, the rows of each. Keys that hold more than a HOT-th of the rows,
+    fewer than HOT by their number, meet their rows in the tasks that read them; the others are shuffled."""
+    hot = F.col("n") > rows.count() / HOT
+    sent, rest = F.broadcast(keys.filter(hot)), keys.filter(~hot).hint("merge")
+    return rows.join(F.broadcast(keys.filter(hot).select(*on)), on, "left_anti").join(rest, on).unionByName(rows.join(sent, on))
+
+
 def later_runs(docs: DataFrame, tables: Tables, min_run: int = MIN_RUN, long_words: int | None = None) -> DataFrame:
     """__id, __tie, __places, __alone: the windows of a document that start earlier as well, and its long lines that do."""
     every = tables.write(fingerprints(docs, min_run, long_words))
-    recurring = every.groupBy("fingerprint", "lines").count().filter("count > 1").select("fingerprint", "lines")
-    matched = every.join(recurring, ["fingerprint", "lines"], "left_semi")
-    extended = matched.select("fingerprint", "lines", "id", "tie", "place", F.explode(F.arrays_zip("shifts", "runs")).alias("w"))
-    extended = tables.write(extended.select("fingerprint", "lines", F.col("w.shifts").alias("shift"), F.col("w.runs").alias("run"), "id", "tie", (F.col("place") + F.col("w.shifts")).alias("start")))
+    of_line, of_run, where = ["fingerprint", "lines"], ["fingerprint", "lines", "shift", "run"], F.struct("id", "tie", "start")
+    recurring = tables.write(every.groupBy(*of_line).agg(F.count("*").alias("n")).filter("n > 1"))
+    matched = hot_join(every, recurring, of_line).select(*of_line, "id", "tie", "place", F.explode(F.arrays_zip("shifts", "runs")).alias("w"))
+    extended = tables.write(matched.select(*of_line, F.col("w.shifts").alias("shift"), F.col("w.runs").alias("run"), "id", "tie", (F.col("place") + F.col("w.shifts")).alias("start")))
     tables.drop(every)
-    same, where = ["fingerprint", "lines", "shift", "run"], F.struct("id", "tie", "start")
-    first = tables.write(extended.groupBy(*same).agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
-    later = extended.join(first, same).filter(where > F.col("first"))
+    first = tables.write(extended.groupBy(*of_run).agg(F.min(where).alias("first"), F.count("*").alias("n")).filter("n > 1"))
+    later = hot_join(extended, first, of_run).filter(where > F.col("first"))
     places = [F.collect_set(F.when((F.col("lines") == min_run) == whole, F.col("start"))).alias(c) for c, whole in (("__places", True), ("__alone", False))]
     return tables.keep(tables.write(later.groupBy(F.col("id").alias("__id"), F.col("tie").alias("__tie")).agg(*places)))
 
