@@ -49,6 +49,8 @@ FREQUENT, BITMAP_BITS = 12, (20, 27)
 SHORT = 16
 #: Differences right before one that a set's entry in a list of differences carries.
 BEFORE = 24
+#: Longs of 64 bits that mark all listed differences of a set: a mark that only one of two sets has is a difference that they don't share.
+MARKS = 12
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -186,8 +188,15 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, tables: Tabl
     return found
 
 
+def marked(differs: np.ndarray) -> np.ndarray:
+    """The marks of differences, a bit for each, by its hash."""
+    bits = np.zeros(64 * MARKS, np.uint8)
+    bits[mix(differs) % np.uint64(len(bits))] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def against_heads(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
-    """a, b, common, skipped, differs for sets a and heads b: the shingles that just one of both has, those of a first,
+    """a, b, common, skipped, differs, marks for sets a and heads b: the shingles that just one of both has, those of a first,
     without the last ones (``skipped`` of them), which no set that links with a needs.
 
     A set that links with a is a quarter larger at most, so that both have at most a quarter of a's size that the other
@@ -196,7 +205,7 @@ def against_heads(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> Dat
     """
 
     def per_batch(a, b, left, right):
-        recent, out = _Recent(words), {"a": a, "b": b, "common": [], "skipped": [], "differs": []}
+        recent, out = _Recent(words), {"a": a, "b": b, "common": [], "skipped": [], "differs": [], "marks": []}
         for x, y in zip(left, right, strict=True):
             x, y = shingles(x, words), recent(y)
             inside = _inside(x, y)
@@ -209,9 +218,10 @@ def against_heads(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> Dat
             out["common"].append(c)
             out["skipped"].append(skipped)
             out["differs"].append(signed(differs[: n - skipped]))
+            out["marks"].append(marked(differs[: n - skipped]))
         return out
 
-    return over_batches(with_texts(pairs, texts), per_batch, "a long, b long, common int, skipped int, differs array<long>")
+    return over_batches(with_texts(pairs, texts), per_batch, "a long, b long, common int, skipped int, differs array<long>, marks array<long>")
 
 
 def may_link(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -280,28 +290,42 @@ def listed_differences(compared: DataFrame, open_: DataFrame, classes: DataFrame
     # those right before it: two sets that share one of these too have met there or earlier
     listed = listed.withColumn("before", F.collect_list("shingle").over(of_set.orderBy("n", "shingle").rowsBetween(-BEFORE, -1)))
     heads = open_.groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("heads"))
-    known = open_.join(compared.select("a", "b", "common"), ["a", "b"]).join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "of_head"), "b").join(heads, "a")
-    return tables.write(listed.select("a", "b", "shingle", "skipped", "differ", "place", "before").join(known, ["a", "b"]))
+    known = open_.join(compared.select("a", "b", "common", "marks"), ["a", "b"]).join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "of_head"), "b").join(heads, "a")
+    marks = [F.col("marks")[i].alias(f"mark{i}") for i in range(MARKS)]
+    listed = listed.select("a", "b", "shingle", "skipped", "differ", "place", "before").join(known, ["a", "b"]).select("*", *marks).drop("marks")
+    return tables.write(listed.withColumn("unmarked", F.col("differ") - sum(F.bit_count(f"mark{i}") for i in range(MARKS))))  # by a mark of its own
+
+
+#: What a list of differences tells of a set.
+_KNOWN = ("a", "label", "size", "of_head", "common", "skipped", "differ", "place", "unmarked", *[f"mark{i}" for i in range(MARKS)])
+
+
+def _may_share(a: str, b: str) -> Column:
+    """Whether two sets of one list of differences may link, as far as their differences tell. Of those that both must have,
+    so many are listed for both: one of these stands among the first of each, and no more are in both than have a mark of
+    both or none of their own. ``a`` and ``b`` begin the names of their columns."""
+    must = _need(f"{a}size", f"{b}size") + F.col(f"{a}of_head") - F.col(f"{a}common") - F.col(f"{b}common")
+    listed_too = F.greatest(must - F.greatest(f"{a}skipped", f"{b}skipped"), F.lit(1))
+    most = F.least(*[F.col(f"{s}differ") - F.col(f"{s}place") + 1 for s in (a, b)])
+    marks = sum((F.bit_count(F.col(f"{a}mark{i}").bitwiseAND(F.col(f"{b}mark{i}"))) for i in range(MARKS)), F.least(f"{a}unmarked", f"{b}unmarked"))
+    return _sizes_fit(f"{a}size", f"{b}size") & (listed_too <= F.least(most, marks))
 
 
 def first_pairs(listed: DataFrame) -> DataFrame:
-    """a, b: each set with the first of every list of differences that it is in. Sets that are nearer to each other than
-    to the head share many, so most of their components show here, from as many pairs as there are entries."""
-    first = listed.groupBy("b", "shingle").agg(F.min(F.struct("a", "label")).alias("first"))
-    met = listed.join(first, ["b", "shingle"]).filter((F.col("a") != F.col("first.a")) & (F.col("label") != F.col("first.label")))
+    """a, b: each set with the first of every list of differences that it is in, where the list doesn't rule out that they
+    link. Sets that are nearer to each other than to the head share many, so most of their components show here, from
+    at most as many pairs as there are entries; pairs left out here are still met among long_pairs."""
+    first = listed.groupBy("b", "shingle").agg(F.min(F.struct(*_KNOWN)).alias("first"))
+    met = listed.join(first, ["b", "shingle"]).filter((F.col("a") != F.col("first.a")) & (F.col("label") != F.col("first.label")) & _may_share("", "first."))
     return met.select("a", F.col("first.a").alias("b")).distinct()
 
 
 def long_pairs(listed: DataFrame) -> DataFrame:
     """a, b: sets of one long list that may still link, from their differences from the least head that both have."""
-    columns = ("a", "label", "size", "of_head", "common", "skipped", "differ", "place", "heads", "before")
-    left, right = (listed.select("b", "shingle", *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in "ab")
-    must = _need("a_size", "b_size") + F.col("a_of_head") - F.col("a_common") - F.col("b_common")
-    listed_too = F.greatest(must - F.greatest("a_skipped", "b_skipped"), F.lit(1))  # of these so many are listed in both
-    reach = (F.col("a_place") + listed_too <= F.col("a_differ") + 1) & (F.col("b_place") + listed_too <= F.col("b_differ") + 1)
+    left, right = (listed.select("b", "shingle", *[F.col(c).alias(f"{s}_{c}") for c in (*_KNOWN, "heads", "before")]) for s in "ab")
     one = F.col("b") == F.array_min(F.array_intersect("a_heads", "b_heads"))
     anew = ~F.arrays_overlap("a_before", "b_before")  # never false where two sets first meet
-    pairs = left.join(right, ["b", "shingle"]).filter(anew & (F.col("a_a") < F.col("b_a")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit("a_size", "b_size") & reach & one)
+    pairs = left.join(right, ["b", "shingle"]).filter((F.col("a_a") < F.col("b_a")) & (F.col("a_label") != F.col("b_label")) & _may_share("a_", "b_") & anew & one)  # the cheap ones first
     return pairs.select(F.col("a_a").alias("a"), F.col("b_a").alias("b")).distinct()
 
 

@@ -148,6 +148,21 @@ def test_jaccard_join_of_a_large_group_of_edited_copies(spark):
     assert got == dict(enumerate(group))
 
 
+def test_jaccard_join_pairs_few_of_a_list_whose_sets_are_far_apart(spark, monkeypatch):
+    rng = random.Random(4)
+    made = []
+    for i in range(80):
+        w = [f"w{k}" for k in range(200)]
+        for k in rng.sample(range(200), 6):
+            w[k] = f"e{i}"
+        made.append((i, " ".join(w)))
+    counts, may_link = [], jaccard_join.may_link
+    monkeypatch.setattr(jaccard_join, "may_link", lambda pairs, classes: counts.append(pairs.count()) or may_link(pairs, classes))
+    got = {r.id: r.group for r in jaccard_join.joined(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert got == {i: i for i in range(80)}
+    assert counts[0] > 50 and sum(counts[1:]) < 20  # the list's head meets all, few others meet
+
+
 def test_packing(docs, empty, rows):
     tokenizer = packing._tokenizer(packing.TOKENIZER)
     pieces = packing.pack(packing.tokenise(docs), 64).collect()
