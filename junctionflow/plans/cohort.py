@@ -136,9 +136,7 @@ def covered_pairs(linked: DataFrame, cov: DataFrame, p: Params) -> DataFrame:
     rows = coverage.length_gate(linked, p.min_length, p.max_length)
     cands = rows.select("sample", "scaf", F.col("pair_id").alias("cand_id"), F.col("left").alias("start"), F.col("right").alias("end"), F.col("scaf_length").alias("length"))
     used = cov.join(cands.select("sample", "scaf").distinct(), ["sample", "scaf"], "left_semi")
-    iso, anc = (coverage.scaffold_average(used.filter(F.col(c).isNotNull()), c, p.average).withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
-    averages = cands.select("sample", "scaf", "cand_id").join(iso, ["sample", "scaf"], "left").join(anc, ["sample", "scaf"], "left").drop("scaf")
-    found = coverage.copy_numbers(coverage.amplicon_averages(coverage.amplicon_histogram(cands, used, p.block), averages, p.average))
+    found = coverage.copy_numbers(coverage.segment_averages(cands, used, p.average, block=p.block))
     return rows.join(found.withColumnRenamed("cand_id", "pair_id"), ["sample", "pair_id"])
 
 

@@ -46,10 +46,15 @@ SCAFFOLD = f"""scaffold AS (SELECT *, length(seq) AS length FROM (SELECT doc_id,
 EVERY_SCAFFOLD = SCAFFOLD.removesuffix(" WHERE length(seq) >= 200)") + ")"
 
 
+def v_lines(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").withColumns({"sample": F.col("l_suppkey") % 5, "scaf": F.concat(F.lit("s"), F.col("l_suppkey"))})
+
+
 def v_cov(spark: SparkSession, d: str) -> DataFrame:
     """Each order's lines laid along a scaffold of its customer: sample, scaf, pos, iso, anc."""
-    lines = table(spark, d, "lineitem").select((F.col("l_suppkey") % 5).alias("sample"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("scaf"), "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice", "l_partkey", "l_shipdate")
-    return lines.select("sample", "scaf", F.expr("row_number() OVER (PARTITION BY scaf ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity, l_discount, l_shipdate)").cast("long").alias("pos"), (F.col("l_quantity").cast("int") % 50).alias("iso"), F.round(F.col("l_discount") * 100).cast("int").alias("anc"))
+    pos = F.expr("row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity, l_discount, l_shipdate)").cast("long")
+    lines = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice", "l_partkey", "l_shipdate").withColumn("pos", pos)
+    return lines.select((F.col("l_suppkey") % 5).alias("sample"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("scaf"), "pos", (F.col("l_quantity").cast("int") % 50).alias("iso"), F.round(F.col("l_discount") * 100).cast("int").alias("anc"))
 
 
 COV = """cov AS (SELECT l_suppkey % 5 AS sample, 's' || l_suppkey AS scaf,
@@ -59,7 +64,7 @@ COV = """cov AS (SELECT l_suppkey % 5 AS sample, 's' || l_suppkey AS scaf,
 
 def v_candidate_of_every_order(spark: SparkSession, d: str) -> DataFrame:
     """Segments on the suppliers' scaffolds, one for each order, whose customer number deals it out; some wrap."""
-    sizes = v_cov(spark, d).groupBy("sample", "scaf").agg(F.max("pos").alias("length"))
+    sizes = v_lines(spark, d).groupBy("sample", "scaf").agg(F.count("*").alias("length"))  # the last position of v_cov
     places = sizes.selectExpr("*", "row_number() OVER (ORDER BY scaf, sample) - 1 AS k", "count(*) OVER () AS n")  # a row for each scaffold
     orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("cand_id"), "o_custkey").join(F.broadcast(places.agg(F.max("n").alias("n"))))
     start = (F.col("cand_id") * 7919) % F.col("length") + 1
@@ -279,10 +284,8 @@ def v8_scaffold_mode(spark, d):
 
 
 def copy_number_rows(spark: SparkSession, d: str, cands: DataFrame | None = None, method: str = "median") -> DataFrame:
-    cov, cands = v_cov(spark, d), v_candidate_of_every_order(spark, d) if cands is None else cands
-    iso, anc = (coverage.scaffold_average(cov, c, method).withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
-    scaf = cands.select("sample", "scaf", "cand_id").join(iso, ["sample", "scaf"]).join(anc, ["sample", "scaf"]).drop("scaf")
-    return coverage.copy_numbers(coverage.amplicon_averages(coverage.amplicon_histogram(cands, cov, 64), scaf, method))
+    cands = v_candidate_of_every_order(spark, d).filter("scaf IS NOT NULL") if cands is None else cands
+    return coverage.copy_numbers(coverage.segment_averages(cands, v_cov(spark, d), method, block=64))
 
 
 AVERAGES = f"""WITH {COV}, {EVERY_CANDIDATE}, scafs AS (SELECT sample, scaf, median(iso) AS si, median(anc) AS sa FROM cov GROUP BY sample, scaf),

@@ -395,3 +395,61 @@ def test_names_after_colons_and_blanks(spark):
     rows = [("mobile_element", {"mobile_element_type": [t]}, 0, 9, 1) for t in ("insertion sequence:IS1", "insertion sequence : IS2", "Insertion sequence IS3", "transposon:Tn1")]
     df = spark.createDataFrame(rows, "type string, qualifiers map<string, array<string>>, start0 int, end int, strand int").selectExpr("*", "'r' AS ref", "'c' AS scaf")
     assert sorted(r.tn_name for r in islocate.is_features(df).collect()) == ["IS1", "IS2", "IS3"]
+
+
+def made_coverage(spark, seed: int = 8):
+    """Three scaffolds with gaps, zeros and nulls, one of them without coverage, and segments that wrap or lie in a gap; and a made average of each."""
+    rng = random.Random(seed)
+    cov = [(s, c, p, rng.choice([None, 0, *range(12)]), rng.choice([None, 0, 1, 2, 3])) for s, c, n in (("s", "c", 300), ("s", "d", 90), ("t", "c", 150)) for p in range(1, n + 1) if not 40 <= p < 55]
+    cands = [(s, c, i, rng.randint(1, n), rng.randint(1, n), n) for i, (s, c, n) in enumerate([("s", "c", 300)] * 30 + [("s", "d", 90)] * 6 + [("t", "c", 150)] * 6 + [("t", "e", 50)])] + [("s", "c", 90, 42, 50, 300), ("s", "d", 91, 1, 90, 90)]
+    return spark.createDataFrame(cov, "sample string, scaf string, pos long, iso int, anc int"), spark.createDataFrame(cands, "sample string, scaf string, cand_id long, start long, end long, length long")
+
+
+def steps_above_python(df) -> str:
+    """The plan down to where Python gets scaffolds and segments."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[: plan.index("MapInArrow")]
+
+
+@pytest.mark.parametrize("method", ["median", "mean", "mode"])
+def test_averages_beside_the_coverage(spark, method):
+    """As from histograms that are joined and grouped: over blocks of any size, with candidates dealt over tasks."""
+    cov, cands = made_coverage(spark)
+    iso, anc = (coverage.scaffold_average(cov.filter(F.col(c).isNotNull()), c, "mean").withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
+    scaf = cands.select("sample", "scaf", "cand_id").join(iso, ["sample", "scaf"], "left").join(anc, ["sample", "scaf"], "left").drop("scaf")
+    near = lambda rows: {(r.sample, r.cand_id): [x and pytest.approx(x) for x in r[2:]] for r in rows}
+    names = ["sample", "cand_id", "iso_scaf_avg", "anc_scaf_avg", "iso_amplicon_avg", "anc_amplicon_avg", "avg_norm_cov"]
+    want = coverage.amplicon_averages(coverage.amplicon_histogram(cands, cov, 16), scaf, method).select(*names).collect()
+    assert len(want) == 45 and 2 <= sum(r.avg_norm_cov is None for r in want) < 10
+    for block, most in ((16, 20_000), (7, 4)):
+        got = coverage.segment_averages(cands, cov, method, "mean", block, most)
+        assert got.columns == names
+        assert near(got.collect()) == near(want)
+
+
+def test_ranges_in_small_steps(monkeypatch):
+    import numpy as np
+
+    from junctionflow.functions import ranges
+
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random(200) < 0.1, np.nan, rng.integers(0, 9, 200))
+    low = rng.integers(0, 200, (30, 2))
+    high = np.minimum(low + rng.integers(0, 90, (30, 2)), 200)
+    for cells in (10, 40, 1 << 22):
+        monkeypatch.setattr(ranges, "CELLS", cells)
+        for block in (1, 16, 500):
+            values = ranges.Values(x, block)
+            parts = [np.concatenate([x[a:b] for a, b in zip(*r, strict=True)]) for r in zip(low, high, strict=True)]
+            assert (values.counts(low, high) == [[(p == v).sum() for v in values.distinct] for p in parts]).all()
+        for most in (1, 7, 1000):
+            owner, at = (np.concatenate(a) for a in zip(*ranges.spread(low[:, 0], high[:, 0], most), strict=True))
+            assert [(o, i) for o, (a, b) in enumerate(zip(low[:, 0], high[:, 0], strict=True)) for i in range(a, b)] == list(zip(owner.tolist(), at.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("name", ["v10_filter_copy_number"])
+def test_queries_on_segments_shuffle_no_positions(spark, name):
+    """What Python makes of a segment beside its scaffold's coverage is not shuffled after that."""
+    from junctionflow.plans import proof
+
+    assert "Exchange" not in steps_above_python(proof.QUERIES[name](spark, "/root/testdata/sf0.001"))
