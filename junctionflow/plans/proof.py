@@ -344,10 +344,8 @@ rows AS (SELECT x.sample, cand_id, iso, anc, si, sa FROM x JOIN cov v ON x.scaf
 e AS (SELECT sample, cand_id, quantile_cont(iso, 0.01) / si AS i1, quantile_cont(iso, 0.99) / si AS i99, quantile_cont(anc, 0.01) / sa AS a1, quantile_cont(anc, 0.99) / sa AS a99 FROM rows GROUP BY sample, cand_id, si, sa)
 SELECT sample, cand_id, round(greatest(least(i1, a1) / 1.1, 0.1), 6) AS low, round(greatest(i99, a99) * 1.1, 6) AS high FROM e""")
 def v11_profile_limits(spark, d):
-    cov, cands = v_cov(spark, d), v_candidate_of_every_order(spark, d)
-    iso, anc = (coverage.scaffold_average(cov, c).withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
-    scaf = cands.select("sample", "scaf", "cand_id").join(iso, ["sample", "scaf"]).join(anc, ["sample", "scaf"]).drop("scaf")
-    return coverage.profile_limits(cands, cov, scaf, block=64).select("sample", "cand_id", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
+    limits = coverage.profile_limits(v_candidate_of_every_order(spark, d), v_cov(spark, d), None, block=64)
+    return limits.select("sample", "cand_id", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
 @query()
