@@ -329,10 +329,7 @@ fullest AS (SELECT *, round(exp(low + (bin + 0.5) * step), 6) AS mode FROM count
 SELECT c.sample, c.cand_id, max(mode) FILTER (v = 'i') AS iso_amplicon_avg, max(mode) FILTER (v = 'a') AS anc_amplicon_avg, max(mode) FILTER (v = 'r') AS copy_number
 FROM candidate c LEFT JOIN fullest f ON f.sample = c.sample AND f.cand_id = c.cand_id GROUP BY c.sample, c.cand_id""")
 def v6_v7_mode(spark, d):
-    cov, cands = v_cov(spark, d), v_candidate_of_every_order(spark, d)  # modes of segments over means of scaffolds
-    iso, anc = (coverage.scaffold_average(cov, c, "mean").withColumnRenamed("average", f"{c}_scaf_avg") for c in ("iso", "anc"))
-    scaf = cands.select("sample", "scaf", "cand_id").join(iso, ["sample", "scaf"]).join(anc, ["sample", "scaf"]).drop("scaf")
-    rows = coverage.amplicon_averages(coverage.amplicon_histogram(cands, cov, 64), scaf, "mode")
+    rows = coverage.segment_averages(v_candidate_of_every_order(spark, d), v_cov(spark, d), "mode", "mean", block=64)  # modes of segments over means of scaffolds
     return rows.select("sample", "cand_id", *[F.round(c, 6).alias(c) for c in ("iso_amplicon_avg", "anc_amplicon_avg")], F.round("avg_norm_cov", 6).alias("copy_number"))
 
 
