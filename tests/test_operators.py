@@ -453,3 +453,59 @@ def test_queries_on_segments_shuffle_no_positions(spark, name):
     from junctionflow.plans import proof
 
     assert "Exchange" not in steps_above_python(proof.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_equal_stretches_share_their_seed():
+    """At the same place, whatever stands around them; in steps of any size, of repeated letters too, and none across two texts."""
+    import numpy as np
+    import pyarrow as pa
+
+    from junctionflow.functions import seeds
+
+    rng = random.Random(9)
+    core = "".join(rng.choice("ACGT") for _ in range(60))
+    texts = ["A" * 50, core, "G" + core + "TT", "", "ACG", core[:21], core[5:40] * 2]
+    for k in (5, 12, 13, 22):
+        texts_k = [t for t in texts if len(t) >= k]
+        for step in (7, 1 << 20):
+            seeds.STEP, was = step, seeds.STEP
+            try:
+                found = [(int(o), int(p), int(h)) for part in seeds.every_seed(pa.array(["x", *texts])[1:], k) for o, p, h in zip(*part[:3], strict=True)]
+                first = [(int(o), int(p), int(h)) for part in seeds.first_seeds(pa.array(texts_k), k, 1) for o, p, h in zip(*part[:3], strict=True)]
+            finally:
+                seeds.STEP = was
+            assert len(found) == len(set(found))
+            want, of = set(), {}
+            for i, t in enumerate(texts):
+                for a in range(len(t) - k + 1):
+                    value, place = seeds.least(np.frombuffer(t[a : a + k].encode(), np.uint8), k)
+                    assert len(value) == 1 and of.setdefault(t[a : a + k], (value.view(np.int64)[0], place[0])) == (value.view(np.int64)[0], place[0])
+                    want.add((i, a + int(place[0]), int(value.view(np.int64)[0])))
+            assert set(found) == want
+            assert first == [(i, int(of[t[:k]][1]), int(of[t[:k]][0])) for i, t in enumerate(texts_k)]
+    many = "".join(rng.choice("ACGT") for _ in range(5000))
+    assert sum(len(part[0]) for part in seeds.every_seed(pa.array([many]), 22)) < 5000 / 3
+
+
+def test_bits_around_seeds(monkeypatch):
+    """A read's bits are those of its place in a text but for its mismatches, at the ends of both and in steps of any size; elsewhere they differ."""
+    import numpy as np
+    import pyarrow as pa
+
+    from junctionflow.functions import seeds
+
+    rng = random.Random(11)
+    text = "".join(rng.choice("ACGT") for _ in range(900))
+    made = [(p, n, rng.sample(range(n), i % 4)) for i, (p, n) in enumerate((rng.choice((0, 800, rng.randrange(800))), rng.randrange(90, 101)) for _ in range(200))]
+    made = [(p, "".join("CGTA"["ACGT".index(c)] if j in differ else c for j, c in enumerate(text[p : p + n]))) for p, n, differ in made]
+    for step in (50, 1 << 20):
+        monkeypatch.setattr(seeds, "STEP", step)
+        words = [w for part in seeds.every_seed(pa.array(["TTT", text]), 22) for w in zip(*map(np.ndarray.tolist, part), strict=True)]
+        places, apart = {p: (seed, around) for i, p, seed, around in words if i == 1}, 0
+        for i, q, seed, mine, inside in (r for part in seeds.first_seeds(pa.array([r for _, r in made]), 22, 4) for r in zip(*map(np.ndarray.tolist, part), strict=True)):
+            at, read = made[i]
+            differs = sum(a != b for a, b in zip(read, text[at:], strict=False))
+            if places.get(at + q, (None, 0))[0] == seed:
+                assert ((mine ^ places[at + q][1]) & inside & ~(-1 << 64)).bit_count() <= differs
+            apart += sum(((mine ^ around) & inside & ~(-1 << 64)).bit_count() <= 3 for _, around in list(places.values())[:40])
+        assert apart < 400  # of 32,000, the same places among them
